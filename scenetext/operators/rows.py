@@ -7,7 +7,6 @@ most a task holds in Python.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -17,8 +16,8 @@ from pyspark.sql import functions as F
 # Distinct keys a task holds while it combines before the shuffle.
 COMBINE_KEYS = 200_000
 
-# Groups a key is spread over in the first round of the reduction.
-REDUCE_GROUPS = 64
+# Keys per output batch of the reduction.
+OUTPUT_KEYS = 10_000
 
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -70,26 +69,37 @@ def reduce_rows(
     """Values of every key folded with a commutative, associative ``fn(a, b)``.
 
     A task first folds its own rows, so that a hot key leaves it as one row
-    (one per ``COMBINE_KEYS`` other keys at most); two grouped rounds fold the
-    rest, the first over ``REDUCE_GROUPS`` parts of a key.
+    (one per ``COMBINE_KEYS`` other keys at most). After the shuffle the rows
+    of a key follow each other and are folded as they stream by; no group is
+    held in memory.
     """
-    key_type = df.schema[key].dataType.simpleString()
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        folded: dict = {}
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for batch in batches:
-            for k, v in zip(batch[key], batch[value], strict=True):
-                folded[k] = fn(folded[k], v) if k in folded else v
-            if len(folded) >= COMBINE_KEYS:
-                yield pd.DataFrame({key: list(folded.keys()), value: list(folded.values())})
-                folded.clear()
-        yield pd.DataFrame({key: list(folded.keys()), value: list(folded.values())})
+            yield from zip(batch[key].tolist(), batch[value].tolist(), strict=True)
 
-    @F.pandas_udf(type_)
-    def fold(values: pd.Series) -> Any:
-        return reduce(fn, values)
+    def table(folded: dict) -> pd.DataFrame:
+        return pd.DataFrame({key: list(folded.keys()), value: list(folded.values())})
 
-    partial = df.select(key, value).mapInPandas(combine, f"`{key}` {key_type}, `{value}` {type_}")
-    part = F.pmod(F.spark_partition_id(), F.lit(REDUCE_GROUPS)).alias("_part")
-    first = partial.groupBy(key, part).agg(fold(value).alias(value))
-    return first.groupBy(key).agg(fold(value).alias(value))
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        folded: dict = {}
+        for k, v in rows(batches):
+            if k not in folded and len(folded) >= COMBINE_KEYS:
+                yield table(folded)
+                folded = {}
+            folded[k] = fn(folded[k], v) if k in folded else v
+        yield table(folded)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # At most this many finished keys wait for output, besides the open one.
+        done: dict = {}
+        for k, v in rows(batches):
+            if k not in done and len(done) >= OUTPUT_KEYS:
+                yield table(done)
+                done = {}
+            done[k] = fn(done[k], v) if k in done else v
+        yield table(done)
+
+    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, `{value}` {type_}"
+    partial = df.select(key, value).mapInPandas(combine, schema)
+    return partial.repartition(key).sortWithinPartitions(key).mapInPandas(fold, schema)
