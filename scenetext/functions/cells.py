@@ -74,5 +74,9 @@ def tone_table(
 
 
 def tone_adjust(v: Column, table: list[int] | None = None) -> Column:
-    """Tone chain as a lookup: one array literal, no floating point per cell."""
-    return F.element_at(F.lit(table or tone_table()), v + 1)
+    """Tone chain as a lookup: one array literal, no floating point per cell.
+
+    The guard is needed: Spark takes element_at of an array without NULLs for
+    non-NULL even where the index is NULL.
+    """
+    return F.when(v.isNotNull(), F.element_at(F.lit(table or tone_table()), v + 1))
