@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Channels r, g, b of the composite, in that order.
 BANDS = ("B2", "B3", "B5")
 
-BAND_FILE = r"_(B[0-9A-Z]+)\.TIF$"
+BAND_FILE = r"^B[0-9A-Z]+\.TIF$"
 
 
 def band_glob(bands=BANDS) -> str:
@@ -23,7 +26,13 @@ def scene_id(path: Column) -> Column:
 
 def band_name(path: Column) -> Column:
     """``B2`` of ``..._B2.TIF``; NULL when the name has no band part."""
-    return F.nullif(F.regexp_extract(path, BAND_FILE, 1), F.lit(""))
+    last = F.substring_index(path, "_", -1)
+    return F.when(last.rlike(BAND_FILE) & path.contains("_"), F.substring_index(last, ".", 1))
+
+
+def has_band(path: Column, bands=BANDS) -> Column:
+    """Whether the file name ends in one of the bands; a plain suffix test."""
+    return reduce(or_, (path.endswith(f"_{b}.TIF") for b in bands))
 
 
 def band_index(band: Column, bands=BANDS) -> Column:

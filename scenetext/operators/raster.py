@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from scenetext.functions import cells
 from scenetext.functions.paths import BANDS
-from scenetext.plans.sizing import BROADCAST_BYTES, attach
+from scenetext.plans.sizing import BROADCAST_BYTES, attach, sized
 
 CHANNELS = ("r", "g", "b")
 TILE = 512
@@ -55,8 +55,9 @@ def merge_overlaps(
 ) -> DataFrame:
     """One row per cell: the first source with data wins; NULL if none has any.
 
-    ``order`` must rank the sources of a cell uniquely. The aggregate combines
-    before the shuffle, so a cell covered by very many sources stays cheap.
+    ``order`` must rank the sources of a cell uniquely; give one BIGINT column
+    where possible. The aggregate combines before the shuffle, so a cell
+    covered by very many sources stays cheap.
     """
     return px.groupBy(*keys).agg(_first_present(F.col("dn"), _source_order(order)).alias("dn"))
 
@@ -134,7 +135,7 @@ def tile_layout(px: DataFrame, tile: int = TILE, limit: int = BROADCAST_BYTES) -
     """Grid key, in-tile position and tile size of every cell, the grid anchored
     at the scene's own bounds; tiles at its far edges end with the scene."""
     anchors = layer_metadata(px, tile).select("scene_id", "xmin", "ymin", "cols", "rows", "n")
-    placed = attach(px, anchors, ["scene_id"], "n", ["x", "y"], limit)
+    placed = attach(px, sized(anchors), ["scene_id"], ["x", "y"], limit)
     dx, dy = F.col("x") - F.col("xmin"), F.col("y") - F.col("ymin")
     col, row = F.floor(dx / tile).cast("int"), F.floor(dy / tile).cast("int")
     return placed.withColumns(
@@ -156,7 +157,7 @@ def stitch_lines(merged: DataFrame, segment: int = TILE, limit: int = BROADCAST_
     the line, so no row grows with the width of the scene.
     """
     extent = layer_metadata(merged, segment).select("scene_id", "xmin", "xmax", "n")
-    placed = attach(merged, extent, ["scene_id"], "n", ["x", "y"], limit)
+    placed = attach(merged, sized(extent), ["scene_id"], ["x", "y"], limit)
     lines = (
         placed.withColumn("segment", F.floor((F.col("x") - F.col("xmin")) / segment).cast("int"))
         .groupBy("scene_id", "band", "y", "segment", "xmin", "xmax")
@@ -215,8 +216,8 @@ def percentile_stretch(
 
     ``dn`` is replaced by the stretched value; NoData and cells <= 0 become NULL.
     """
-    bounds = percentile_bounds(px, percent, keys)
-    joined = attach(px, bounds, list(keys), "n", ["x", "y"], limit)
+    bounds = sized(percentile_bounds(px, percent, keys))
+    joined = attach(px, bounds, keys, ["x", "y"], limit)
     stretched = cells.stretch(F.col("dn"), F.col("p_low"), F.col("p_high"))
     return joined.withColumn("dn", stretched).drop("p_low", "p_high")
 
@@ -251,12 +252,19 @@ def quantile_breaks(
     1/``classes`` of the cumulated count. The window runs over value counts,
     whose number the value range bounds, and never over cells.
     """
+    return _classes(px, classes, keys).where(F.col("dn").isNotNull())
+
+
+def _classes(px: DataFrame, classes: int, keys: Sequence[str]) -> DataFrame:
+    """Value counts with ``class_id``, NULL for the count of NoData."""
+    data = F.when(F.col("dn").isNotNull(), F.col("n"))
     w = Window.partitionBy(*keys)
     upto = w.orderBy("dn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    share = F.call_function("div", F.sum("n").over(upto) * classes, F.sum("n").over(w))
+    share = F.call_function("div", F.sum(data).over(upto) * classes, F.sum(data).over(w))
     class_id = F.least(F.lit(classes - 1), share).cast("int")
-    counts = value_histogram(px, keys).where(F.col("dn").isNotNull())
-    return counts.withColumn("class_id", class_id)
+    return value_histogram(px, keys).withColumn(
+        "class_id", F.when(F.col("dn").isNotNull(), class_id)
+    )
 
 
 def colour_ramp(class_id: Column, classes: int = 256) -> Column:
@@ -274,15 +282,7 @@ def quantile_colours(
     """``rgba`` of every cell by the class of its value; NoData is white."""
     # The join key for NoData lies outside the range of INT values.
     key = F.coalesce(F.col("dn").cast("bigint"), F.lit(-(2**40)))
-    coloured = quantile_breaks(px, classes, keys).select(
-        *keys, key.alias("_v"), colour_ramp(F.col("class_id"), classes).alias("rgba"), "n"
-    )
-    blank = (
-        value_histogram(px, keys)
-        .where(F.col("dn").isNull())
-        .select(*keys, key.alias("_v"), F.lit(cells.NODATA_COLOUR).alias("rgba"), "n")
-    )
-    lookup = coloured.unionByName(blank)
-    return attach(
-        px.withColumn("_v", key), lookup, [*keys, "_v"], "n", ["x", "y"], limit
-    ).drop("_v")
+    rgba = F.coalesce(colour_ramp(F.col("class_id"), classes), F.lit(cells.NODATA_COLOUR))
+    lookup = _classes(px, classes, keys).select(*keys, key.alias("_v"), rgba.alias("rgba"), "n")
+    tagged = px.withColumn("_v", key)
+    return attach(tagged, sized(lookup), [*keys, "_v"], ["x", "y"], limit).drop("_v")

@@ -86,7 +86,8 @@ def first_texts(df: DataFrame, k: int, key: str, text: str, blank: str) -> DataF
     Each has at least one word or token, so the first ``k`` of those lie in
     these texts and no other text needs to be split.
     """
-    return df.where(F.translate(text, blank, "") != "").orderBy(key).limit(k)
+    other = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in blank) + "]"
+    return df.where(F.col(text).rlike(other)).orderBy(key).limit(k)
 
 
 def first_words(df: DataFrame, k: int, key: str, text: str = "text") -> DataFrame:

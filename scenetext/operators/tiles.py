@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from scenetext.functions import cells as C
 from scenetext.functions.paths import BANDS, band_index
 from scenetext.operators.raster import CHANNELS, TILE, histogram_bounds
-from scenetext.plans.sizing import BROADCAST_BYTES, attach, measured_bytes
+from scenetext.plans.sizing import BROADCAST_BYTES, Sized, attach, measured_bytes, sized
 from scenetext.sources.cells import (
     NODATA,
     arrow_schema,
@@ -123,9 +123,8 @@ def percentile_stretch(
             out.append(result)
         return cell_lists(out, pa.int32())
 
-    keys = list(keys)
-    bounds = percentile_bounds(tiles, percent, keys)
-    joined = attach(tiles, bounds, keys, "n", ["source"], limit)
+    bounds = sized(percentile_bounds(tiles, percent, keys))
+    joined = attach(tiles, bounds, keys, ["source"], limit)
     return _map_tiles(joined, apply, drop=("p_low", "p_high"))
 
 
@@ -155,12 +154,11 @@ def layer_metadata(headers: DataFrame, tile: int = TILE) -> DataFrame:
     )
 
 
-def _placed(tiles: DataFrame, layer: DataFrame, limit: int) -> DataFrame:
+def _placed(tiles: DataFrame, layer: Sized, limit: int) -> DataFrame:
     """Cell offsets ``dx, dy`` of every tile from the upper left corner of its scene."""
-    anchor = layer.drop("layer_ymin", "layer_xmax", "layout_cols", "layout_rows")
     dx = (F.col("xmin") - F.col("layer_xmin")) / F.col("cell_width")
     dy = (F.col("layer_ymax") - F.col("ymax")) / F.col("cell_height")
-    return attach(tiles, anchor, ["scene_id"], "n", ["source"], limit).withColumns(
+    return attach(tiles, layer, ["scene_id"], ["source"], limit).withColumns(
         {"dx": F.round(dx).cast("int"), "dy": F.round(dy).cast("int")}
     )
 
@@ -367,7 +365,9 @@ def composite(
     wanted = F.col("band").isin(*bands)
     tiles = tiles.where(wanted & F.col("cells").isNotNull())
     headers = (tiles if headers is None else headers.where(wanted)).select(*HEADER)
-    layer = layer_metadata(headers, tile)
+    layer = sized(
+        layer_metadata(headers, tile).drop("layer_ymin", "layer_xmax", "layout_cols", "layout_rows")
+    )
     placed = _placed(tiles, layer, limit).withColumn("channel", band_index(F.col("band"), bands))
     pieces = _cut(placed, tile, lo, hi)
     crowded = (

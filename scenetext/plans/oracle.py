@@ -16,7 +16,7 @@ PIX = """pix AS (
          CASE l_linenumber % 3 WHEN 0 THEN 'B2' WHEN 1 THEN 'B3' ELSE 'B5' END AS band,
          CAST(l_partkey % 64 AS INT) AS x, CAST(l_orderkey % 64 AS INT) AS y,
          CASE WHEN l_discount = 0.0 THEN NULL ELSE CAST(floor(l_extendedprice / 5) AS INT) END AS dn,
-         l_orderkey AS src1, l_partkey AS src2, l_suppkey AS src3, l_linenumber AS src4
+         (l_orderkey * 8 + l_linenumber) * 1048576 + CAST(floor(l_extendedprice / 5) AS BIGINT) AS src
   FROM lineitem)"""
 
 TILE = """tile AS (
@@ -33,8 +33,6 @@ tile_px AS (
          CAST(floor(CAST(embedding[p] AS DOUBLE) * 40000 + 9588) AS INT) AS dn
   FROM tile, unnest(range(1, len(embedding) + 1)) u(p))"""
 
-ORDER = "src1, src2, src3, src4, dn"
-
 
 def _scaled(dn: str) -> str:
     return (
@@ -48,7 +46,7 @@ def _merged(source: str, value: str = "dn", keys: str = "scene_id, band, x, y")
     return f"""(
   SELECT {keys}, v FROM (
     SELECT {keys}, {value} AS v, row_number() OVER (
-      PARTITION BY {keys} ORDER BY ({value} IS NULL), {ORDER}) AS k FROM {source}) t
+      PARTITION BY {keys} ORDER BY ({value} IS NULL), src) AS k FROM {source}) t
   WHERE k = 1)"""
 
 
@@ -73,7 +71,7 @@ BOUNDS = """bounds AS (
   FROM pix GROUP BY scene_id, band)"""
 
 STRETCHED = f"""{PIX}, {BOUNDS}, stretched AS (
-  SELECT pix.scene_id, pix.band, x, y, src1, src2, src3, src4, dn,
+  SELECT pix.scene_id, pix.band, x, y, src,
          CAST(CASE WHEN dn > 0 THEN CASE WHEN p_high = p_low THEN 0 ELSE
            greatest(0, least(255, floor((dn - p_low) / (p_high - p_low) * 255))) END END AS INT) AS v
   FROM pix JOIN bounds USING (scene_id, band))"""
@@ -146,7 +144,7 @@ PRETTY = """concat(
   '    "followers_count" : ', n_chars, ',', chr(10), '    "name" : "User ', doc_id, '",', chr(10),
   '    "screen_name" : "u', doc_id, '"', chr(10), '  }', chr(10), '}')"""
 
-COLUMNS = "scene_id, band, x, y, src1, src2, src3, src4"
+COLUMNS = "scene_id, band, x, y, src"
 
 ORACLE: dict[str, str] = {
     "clamp": f"""WITH {PIX} SELECT {COLUMNS},
@@ -161,8 +159,8 @@ ORACLE: dict[str, str] = {
     "complete_band_stack": f"""WITH {PIX} SELECT * FROM ({STACK}) s
         WHERE r IS NOT NULL AND g IS NOT NULL AND b IS NOT NULL""",
     "stack_by_center": f"""WITH {PIX}, centred AS (
-        SELECT *, round(x * 30 + 15.25::DOUBLE + (src4 - 4) * 1e-7, 5) AS cx,
-                  round(y * 30 + 15.75::DOUBLE - (src4 - 4) * 1e-7, 5) AS cy FROM pix)
+        SELECT *, round(x * 30 + 15.25::DOUBLE + (src % 8 - 4) * 1e-7, 5) AS cx,
+                  round(y * 30 + 15.75::DOUBLE - (src % 8 - 4) * 1e-7, 5) AS cy FROM pix)
         {_stacked(_merged('centred', keys='scene_id, band, cx, cy'), 'cx, cy')}""",
     "rgb_composite": f"WITH {PIX} {RGB}",
     "rgb_packed": f"""WITH {PIX} SELECT scene_id, x, y, CASE WHEN r = 0 AND g = 0 AND b = 0 THEN 0

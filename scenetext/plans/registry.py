@@ -126,9 +126,7 @@ def percentile_stretch(spark, sf_dir):
 
 @query
 def stretch_stack(spark, sf_dir):
-    # The stretched value replaces dn, so ties of the other columns are broken by a copy.
-    px = V.pixels(spark, sf_dir).withColumn("src5", F.col("dn"))
-    return R.stretch_stack(px, [*V.PIXEL_ORDER[:-1], "src5"], BANDS)
+    return R.stretch_stack(V.pixels(spark, sf_dir), V.PIXEL_ORDER, BANDS)
 
 
 @query
@@ -203,12 +201,8 @@ def render_tiles(spark, sf_dir):
     images = K.render_tiles(_composite(spark, sf_dir), "tif")
     path = "concat(scene_id, '/', layout_col, '_', layout_row, '.tif')"
     files = images.selectExpr(f"{path} AS path", "image AS content")
-    bands = [
-        S.raster_pixels(S.decode_rasters(files, sample).select("path", "cols", "rows", "cells"))
-        .withColumn("channel", F.lit(sample))
-        for sample in range(3)
-    ]
-    return R.band_union(*bands).select("path", "channel", "x", "y", "dn")
+    pixels = S.raster_pixels(S.decode_rasters(files, samples=(0, 1, 2)))
+    return pixels.select("path", F.col("sample").alias("channel"), "x", "y", "dn")
 
 
 @query

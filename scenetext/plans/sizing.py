@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import NamedTuple
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,30 +31,40 @@ def measured_bytes(df: DataFrame, weight: str | None = None) -> tuple[int, int]:
     return row["n"] * fixed + (row["chars"] or 0), row["rows"] or 0
 
 
+class Sized(NamedTuple):
+    """A derived table of one row per key, computed once and measured.
+
+    ``weight`` is its column that says how many rows of the table it was
+    derived from have the key, ``rows`` the sum of that.
+    """
+
+    table: DataFrame
+    weight: str
+    size: int
+    rows: int
+
+
+def sized(table: DataFrame, weight: str = "n") -> Sized:
+    """Keeps ``table`` (a lost executor only means its blocks are computed
+    again) and measures it in the job that fills it."""
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    return Sized(table, weight, *measured_bytes(table, weight))
+
+
 def attach(
-    large: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    weight: str,
-    spread_on: list[str],
-    limit: int = BROADCAST_BYTES,
+    large: DataFrame, small: Sized, on: Sequence[str], spread_on: Sequence[str], limit: int
 ) -> DataFrame:
-    """Inner join of a large table with a table derived from it, one row per key.
-
-    ``weight`` is the column of ``small`` that says how many rows of ``large``
-    the key has; it is not part of the result. ``small`` is computed once and
-    kept, so measuring it costs no second pass, and a lost executor only means
-    its blocks are computed again. Up to ``limit`` bytes it is broadcast and
-    ``large`` does not move. Beyond that both sides are shuffled; the rows of
-    hot keys are spread by a hash of ``spread_on`` and meet one copy of their
-    ``small`` row per group.
+    """Inner join of a large table with one derived from it; the weight is left out.
+
+    Up to ``limit`` bytes the small side is broadcast and ``large`` does not
+    move. Beyond that both are shuffled; the rows of hot keys are spread by a
+    hash of ``spread_on`` and meet one copy of their small row per group.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    size, rows = measured_bytes(small, weight)
-    if size <= limit:
-        return large.join(F.broadcast(small.drop(weight)), on, "inner")
-    is_hot = F.col(weight) * HOT_SHARE > rows
-    hot = small.where(is_hot).select(*on, F.lit(True).alias("_hot"))
+    on, table, weight = list(on), small.table, small.weight
+    if small.size <= limit:
+        return large.join(F.broadcast(table.drop(weight)), on, "inner")
+    is_hot = F.col(weight) * HOT_SHARE > small.rows
+    hot = table.where(is_hot).select(*on, F.lit(True).alias("_hot"))
     salt = F.pmod(F.xxhash64(*spread_on), F.lit(SALTS)).cast("int")
     spread = (
         large.join(F.broadcast(hot), on, "left")  # fewer than HOT_SHARE rows, see above
@@ -59,5 +72,5 @@ def attach(
         .drop("_hot")
     )
     groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copies = small.withColumn("_salt", F.explode(groups)).drop(weight)
+    copies = table.withColumn("_salt", F.explode(groups)).drop(weight)
     return spread.join(copies, [*on, "_salt"], "inner").drop("_salt")

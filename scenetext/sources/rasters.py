@@ -18,7 +18,7 @@ HEADER_SCHEMA = (
     "xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE, crs STRING, error STRING"
 )
 TILE_SCHEMA = (
-    "path STRING, cols INT, rows INT, xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE, "
+    "path STRING, sample INT, cols INT, rows INT, xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE, "
     "crs STRING, cells ARRAY<INT>, error STRING"
 )
 
@@ -42,10 +42,10 @@ def raster_files(spark: SparkSession, root: str, bands: Sequence[str] = P.BANDS)
 
 def scene_catalog(files: DataFrame, bands: Sequence[str] = P.BANDS) -> DataFrame:
     """Scene, band and channel number of every band file; any other file is dropped."""
-    band = P.band_name(F.col("path"))
+    path = F.col("path")
     return (
-        files.withColumns({"scene_id": P.scene_id(F.col("path")), "band": band})
-        .where(F.col("band").isin(*bands))
+        files.where(P.has_band(path, bands))
+        .withColumns({"scene_id": P.scene_id(path), "band": P.band_name(path)})
         .withColumn("band_index", P.band_index(F.col("band"), bands))
     )
 
@@ -86,12 +86,14 @@ def decode_headers(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(probe, HEADER_SCHEMA)
 
 
-def decode_rasters(files: DataFrame, sample: int = 0, window: int = WINDOW) -> DataFrame:
-    """Files (``path, content``) as tiles: one row per window of a file.
+def decode_rasters(
+    files: DataFrame, samples: Sequence[int] = (0,), window: int = WINDOW
+) -> DataFrame:
+    """Files (``path, content``) as tiles: one row per window and sample of a file.
 
-    A file no larger than ``window`` is one row. NoData cells are NULL. A file
-    that can't be decoded is one row with ``error`` and no cells. Scene and band
-    come from the path.
+    A file no larger than ``window`` is one row; ``samples`` picks from the
+    bands inside a file. NoData cells are NULL. A file that can't be decoded is
+    one row with ``error`` and no cells. Scene and band come from the path.
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,12 +103,13 @@ def decode_rasters(files: DataFrame, sample: int = 0, window: int = WINDOW) -> D
                 name = {"path": path.as_py()}
                 try:
                     head = read_header(data)
-                    image = read_band(data, head, sample)
+                    images = [(k, read_band(data, head, k)) for k in samples]
                 except DAMAGED as e:
                     yield batch(schema, **name, error=str(e))
                     continue
-                for tile in _windows(image, head, window):
-                    yield batch(schema, **name, crs=head["crs"], **tile)
+                for sample, image in images:
+                    for tile in _windows(image, head, window):
+                        yield batch(schema, **name, sample=sample, crs=head["crs"], **tile)
 
     schema = arrow_schema(TILE_SCHEMA)
     tiles = files.select("path", "content").mapInArrow(decode, TILE_SCHEMA)
@@ -141,11 +144,11 @@ def scan_rasters(
     spark: SparkSession,
     root: str,
     bands: Sequence[str] = P.BANDS,
-    sample: int = 0,
+    samples: Sequence[int] = (0,),
     window: int = WINDOW,
 ) -> DataFrame:
     """All band files below ``root`` as tiles."""
-    return decode_rasters(raster_files(spark, root, bands), sample, window)
+    return decode_rasters(raster_files(spark, root, bands), samples, window)
 
 
 def raster_pixels(tiles: DataFrame) -> DataFrame:

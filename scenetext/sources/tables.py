@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from scenetext.functions.paths import BANDS
 
-# Columns that rank the overlapping sources of a pixel in ``pixels``.
-PIXEL_ORDER = ("src1", "src2", "src3", "src4", "dn")
+# Column that ranks the overlapping sources of a pixel in ``pixels``.
+PIXEL_ORDER = ("src",)
 
 # Tile side used on ``pixels``, whose scenes are 64 cells wide.
 PIXEL_TILE = 16
@@ -21,32 +21,38 @@ TILE_SIDE, TILES_ACROSS = 8, 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table. A table of fewer files than there are cores is dealt out to all
-    cores, because one small file is one task; for larger tables the scan's own
-    splits do that and nothing is moved."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores if the table has fewer files than that.
+
+    One small file is one task, too slow for rows that need much work (long
+    texts, Python). A large table has splits enough and is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pixel form with overlaps and NoData, from ``lineitem``."""
+    """Pixel form with overlaps and NoData, from ``lineitem``.
+
+    A source is an order line; ``src`` ends in the value, so lines that occur
+    twice are ranked too. One number, so that merging stays a hash aggregate.
+    """
     return table(spark, sf_dir, "lineitem").selectExpr(
         "CAST(l_suppkey % 4 AS INT) AS scene_id",
         "CASE l_linenumber % 3 WHEN 0 THEN 'B2' WHEN 1 THEN 'B3' ELSE 'B5' END AS band",
         "CAST(l_partkey % 64 AS INT) AS x",
         "CAST(l_orderkey % 64 AS INT) AS y",
         "CASE WHEN l_discount = 0.0 THEN NULL ELSE CAST(floor(l_extendedprice / 5) AS INT) END AS dn",
-        "l_orderkey AS src1",
-        "l_partkey AS src2",
-        "l_suppkey AS src3",
-        "l_linenumber AS src4",
+        "(l_orderkey * 8 + l_linenumber) * 1048576 + CAST(floor(l_extendedprice / 5) AS BIGINT) AS src",
     )
 
 
 def centred_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pixels`` with cell centres that carry floating-point noise."""
-    noise = (F.col("src4") - 4) * 1e-7
+    noise = (F.col("src") % 8 - 4) * 1e-7
     return pixels(spark, sf_dir).withColumns(
         {"cx": F.col("x") * 30 + 15.25 + noise, "cy": F.col("y") * 30 + 15.75 - noise}
     )
@@ -58,7 +64,7 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = f"CAST(floor({tile_no} / 5) AS INT)"
     names = ", ".join(f"'{b}'" for b in BANDS)
     return (
-        table(spark, sf_dir, "embeddings")
+        spread(table(spark, sf_dir, "embeddings"))
         .selectExpr(
             f"CAST({tile_no} % 5 AS INT) AS scene_id",
             f"element_at(array({names}), CAST(vec_id % 3 + 1 AS INT)) AS band",
@@ -97,7 +103,7 @@ def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scene index lines, from ``orders``."""
     product = "concat('LC08_L1GT_190026_', d, '_', d, '_01_RT')"
     return (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .selectExpr("o_orderkey AS k", "date_format(o_orderdate, 'yyyyMMdd') AS d")
         .selectExpr(
             f"concat('http://host.example/c1/L8,190/026/', {product}, ',', {product}, '_B', "
@@ -107,11 +113,11 @@ def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations")
+    return spread(table(spark, sf_dir, "conversations"))
 
 
 def tweet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,14 +129,14 @@ def tweet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'screen_name', concat('u', CAST(doc_id AS STRING)), "
         "'followers_count', n_chars, 'description', source))"
     )
-    records = table(spark, sf_dir, "documents").selectExpr(f"to_json({record}) AS value")
-    blank = spark.read.parquet(f"{sf_dir}/labels.parquet").selectExpr("'' AS value")
+    records = documents(spark, sf_dir).selectExpr(f"to_json({record}) AS value")
+    blank = table(spark, sf_dir, "labels").selectExpr("'' AS value")
     return records.union(blank)
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points by code with the key of their place, from ``supplier``."""
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr(
+    return table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS code", "s_nationkey AS value", "s_nationkey AS place"
     )
 
@@ -143,5 +149,4 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
         "THEN array(CAST(n_nationkey * 1.5 - 10 AS DOUBLE), CAST(45 + n_nationkey * 0.5 AS DOUBLE)) "
         "ELSE array(CAST(n_nationkey AS DOUBLE)) END AS coord"
     )
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    return nation.selectExpr("n_nationkey AS code", coordinate)
+    return table(spark, sf_dir, "nation").selectExpr("n_nationkey AS code", coordinate)

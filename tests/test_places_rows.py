@@ -52,15 +52,15 @@ def skewed(spark):
 
 def test_attach_is_the_same_with_and_without_broadcast(spark, rows, skewed):
     small = skewed.groupBy("k").agg(F.max("x").alias("m"), F.count("*").alias("n"))
-    plain = sizing.attach(skewed, small, ["k"], "n", ["x"])
-    salted = sizing.attach(skewed, small, ["k"], "n", ["x"], limit=-1)
+    plain = sizing.attach(skewed, sizing.sized(small), ["k"], ["x"], 10**9)
+    salted = sizing.attach(skewed, sizing.sized(small), ["k"], ["x"], -1)
     assert rows(plain, "k", "x", "m") == rows(salted, "k", "x", "m")
     assert plain.count() == skewed.count() and plain.columns == salted.columns == ["k", "x", "m"]
 
 
 def test_only_hot_keys_are_copied(spark, skewed):
     small = skewed.groupBy("k").agg(F.count("*").alias("n"))
-    salted = sizing.attach(skewed, small, ["k"], "n", ["x"], limit=-1)
+    salted = sizing.attach(skewed, sizing.sized(small), ["k"], ["x"], -1)
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
     assert "explode" in plan and "_salt" in plan
     hot = small.where(F.col("n") * sizing.HOT_SHARE > 9000)
