@@ -131,10 +131,20 @@ def layer_metadata(px: DataFrame, tile: int = TILE) -> DataFrame:
     )
 
 
-def tile_layout(px: DataFrame, tile: int = TILE, limit: int = BROADCAST_BYTES) -> DataFrame:
+def tile_layout(
+    px: DataFrame,
+    tile: int = TILE,
+    layer: DataFrame | None = None,
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Grid key, in-tile position and tile size of every cell, the grid anchored
-    at the scene's own bounds; tiles at its far edges end with the scene."""
-    anchors = layer_metadata(px, tile).select("scene_id", "xmin", "ymin", "cols", "rows", "n")
+    at the scene's own bounds; tiles at its far edges end with the scene.
+
+    ``layer`` is the ``layer_metadata`` of the scenes, where it can be had from
+    something cheaper than ``px``, such as the cells before they were merged.
+    """
+    layer = layer_metadata(px, tile) if layer is None else layer
+    anchors = layer.select("scene_id", "xmin", "ymin", "cols", "rows", "n")
     placed = attach(px, sized(anchors), ["scene_id"], ["x", "y"], limit)
     dx, dy = F.col("x") - F.col("xmin"), F.col("y") - F.col("ymin")
     col, row = F.floor(dx / tile).cast("int"), F.floor(dy / tile).cast("int")
@@ -150,13 +160,20 @@ def tile_layout(px: DataFrame, tile: int = TILE, limit: int = BROADCAST_BYTES) -
     ).drop("xmin", "ymin", "cols", "rows")
 
 
-def stitch_lines(merged: DataFrame, segment: int = TILE, limit: int = BROADCAST_BYTES) -> DataFrame:
+def stitch_lines(
+    merged: DataFrame,
+    segment: int = TILE,
+    layer: DataFrame | None = None,
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Merged cells laid out as scan lines, in segments of at most ``segment`` cells.
 
     ``cells`` is dense: gaps are NULL. Segments in order of ``segment`` make up
-    the line, so no row grows with the width of the scene.
+    the line, so no row grows with the width of the scene. ``layer`` as in
+    ``tile_layout``.
     """
-    extent = layer_metadata(merged, segment).select("scene_id", "xmin", "xmax", "n")
+    layer = layer_metadata(merged, segment) if layer is None else layer
+    extent = layer.select("scene_id", "xmin", "xmax", "n")
     placed = attach(merged, sized(extent), ["scene_id"], ["x", "y"], limit)
     lines = (
         placed.withColumn("segment", F.floor((F.col("x") - F.col("xmin")) / segment).cast("int"))

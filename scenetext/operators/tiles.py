@@ -363,8 +363,10 @@ def composite(
     must be split over several groups first.
     """
     wanted = F.col("band").isin(*bands)
-    tiles = tiles.where(wanted & F.col("cells").isNotNull())
-    headers = (tiles if headers is None else headers.where(wanted)).select(*HEADER)
+    # Told by a header column, so that a pass over headers never touches cells.
+    wanted &= F.col("cols").isNotNull()
+    headers = (tiles if headers is None else headers).where(wanted).select(*HEADER)
+    tiles = tiles.where(wanted)
     layer = sized(
         layer_metadata(headers, tile).drop("layer_ymin", "layer_xmax", "layout_cols", "layout_rows")
     )

@@ -98,12 +98,14 @@ def layer_metadata(spark, sf_dir):
 
 @query
 def tile_layout(spark, sf_dir):
-    return R.tile_layout(merge_overlaps(spark, sf_dir), V.PIXEL_TILE)
+    merged = merge_overlaps(spark, sf_dir)
+    return R.tile_layout(merged, V.PIXEL_TILE, layer_metadata(spark, sf_dir))
 
 
 @query
 def stitch_lines(spark, sf_dir):
-    lines = R.stitch_lines(merge_overlaps(spark, sf_dir), 24)
+    layer = layer_metadata(spark, sf_dir)
+    lines = R.stitch_lines(merge_overlaps(spark, sf_dir), 24, layer)
     text = F.array_join(F.col("cells").cast("array<string>"), ",", "")
     return lines.withColumns({"n": F.size("cells"), "line": text}).drop("cells")
 
@@ -208,7 +210,8 @@ def render_tiles(spark, sf_dir):
 @query
 def render_png(spark, sf_dir):
     """PNG images of the pixel-form composite, one per grid cell."""
-    placed = R.tile_layout(rgb_composite(spark, sf_dir), V.PIXEL_TILE)
+    layer = layer_metadata(spark, sf_dir)
+    placed = R.tile_layout(rgb_composite(spark, sf_dir), V.PIXEL_TILE, layer)
     return K.render_tiles(K.pixels_to_tiles(placed))
 
 

@@ -11,13 +11,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from scenetext.operators.raster import CHANNELS
 from scenetext.sources.cells import cell_arrays
+from scenetext.sources.stores import open_store
 from scenetext.sources.tiff import write_image
 
 
@@ -147,12 +147,15 @@ class ImageWriter(DataSourceWriter):
         self.folder = folder
 
     def write(self, iterator) -> _Written:
-        store, root = _open(self.folder)
-        written = 0
+        store, root = open_store(self.folder)
+        folders, written = set(), 0
         for row in iterator:
             target = f"{root}/{row.name}"
             draft = f"{target}._{uuid.uuid4().hex}"
-            store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            folder = target.rsplit("/", 1)[0]
+            if folder not in folders:
+                store.create_dir(folder, recursive=True)
+                folders.add(folder)
             with store.open_output_stream(draft) as out:
                 out.write(row.image)
             store.move(draft, target)
@@ -160,7 +163,7 @@ class ImageWriter(DataSourceWriter):
         return _Written(written)
 
     def commit(self, messages) -> None:
-        store, root = _open(self.folder)
+        store, root = open_store(self.folder)
         store.create_dir(root, recursive=True)
         with store.open_output_stream(f"{root}/_SUCCESS"):
             pass
@@ -169,11 +172,6 @@ class ImageWriter(DataSourceWriter):
         """Whole files stay; running the write again replaces them by name."""
 
 
-def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    store, root = fs.FileSystem.from_uri(folder)
-    return store, root.rstrip("/")
-
-
 class SceneImages(DataSource):
     """``df.write.format("scene_images").option("path", folder)`` for ``name, image`` rows."""
 

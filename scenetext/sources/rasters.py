@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from scenetext.functions import paths as P
 from scenetext.sources.cells import arrow_schema, batch, cell_lists
-from scenetext.sources.tiff import DAMAGED, read_band, read_header
+from scenetext.sources.stores import open_store
+from scenetext.sources.tiff import DAMAGED, read_band, read_header, read_header_at
 
 HEADER_SCHEMA = (
     "path STRING, format STRING, cols INT, rows INT, bands INT, "
@@ -65,25 +66,52 @@ def scene_index(lines: DataFrame, line: str = "line") -> DataFrame:
     return lines.select(*(c.alias(name) for name, c in fields.items()))
 
 
+def _header_row(path: str, read: Callable[[], dict]) -> dict:
+    try:
+        head = read()
+    except DAMAGED as e:
+        return {"path": path, "error": str(e)}
+    plain = {k: head[k] for k in ("cols", "rows", "bands", "crs")}
+    return {"path": path, "format": "GTiff", **head["extent"], **plain}
+
+
 def decode_headers(files: DataFrame) -> DataFrame:
-    """Format, size and extent of every file; a file that can't be read gets ``error``."""
+    """Format, size and extent of every file (``path, content``); a file that
+    can't be read gets ``error``."""
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for files in batches:
+            pairs = zip(files.column(0).to_pylist(), files.column(1).to_pylist(), strict=True)
+            rows = [_header_row(p, lambda data=data: read_header(data)) for p, data in pairs]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    schema = arrow_schema(HEADER_SCHEMA)
+    return files.select("path", "content").mapInArrow(decode, HEADER_SCHEMA)
+
+
+def probe_headers(files: DataFrame) -> DataFrame:
+    """As ``decode_headers``, but the tasks open the files (``path``) themselves
+    and read a few kilobytes of each. A file that can't be opened at all fails
+    the job, as it would for Spark's own reader."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files in batches:
             rows = []
-            for path, content in zip(*files.columns, strict=True):
-                row = {"path": path.as_py()}
-                try:
-                    head = read_header(content.as_buffer().to_pybytes())
-                    row |= {"format": "GTiff", **head["extent"]}
-                    row |= {k: head[k] for k in ("cols", "rows", "bands", "crs")}
-                except DAMAGED as e:
-                    row["error"] = str(e)
-                rows.append(row)
+            for path in files.column(0).to_pylist():
+                store, name = open_store(path)
+                with store.open_input_file(name) as f:
+                    rows.append(_header_row(path, lambda f=f: read_header_at(_ranged(f))))
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     schema = arrow_schema(HEADER_SCHEMA)
-    return files.select("path", "content").mapInArrow(probe, HEADER_SCHEMA)
+    return files.select("path").mapInArrow(probe, HEADER_SCHEMA)
+
+
+def _ranged(file: pa.NativeFile) -> Callable[[int, int], bytes]:
+    def read(start: int, n: int) -> bytes:
+        return file.read_at(n, start) if start <= file.size() else b""
+
+    return read
 
 
 def decode_rasters(
@@ -136,8 +164,17 @@ def _windows(image: np.ndarray, head: dict, window: int) -> Iterator[dict]:
             }
 
 
-def raster_info(spark: SparkSession, root: str, bands: Sequence[str] = P.BANDS) -> DataFrame:
-    return decode_headers(raster_files(spark, root, bands))
+def raster_info(
+    spark: SparkSession, root: str, bands: Sequence[str] = P.BANDS, ranged: bool = False
+) -> DataFrame:
+    """Headers of all band files below ``root``.
+
+    ``ranged`` reads only the headers instead of whole files; the executors'
+    Python must be able to reach the file system (local or shared disk, or one
+    that pyarrow opens).
+    """
+    files = raster_files(spark, root, bands)
+    return probe_headers(files) if ranged else decode_headers(files)
 
 
 def scan_rasters(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 
@@ -32,12 +33,21 @@ PROJECTED_CRS, GEOGRAPHIC_CRS = 3072, 2048
 
 
 def read_header(data: bytes) -> dict:
-    """Size, sample layout and georeference of the first image of a file."""
-    order = {b"II": "<", b"MM": ">"}.get(bytes(data[:2]))
-    if order is None or len(data) < 8 or struct.unpack_from(order + "H", data, 2)[0] != 42:
+    return read_header_at(lambda start, n: data[start : start + n])
+
+
+def read_header_at(read: Callable[[int, int], bytes]) -> dict:
+    """Size, sample layout and georeference of the first image of a file.
+
+    ``read(start, n)`` gets bytes of the file; only the tag table and its
+    values are asked for.
+    """
+    magic = read(0, 4)
+    order = {b"II*\0": "<", b"MM\0*": ">"}.get(bytes(magic))
+    if order is None:
         raise ValueError("not a TIFF file")
     try:
-        tags = _read_tags(data, order)
+        tags = _read_tags(read, order)
         cols, rows = tags[WIDTH][0], tags[HEIGHT][0]
     except (struct.error, LookupError) as e:
         raise ValueError("damaged TIFF header") from e
@@ -63,18 +73,18 @@ def read_header(data: bytes) -> dict:
     }
 
 
-def _read_tags(data: bytes, order: str) -> dict[int, tuple]:
-    start = struct.unpack_from(order + "I", data, 4)[0]
-    count = struct.unpack_from(order + "H", data, start)[0]
+def _read_tags(read: Callable[[int, int], bytes], order: str) -> dict[int, tuple]:
+    start = struct.unpack(order + "I", read(4, 4))[0]
+    count = struct.unpack(order + "H", read(start, 2))[0]
     tags = {}
-    for entry in range(start + 2, start + 2 + 12 * count, 12):
-        tag, kind, n = struct.unpack_from(order + "HHI", data, entry)
+    for tag, kind, n, value in struct.iter_unpack(order + "HHI4s", read(start + 2, 12 * count)):
         if kind not in TYPES:
             continue
         layout = f"{order}{n}{TYPES[kind]}"
-        inline = struct.calcsize(layout) <= 4
-        at = entry + 8 if inline else struct.unpack_from(order + "I", data, entry + 8)[0]
-        tags[tag] = struct.unpack_from(layout, data, at)
+        size = struct.calcsize(layout)
+        if size > 4:
+            value = read(struct.unpack(order + "I", value)[0], size)
+        tags[tag] = struct.unpack(layout, value[:size])
     return tags
 
 

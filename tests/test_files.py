@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scenetext.operators import raster as R
 from scenetext.operators import tiles as T
+from scenetext.plans.archive import compose_archive, write_archive
 from scenetext.sinks import scenes as K
 from scenetext.sinks.folders import shared_folder
 from scenetext.sources import rasters as S
@@ -136,6 +137,32 @@ def test_unreadable_files_become_error_rows(spark, archive):
     assert any("compression 5" in r["error"] for r in scan)
 
 
+def test_ranged_headers_equal_whole_reads(spark, archive, rows):
+    save(archive, "BAD", "B3", b"not an image")
+    save(archive, "BAD", "B2", write_image(image(0)[None])[:5000])
+    whole = S.raster_info(spark, str(archive))
+    ranged = S.raster_info(spark, str(archive), ranged=True)
+    assert rows(ranged, *whole.columns[:-1]) == rows(whole, *whole.columns[:-1])
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]
+
+
+@pytest.mark.parametrize("ranged", [False, True])
+def test_archive_to_table(spark, archive, tmp_path_factory, rows, ranged):
+    out = str(tmp_path_factory.mktemp("table"))
+    made = compose_archive(spark, str(archive), ranged=ranged, tile=16)
+    write_archive(made, out)
+    assert rows(spark.read.parquet(out), *made.columns) == rows(composite(spark, archive)[1])
+
+
+def test_archive_stretched(spark, archive, rows):
+    made = compose_archive(spark, str(archive), stretch=True, tile=16)
+    tiles = S.scan_rasters(spark, str(archive))
+    px = S.raster_pixels(tiles)
+    want = R.stretch_stack(px, ["path"], ("B2", "B3", "B5"))
+    assert rows(T.to_pixels(made, 16)) == rows(want.dropna("all", subset=["r", "g", "b"]))
+
+
 def test_missing_file_header_fields_do_not_stop_the_job(spark, archive):
     save(archive, "BAD", "B2", b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", 0) + b"\0" * 4)
     save(archive, "BAD", "B3", b"II*\0" + struct.pack("<I", 10**9))
