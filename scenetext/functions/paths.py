@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,8 +28,9 @@ def band_name(path: Column) -> Column:
 
 
 def has_band(path: Column, bands=BANDS) -> Column:
-    """Whether the file name ends in one of the bands; a plain suffix test."""
-    return reduce(or_, (path.endswith(f"_{b}.TIF") for b in bands))
+    """Whether the file name ends in one of the bands; no regular expression."""
+    last = F.substring_index(path, "_", -1)
+    return last.isin(*(f"{b}.TIF" for b in bands)) & path.contains("_")
 
 
 def band_index(band: Column, bands=BANDS) -> Column:

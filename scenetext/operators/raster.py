@@ -207,13 +207,18 @@ def histogram_bounds(
     histogram: DataFrame, percent: float = 2, keys: Sequence[str] = ("scene_id", "band")
 ) -> DataFrame:
     """Exact lower and upper percentile of the positive values, linearly
-    interpolated; NULL where nothing is positive. ``n`` counts all cells."""
+    interpolated; NULL where nothing is positive. ``n`` counts all cells.
+
+    For a whole ``percent`` the exact result has two decimals. Rounding takes
+    off what floating point adds to it, which could tip a stretched value.
+    """
     at = F.array(F.lit(percent / 100), F.lit(1 - percent / 100))
     positive = F.when(F.col("dn") > 0, F.col("dn"))
+    low, high = (F.round(F.col("p")[i], 6) for i in (0, 1))
     return (
         histogram.groupBy(*keys)
         .agg(F.percentile(positive, at, F.col("n")).alias("p"), F.sum("n").alias("n"))
-        .select(*keys, F.col("p")[0].alias("p_low"), F.col("p")[1].alias("p_high"), "n")
+        .select(*keys, low.alias("p_low"), high.alias("p_high"), "n")
     )
 
 

@@ -12,6 +12,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Distinct keys a task holds while it combines before the shuffle.
 COMBINE_KEYS = 200_000
@@ -20,7 +21,9 @@ COMBINE_KEYS = 200_000
 OUTPUT_KEYS = 10_000
 
 
-def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+def map_rows(
+    df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str
+) -> DataFrame:
     """``fn`` over batches of rows; it may keep, drop or multiply rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -30,7 +33,9 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
     return df.mapInPandas(run, schema)
 
 
-def map_column(df: DataFrame, column: str, fn: Callable[[Any], Any], name: str, type_: str) -> DataFrame:
+def map_column(
+    df: DataFrame, column: str, fn: Callable[[Any], Any], name: str, type_: str
+) -> DataFrame:
     """New column ``name`` = ``fn`` of every value of ``column``."""
 
     @F.pandas_udf(type_)
@@ -54,13 +59,13 @@ def flat_map(
 ) -> DataFrame:
     """One row per element of ``fn(value)``; the other columns are kept."""
     keep = [c for c in df.columns if c != column]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep)
+    schema = StructType([df.schema[c] for c in keep]).add(name, type_)
 
     def expand(batch: pd.DataFrame) -> pd.DataFrame:
         lists = batch[column].map(fn)
         return batch[keep].assign(**{name: lists})[lists.map(len) > 0].explode(name)
 
-    return map_rows(df, expand, ", ".join(filter(None, [kept, f"`{name}` {type_}"])))
+    return map_rows(df, expand, schema)
 
 
 def reduce_rows(
@@ -100,6 +105,6 @@ def reduce_rows(
             done[k] = fn(done[k], v) if k in done else v
         yield table(done)
 
-    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, `{value}` {type_}"
+    schema = StructType([df.schema[key]]).add(value, type_)
     partial = df.select(key, value).mapInPandas(combine, schema)
     return partial.repartition(key).sortWithinPartitions(key).mapInPandas(fold, schema)

@@ -66,8 +66,8 @@ RGB = (
 )
 
 BOUNDS = """bounds AS (
-  SELECT scene_id, band, quantile_cont(dn, 0.02) FILTER (WHERE dn > 0) AS p_low,
-         quantile_cont(dn, 0.98) FILTER (WHERE dn > 0) AS p_high, count(*) AS n
+  SELECT scene_id, band, round(quantile_cont(dn, 0.02) FILTER (WHERE dn > 0), 6) AS p_low,
+         round(quantile_cont(dn, 0.98) FILTER (WHERE dn > 0), 6) AS p_high, count(*) AS n
   FROM pix GROUP BY scene_id, band)"""
 
 STRETCHED = f"""{PIX}, {BOUNDS}, stretched AS (
@@ -187,7 +187,7 @@ ORACLE: dict[str, str] = {
         FROM grid LEFT JOIN merged USING (scene_id, band, y, x) GROUP BY ALL""",
     "value_histogram": f"WITH {PIX} SELECT scene_id, band, dn, count(*) AS n FROM pix GROUP BY ALL",
     "percentile_bounds": f"""WITH {PIX}, {BOUNDS}
-        SELECT scene_id, band, round(p_low, 6) AS p_low, round(p_high, 6) AS p_high, n FROM bounds""",
+        SELECT scene_id, band, p_low, p_high, n FROM bounds""",
     "percentile_stretch": f"WITH {STRETCHED} SELECT {COLUMNS}, v AS dn FROM stretched",
     "stretch_stack": f"WITH {STRETCHED} {_stacked(_merged('stretched', 'v'))}",
     "quantile_breaks": f"WITH {CLASSES} SELECT * FROM classes",
@@ -198,7 +198,8 @@ ORACLE: dict[str, str] = {
     "tile_clamp_normalize": f"""WITH {TILE_PX}
         SELECT scene_id, band, tile_no, x, y, {_scaled('dn')} AS dn FROM tile_px""",
     "tile_percentile_stretch": f"""WITH {TILE_PX}, bounds AS (
-        SELECT scene_id, band, quantile_cont(dn, 0.02) AS lo, quantile_cont(dn, 0.98) AS hi
+        SELECT scene_id, band, round(quantile_cont(dn, 0.02), 6) AS lo,
+               round(quantile_cont(dn, 0.98), 6) AS hi
         FROM tile_px WHERE dn > 0 GROUP BY scene_id, band)
         SELECT scene_id, band, tile_no, x, y, CAST(CASE WHEN dn > 0 THEN
           greatest(0, least(255, floor((dn - lo) / (hi - lo) * 255))) END AS INT) AS dn

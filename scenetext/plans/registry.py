@@ -117,8 +117,7 @@ def value_histogram(spark, sf_dir):
 
 @query
 def percentile_bounds(spark, sf_dir):
-    bounds = R.percentile_bounds(V.pixels(spark, sf_dir))
-    return bounds.withColumns({c: F.round(c, 6) for c in ("p_low", "p_high")})
+    return R.percentile_bounds(V.pixels(spark, sf_dir))
 
 
 @query

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 from scenetext.operators.raster import CHANNELS
 from scenetext.sources.cells import cell_arrays
@@ -71,7 +72,7 @@ def render_tiles(
     """
     encode = ENCODERS[image]
     keep = [c for c in tiles.columns if c not in channels]
-    schema = ", ".join(f"`{c}` {tiles.schema[c].dataType.simpleString()}" for c in keep)
+    schema = StructType([tiles.schema[c] for c in keep]).add("image", "binary")
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -84,7 +85,7 @@ def render_tiles(
             columns = [*(rows.column(c) for c in keep), pa.array(images, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "image"])
 
-    return tiles.mapInArrow(render, f"{schema}, image BINARY")
+    return tiles.mapInArrow(render, schema)
 
 
 def pixels_to_tiles(rgb: DataFrame, channels: Sequence[str] = CHANNELS) -> DataFrame:

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyarrow import fs
 
 
 def open_store(path: str) -> tuple[fs.FileSystem, str]:
     """File system of a path and the path inside it, for the URIs Spark uses."""
     if path.startswith("file:"):
-        return fs.LocalFileSystem(), unquote(path.removeprefix("file:").replace("//", "/", 1))
+        path = path.removeprefix("file://").removeprefix("file:")
     if "://" not in path:
-        return fs.LocalFileSystem(), path
+        return fs.LocalFileSystem(), path.rstrip("/")
     store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return store, inner.rstrip("/")
