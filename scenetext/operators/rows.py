@@ -21,6 +21,11 @@ COMBINE_KEYS = 200_000
 OUTPUT_KEYS = 10_000
 
 
+def _schema(df: DataFrame, keep: list[str], name: str, type_: str) -> StructType:
+    """Columns ``keep`` as they are, and one more."""
+    return StructType([df.schema[c] for c in keep] + StructType.fromDDL(f"`{name}` {type_}").fields)
+
+
 def map_rows(
     df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str
 ) -> DataFrame:
@@ -59,7 +64,7 @@ def flat_map(
 ) -> DataFrame:
     """One row per element of ``fn(value)``; the other columns are kept."""
     keep = [c for c in df.columns if c != column]
-    schema = StructType([df.schema[c] for c in keep]).add(name, type_)
+    schema = _schema(df, keep, name, type_)
 
     def expand(batch: pd.DataFrame) -> pd.DataFrame:
         lists = batch[column].map(fn)
@@ -105,6 +110,6 @@ def reduce_rows(
             done[k] = fn(done[k], v) if k in done else v
         yield table(done)
 
-    schema = StructType([df.schema[key]]).add(value, type_)
+    schema = _schema(df, [key], value, type_)
     partial = df.select(key, value).mapInPandas(combine, schema)
     return partial.repartition(key).sortWithinPartitions(key).mapInPandas(fold, schema)
