@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scenetext.llm import decontaminate, mixing, pii, quality, secrets, urls
+from scenetext.llm import decontaminate, mixing, pii, quality, secrets, token_files, toxicity, urls
 from scenetext.llm.common import LONG, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,13 @@ def op1_personal_data(spark, sf_dir):
 def op5_decontamination(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(docs, items)
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
