@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scenetext.llm import decontaminate, mixing, near_duplicates, pii, quality, secrets, token_files, toxicity, urls
+from scenetext.llm import decontaminate, mixing, near_duplicates, pii, quality, repeated_text, secrets, token_files, toxicity, urls
 from scenetext.llm.common import LONG, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op4_token_files(spark, sf_dir):
 @query
 def op8_near_duplicates(spark, sf_dir):
     return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_repeated_text(spark, sf_dir):
+    return repeated_text.remove_repeats(table(spark, sf_dir, "documents"))
