@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scenetext.plans.sizing import BROADCAST_BYTES, measured_bytes
 from scenetext.sinks.folders import shared_folder
 
 # White space of the word rule: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -38,6 +39,17 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def without(rows: DataFrame, bad: DataFrame, on: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``rows`` whose ``on`` is not in ``bad(on)``; a null ``on`` stays.
+
+    ``bad`` is measured: up to ``limit`` bytes it is broadcast and ``rows`` do
+    not move, beyond that both are shuffled.
+    """
+    bad = kept(bad, "without")
+    n_bytes, _ = measured_bytes(bad)
+    return rows.join(F.broadcast(bad) if n_bytes <= limit else bad, on, "left_anti")
+
+
 def find_all(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` (no capturing groups) as
     array<struct<start, end, m, gap>>: code points, end exclusive, the text matched

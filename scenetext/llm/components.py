@@ -17,7 +17,6 @@ def components(edges: DataFrame) -> DataFrame:
     each time. A node with very many links is never gathered: its minimum is
     combined before the shuffle, and the join can be split.
     """
-    spark = edges.sparkSession
     links = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     last = None
     while True:
@@ -32,6 +31,5 @@ def components(edges: DataFrame) -> DataFrame:
         if now == last or not now[0]:
             break
         last = now
-    del spark
     roots = links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)

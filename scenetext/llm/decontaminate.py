@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenetext.llm.common import LONG, kept, text_of
+from scenetext.llm.common import LONG, kept, text_of, without
 from scenetext.plans.sizing import BROADCAST_BYTES, measured_bytes
 
 # Fixed masks of five words each: places picked, counted from the first.
@@ -116,4 +116,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     key = F.xxhash64("doc_id", "text")
     rows = docs.select("doc_id", "text", key.alias("_key"))
     bad = overlaps(rows, benchmark, **how).select("_key").distinct()
-    return docs.withColumn("_key", key).join(bad, "_key", "left_anti").drop("_key")
+    return without(docs.withColumn("_key", key), bad, "_key").drop("_key")

@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenetext.llm.common import kept, text_of
+from scenetext.llm.common import kept, text_of, without
 from scenetext.llm.components import components
 from scenetext.plans.sizing import BROADCAST_BYTES, measured_bytes
 
@@ -98,11 +99,11 @@ def most_bits(estimate: float) -> int:
 def signatures(docs: DataFrame, n: int) -> DataFrame:
     """``doc_id, n_shingles, set (two hashes as text), bands, sketch``; the last three null for an empty set."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band = np.arange(1, BANDS + 1, dtype=np.uint64)
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 h = shingles(text, n)
                 if not len(h):
                     rows.append((0, None, None, None))
@@ -112,12 +113,12 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 for k in range(PER_BAND):
                     keys = _mixed(keys * _STEP + least[k::PER_BAND])
                 rows.append((len(h), xxhash.xxh128_hexdigest(h.tobytes()), keys.view(np.int64), odd_sketch(least)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "set", "bands", "sketch"])
-            out.insert(0, "doc_id", pd.array(batch["doc_id"], dtype="Int64"))
-            yield out
+            kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary())
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_shingles", "set", "bands", "sketch"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_shingles long, set string, bands array<long>, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, set string, bands array<long>, sketch binary")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -174,7 +175,6 @@ def _between(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left = None
-        done: set[tuple[int, int]] = set()
 
         def work(groups: pd.DataFrame) -> pd.DataFrame:
             keys = groups[["bucket", "part"]].to_numpy()
@@ -197,7 +197,6 @@ def _between(rows: DataFrame) -> DataFrame:
                 yield work(rows_now[~open_])
         if left is not None:
             yield work(left)
-        del done
 
     return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInPandas(run, "a long, b long")
 
@@ -220,7 +219,6 @@ def classes(docs: DataFrame, n: int = 2, similar: float = 0.8) -> DataFrame:
     least = spread.groupBy("bucket").agg(F.min("id").alias("least"), F.count("*").alias("size")).where("size > 1")
     shared = kept(spread.join(least, "bucket"), "buckets")
     sketches = own.select("id", "sketch")
-    # bits in which two sketches differ: the sketch as 8 numbers, exact in built-in functions
     star = shared.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     star = star.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("s_a")), "a")
     star = star.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("s_b")), "b")
@@ -249,6 +247,12 @@ def classes(docs: DataFrame, n: int = 2, similar: float = 0.8) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", kept_one.alias("kept"))
 
 
+def dedup(docs: DataFrame, n: int = 5, similar: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without those whose component has a smaller doc_id; all columns kept."""
+    gone = classes(docs, n, similar).where("NOT kept").select("doc_id").distinct()
+    return without(docs, gone, "doc_id")
+
+
 def differing(a: str, b: str):
     """Bits in which two sketches of equal length differ."""
     words = range(0, SKETCH_BITS // 8, 4)  # four bytes at a time: conv gives unsigned numbers

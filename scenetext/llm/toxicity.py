@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -271,15 +271,22 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
-            expected, spans = expected_toxic(fitted, batch.pop("_text").tolist(), spans=True)
-            yield batch.assign(score=fitted.score(expected), spans=spans)
-
-    rows = docs.select(*keep, text_of().alias("_text"))
+            # the other columns stay as they are, in Arrow
+            texts = batch.column("_text").to_pylist()
+            expected, spans = expected_toxic(fitted, texts, spans=True)
+            names = [n for n in batch.schema.names if n != "_text"]
+            columns = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(fitted.score(expected), pa.float64()), pa.array(spans, pa.string())],
+                [*names, "score", "spans"],
+            )
+
+    rows = docs.select(*(F.col(f"`{c}`") for c in keep), text_of().alias("_text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"]
-    return rows.mapInPandas(run, ", ".join([*fields, "score double", "spans string"]))
+    return rows.mapInArrow(run, ", ".join([*fields, "score double", "spans string"]))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
