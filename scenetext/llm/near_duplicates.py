@@ -7,10 +7,11 @@
 2. Equal sets become one node.
 3. Nodes of a bucket (equal band hash) are compared with the bucket's smallest
    node and linked if their full sets are similar enough.
-4. What is in one component by then needs no more links. All other pairs of a
-   bucket, those between components, are compared by sketch and then on
-   full sets. So every pair that shares a bucket is either connected or compared,
-   without writing out the pairs of a large group.
+4. What is in one component by then needs no more links. Documents of a bucket
+   that are close by sketch but in different components form clusters; in a
+   cluster every document is compared with those of the other components on
+   full sets. So every pair that shares a bucket is connected, far by sketch or
+   compared in full, and no pairs of a large group are written out.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SKETCH_BITS = 512
 LEAST_ESTIMATE = 0.6
 # Nodes of one bucket that are compared in one task.
 BLOCK = 8192
+# Bytes of full sets that are compared in one task.
+BLOCK_BYTES = 32 * 2**20
 CACHE_WORDS = 500_000
 
 _RNG = np.random.default_rng(20240229)
@@ -154,51 +157,100 @@ def confirm(pairs: DataFrame, docs: DataFrame, n: int, similar: float) -> DataFr
     return kept(both.mapInPandas(run, "a long, b long"), "edges")
 
 
-def _between(rows: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of ``rows(bucket, part, id, component, sketch, rest)`` in one
-    bucket and part, of different components, with at least one of them ``rest``,
-    whose sketches differ little enough."""
-    limit = most_bits(LEAST_ESTIMATE)
-
-    def pairs(g: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-        rest = np.flatnonzero(g["rest"].to_numpy())
-        ids, comp = g["id"].to_numpy(), g["component"].to_numpy()
-        bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(g), -1)
-        out = []
-        for r in rest:
-            near = np.bitwise_count(bits ^ bits[r]).sum(1) <= limit
-            near &= comp != comp[r]
-            hit = ids[near]
-            if len(hit):
-                out.append((np.minimum(hit, ids[r]), np.maximum(hit, ids[r])))
-        return out
+def _by_group(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work(group)`` for every (key, part) of ``rows``; many small groups share one call of Python."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left = None
 
-        def work(groups: pd.DataFrame) -> pd.DataFrame:
-            keys = groups[["bucket", "part"]].to_numpy()
+        def all_of(groups: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            keys = groups[["key", "part"]].to_numpy()
             edges = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-            found = []
-            for a, b in zip([0, *edges], [*edges, len(groups)], strict=True):
-                if b - a > 1:
-                    found += pairs(groups.iloc[a:b])
-            if not found:
-                return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-            frame = pd.DataFrame({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([y for _, y in found])})
-            return frame.drop_duplicates()
+            found = [work(groups.iloc[a:b]) for a, b in zip([0, *edges], [*edges, len(groups)], strict=True) if b - a > 1]
+            found = [f for f in found if f is not None]
+            if found:
+                yield pd.concat(found).drop_duplicates()
 
         for batch in batches:
             rows_now = batch if left is None else pd.concat([left, batch], ignore_index=True)
-            last = rows_now[["bucket", "part"]].iloc[-1]
-            open_ = ((rows_now["bucket"] == last["bucket"]) & (rows_now["part"] == last["part"])).to_numpy()
+            last = rows_now[["key", "part"]].iloc[-1]
+            open_ = ((rows_now["key"] == last["key"]) & (rows_now["part"] == last["part"])).to_numpy()
             left = rows_now[open_]
             if not open_.all():
-                yield work(rows_now[~open_])
+                yield from all_of(rows_now[~open_])
         if left is not None:
-            yield work(left)
-
-    return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInPandas(run, "a long, b long")
+            yield from all_of(left)
+
+    return rows.repartition("key", "part").sortWithinPartitions("key", "part").mapInPandas(run, schema)
+
+
+def _near(bits: np.ndarray, comp: np.ndarray, r: int) -> np.ndarray:
+    """Rows of other components whose sketch is close to that of row r."""
+    return (np.bitwise_count(bits ^ bits[r]).sum(1) <= most_bits(LEAST_ESTIMATE)) & (comp != comp[r])
+
+
+def _clusters(g: pd.DataFrame) -> pd.DataFrame | None:
+    """Links ``a, b`` that connect, within one group, every row marked ``rest`` with all its near rows: at most one per row."""
+    ids, comp = g["id"].to_numpy(), g["component"].to_numpy()
+    bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(g), -1)
+    label = ids.copy()
+    near = []
+    for r in np.flatnonzero(g["rest"].to_numpy()):
+        hit = _near(bits, comp, r)
+        if hit.any():
+            hit[r] = True
+            near.append(np.flatnonzero(hit))
+    changed = bool(near)
+    while changed:
+        changed = False
+        for hit in near:
+            low = label[hit].min()
+            if (label[hit] != low).any():
+                label[hit] = low
+                changed = True
+    moved = label != ids
+    return pd.DataFrame({"a": label[moved], "b": ids[moved]}) if moved.any() else None
+
+
+def _links(percent: int):
+    """For one part of a cluster: links of rows marked ``rest`` by full sets, one per other component."""
+
+    def work(g: pd.DataFrame) -> pd.DataFrame | None:
+        ids, comp = g["id"].to_numpy(), g["component"].to_numpy()
+        bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(g), -1)
+        sets = [np.frombuffer(h, np.uint64) for h in g["h"]]
+        size = np.array([len(h) for h in sets])
+        out = []
+        for r in np.flatnonzero(g["rest"].to_numpy()):
+            near = _near(bits, comp, r)
+            near &= (100 * size >= percent * size[r]) & (100 * size[r] >= percent * size)
+            done = set()
+            for c in np.flatnonzero(near):
+                if comp[c] in done:
+                    continue
+                place = np.searchsorted(sets[r], sets[c])
+                place[place == size[r]] = 0
+                common = int((sets[r][place] == sets[c]).sum())
+                if 100 * common >= percent * (size[r] + size[c] - common):
+                    done.add(comp[c])
+                    out.append((min(ids[r], ids[c]), max(ids[r], ids[c])))
+        return pd.DataFrame(out, columns=["a", "b"]) if out else None
+
+    return work
+
+
+def _parted(rows: DataFrame, weight: str, block: int) -> DataFrame:
+    """``rows(key, id, component, ...)`` of keys with several components, in parts of about ``block``
+    of ``weight``: those of the key's largest component are dealt out, all others (``rest``)
+    are in every part, so each of them meets all rows of the key in blocks."""
+    per = rows.groupBy("key", "component").agg(F.sum(weight).alias("c"))
+    mixed = per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("size"), F.count("*").alias("k"))
+    parts = F.ceil(F.col("size") / block).cast("int")
+    mixed = mixed.where("k > 1").select("key", F.col("top.component").alias("top"), parts.alias("parts"))
+    rows = rows.join(mixed, "key").withColumn("rest", F.col("component") != F.col("top"))
+    own = F.array(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    part = F.explode(F.when(F.col("rest"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own))
+    return rows.withColumn("part", part).drop("top", "parts", weight)
 
 
 def classes(docs: DataFrame, n: int = 2, similar: float = 0.8) -> DataFrame:
@@ -228,17 +280,17 @@ def classes(docs: DataFrame, n: int = 2, similar: float = 0.8) -> DataFrame:
     star = kept(star.select(F.explode(F.array_distinct(F.array("a1", "a2"))).alias("a"), "b"), "star")
     edges = confirm(star, docs, n, similar)
     first = kept(components(edges), "components")
-    placed = shared.select("bucket", "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = kept(placed, "placed")
-    per = placed.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    mixed = per.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("size"), F.count("*").alias("k"))
-    mixed = mixed.where("k > 1").select("bucket", F.col("top.component").alias("top"), F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    rows = placed.join(mixed, "bucket").withColumn("rest", F.col("component") != F.col("top"))
-    own_part = F.array(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("part", F.explode(F.when(F.col("rest"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own_part)))
-    rows = rows.join(sketches, "id").select("bucket", "part", "id", "component", "sketch", "rest")
-    more = kept(_between(rows).distinct(), "between")
-    edges = edges.union(confirm(more, docs, n, similar))
+    placed = shared.select(F.col("bucket").alias("key"), "id").join(first, "id", "left")
+    placed = kept(placed.withColumns({"component": F.coalesce("component", "id"), "one": F.lit(1)}), "placed")
+    rows = _parted(placed, "one", BLOCK).join(sketches, "id")
+    clusters = kept(_by_group(rows, _clusters, "a long, b long").distinct(), "clusters")
+    clusters = kept(components(clusters), "cluster-ids")
+    # every document of a cluster goes there once, with its full set
+    sets = kept(_sets(docs, kept(clusters.select("id"), "set-ids"), n), "sets")
+    members = clusters.select("id", F.col("component").alias("key")).join(first, "id", "left")
+    members = members.withColumn("component", F.coalesce("component", "id")).join(sets, "id")
+    members = _parted(members.withColumn("size", F.octet_length("h")), "size", BLOCK_BYTES).join(sketches, "id")
+    edges = edges.union(kept(_by_group(members, _links(round(similar * 100)), "a long, b long"), "links"))
     final = components(edges)
     label = nodes.join(final, "id", "left").select("set", F.coalesce("component", "id").alias("component_id"))
     out = sig.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set")).alias("set"))
