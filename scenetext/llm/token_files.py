@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +30,7 @@ from scenetext.sources.stores import open_store
 
 BLOCK = 512  # bits per rank entry
 SHARD_TOKENS = 8_000_000  # a file is closed when it has so many
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000  # words a worker remembers, from task to task
 
 
 class WaveletMatrix:
@@ -149,28 +151,65 @@ def from_bytes(data: bytes) -> tuple[WaveletMatrix, list, np.ndarray]:
     return WaveletMatrix(planes, ranks, head["n"]), docs, sizes
 
 
-_ENCODERS: dict[str, tuple[Tokenizer, dict[bytes, bytes]]] = {}
+_MARKS = b".,;:!?"
 
 
-def encode(text: str, vocabulary: str) -> bytes:
-    """Ids of a text as uint16 bytes.
+def _core(word: bytes) -> tuple[bytes, bytes]:
+    """A word as the part to encode and the marks at its end, encoded on their own.
+
+    The tokenizer makes letters small and cuts between letters and marks, so
+    case and final marks do not matter for the rest; words that may hold a
+    special token stay whole.
+    """
+    if b"<|" in word:
+        return word, b""
+    small = word.lower()
+    core = small.rstrip(_MARKS)
+    # only an ASCII letter or digit is sure to end its piece
+    return (core, small[len(core) :]) if core[-1:].isalnum() else (small, b"")
+
+
+def _encode_parts(tokenizer: Tokenizer, parts: set[bytes]) -> dict[bytes, bytes]:
+    """Ids of each part. Parts of letters alone are one piece each, and the last id of a
+    piece stands for text with ``</w>``: they go in one string and are cut there."""
+    texts = {p: p.decode() for p in parts}
+    plain = [p for p, t in texts.items() if t.isalpha() and t.lower().isalpha()]
+    rest = [p for p in parts.difference(plain)]
+    out = {}
+    if plain:
+        ids = tokenizer.encode(" ".join([texts[p] for p in plain]), add_special_tokens=False).ids
+        last = {i for i in set(ids) if tokenizer.id_to_token(i).endswith("</w>")}
+        cuts = [k + 1 for k, i in enumerate(ids) if i in last]
+        if len(cuts) == len(plain):
+            flat = np.array(ids, "<u2").tobytes()
+            out = {p: flat[2 * a : 2 * b] for p, a, b in zip(plain, [0, *cuts], cuts)}
+        else:
+            rest += plain
+    coded = tokenizer.encode_batch_fast([texts[p] for p in rest], add_special_tokens=False)
+    out.update((p, np.array(c.ids, "<u2").tobytes()) for p, c in zip(rest, coded, strict=True))
+    return out
+
+
+def encode(texts: list[str], vocabulary: str) -> list[bytes]:
+    """Ids of each text as uint16 bytes.
 
     White space always ends a piece of this kind of tokenizer, so words are
     encoded on their own and remembered.
     """
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = (Tokenizer.from_file(vocabulary), {})
-    tokenizer, cache = _ENCODERS[vocabulary]
-    words = text.encode().split()
-    got = list(map(cache.get, words))
-    if None in got:
-        new = list({w for w, g in zip(words, got, strict=True) if g is None})
-        coded = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        cache.update((w, np.array(c.ids, "<u2").tobytes()) for w, c in zip(new, coded, strict=True))
-        got = [cache[w] for w in words]
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-    return b"".join(got)
+    # a module of its own outlives the task: functions of this package travel by value
+    encoders = vars(sys.modules.setdefault("_token_files_words", types.ModuleType("_token_files_words")))
+    if vocabulary not in encoders:
+        encoders[vocabulary] = (Tokenizer.from_file(vocabulary), {}, {b"": b""})
+    tokenizer, cache, parts = encoders[vocabulary]
+    if len(cache) > CACHE_WORDS or len(parts) > CACHE_WORDS:
+        cache.clear()
+        parts.clear()
+        parts[b""] = b""
+    split = [text.encode().split() for text in texts]
+    new = {w: _core(w) for w in set().union(*split).difference(cache)}
+    parts.update(_encode_parts(tokenizer, {p for pair in new.values() for p in pair}.difference(parts)))
+    cache.update((w, parts[a] + parts[b]) for w, (a, b) in new.items())
+    return [b"".join(map(cache.__getitem__, words)) for words in split]
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, bits: int = 16, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -206,8 +245,10 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, bits:
 
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-                coded = encode(text, vocabulary)
+            texts = batch["text"].tolist()
+            # at most 1024 texts at a time, so that their words and ids stay few
+            coded_all = (c for k in range(0, len(texts), 1024) for c in encode(texts[k : k + 1024], vocabulary))
+            for doc_id, coded in zip(batch["doc_id"].tolist(), coded_all, strict=True):
                 ids += [coded, end]
                 names.append(None if doc_id == _NO_ID else doc_id)
                 sizes.append(len(coded) // 2 + 1)
