@@ -35,9 +35,11 @@ from scenetext.llm.common import text_of
 
 LENGTH, GRAM = 50, 16
 GRAMS = LENGTH - GRAM + 1
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 # Anchor hashes that one owner gets, about.
 OWNER_ANCHORS = 500_000
+# Strings that are sorted at once, about.
+BLOCK_STRINGS = 200_000
 # Depth in words of eight bytes to which quicksort goes before blind tries take over.
 SHALLOW = 3
 
@@ -272,16 +274,23 @@ def _least_docs(h: np.ndarray, seg: np.ndarray, size: np.ndarray, doc: np.ndarra
     if not len(mixed):
         return masks
     counts = (size[rep[mixed]] - LENGTH + 1).astype(np.int64)
-    owner = np.repeat(mixed, counts)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    place = at[rep[owner]] + offset
-    padded = -(-LENGTH // 8) * 8
-    cells = np.zeros((len(place), padded), np.uint8)
-    cells[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[place]
-    classes = deep_shallow(cells.view(">u8").astype(np.uint64))
-    lowest = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(lowest, classes, least[owner])
-    found = lowest[classes]
+    # blocks of whole anchors, so that memory does not follow the owner's share
+    upto = np.cumsum(counts)
+    heads = np.flatnonzero(np.concatenate([[True], anchor[mixed][1:] != anchor[mixed][:-1]]))
+    block = np.concatenate([[0], upto])[heads] // BLOCK_STRINGS
+    cuts = heads[np.concatenate([[True], block[1:] != block[:-1]])].tolist()
+    found = np.empty(int(upto[-1]), np.int64)
+    views = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+    for s, e in zip(cuts, [*cuts[1:], len(mixed)], strict=True):
+        owner = np.repeat(mixed[s:e], counts[s:e])
+        begin = int(upto[s] - counts[s])
+        offset = np.arange(len(owner)) + begin - np.repeat(upto[s:e] - counts[s:e], counts[s:e])
+        cells = np.zeros((len(owner), -(-LENGTH // 8) * 8), np.uint8)
+        cells[:, :LENGTH] = views[at[rep[owner]] + offset]
+        classes = deep_shallow(cells.view(">u8").astype(np.uint64))
+        lowest = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(lowest, classes, least[owner])
+        found[begin : begin + len(owner)] = lowest[classes]
     # all occurrences of these stretches, not only the one with the smallest doc
     span = np.zeros(len(rep) + 1, np.int64)
     span[mixed + 1] = counts
@@ -409,7 +418,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     packed = pack(docs)
     volume = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     name = f"chunks_{uuid.uuid4().hex}"
-    buckets = int(min(50_000, max(8, volume // (2 * CHUNK_BYTES))))
+    buckets = int(min(50_000, max(8, volume // (4 * CHUNK_BYTES))))
     packed.write.bucketBy(buckets, "chunk").option("compression", "zstd").saveAsTable(name)
     chunks = spark.table(name)
     owners = max(256, volume // 17 // OWNER_ANCHORS)
