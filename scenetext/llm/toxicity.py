@@ -109,7 +109,8 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
     """
     least, share, times = 4, 0.02, 12.0
     texts, labels = zip(*dict(zip(texts, labels, strict=True)).items(), strict=True) if texts else ((), ())
-    words = [text.encode().split() for text in texts]
+    one: dict[bytes, bytes] = {}  # equal words share their memory
+    words = [[one.setdefault(w, w) for w in text.encode().split()] for text in texts]
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
         return Model({}, -20.0, np.zeros((2, 2)), 0.0 if not len(y) or not y.max() else 1.0, 30.0)
