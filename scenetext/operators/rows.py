@@ -1,7 +1,8 @@
 """User functions over rows, for what no expression can say.
 
-Functions get pandas Series or plain values in Arrow batches; a batch is the
-most a task holds in Python.
+Functions get plain Python values, one column of an Arrow batch at a time, and
+NULL as None; all other columns stay in Arrow, so no value changes its type. A
+batch is the most a task holds in Python.
 """
 
 from __future__ import annotations
@@ -10,8 +11,9 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 # Distinct keys a task holds while it combines before the shuffle.
@@ -42,35 +44,49 @@ def map_column(
     df: DataFrame, column: str, fn: Callable[[Any], Any], name: str, type_: str
 ) -> DataFrame:
     """New column ``name`` = ``fn`` of every value of ``column``."""
+    keep = [c for c in df.columns if c != name]
+    schema = _schema(df, keep, name, type_)
+    kind = to_arrow_type(schema[name].dataType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = pa.array([fn(v) for v in batch.column(column).to_pylist()], kind)
+            yield _batch(batch, keep, name, values)
 
-    @F.pandas_udf(type_)
-    def apply(values: pd.Series) -> pd.Series:
-        return values.map(fn)
+    return df.mapInArrow(run, schema)
 
-    return df.withColumn(name, apply(column))
+
+def _batch(batch: pa.RecordBatch, keep: list[str], name: str, values: pa.Array) -> pa.RecordBatch:
+    """Columns ``keep`` of a batch, and one more."""
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), values], [*keep, name])
 
 
 def filter_rows(df: DataFrame, column: str, predicate: Callable[[Any], bool]) -> DataFrame:
     """Rows for whose ``column`` the predicate holds."""
 
-    def keep(batch: pd.DataFrame) -> pd.DataFrame:
-        return batch[batch[column].map(predicate).astype(bool)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(predicate(v)) for v in batch.column(column).to_pylist()], pa.bool_()))
 
-    return map_rows(df, keep, df.schema)
+    return df.mapInArrow(run, df.schema)
 
 
 def flat_map(
     df: DataFrame, column: str, fn: Callable[[Any], list], name: str, type_: str
 ) -> DataFrame:
     """One row per element of ``fn(value)``; the other columns are kept."""
-    keep = [c for c in df.columns if c != column]
+    keep = [c for c in df.columns if c not in (column, name)]
     schema = _schema(df, keep, name, type_)
+    kind = to_arrow_type(schema[name].dataType)
 
-    def expand(batch: pd.DataFrame) -> pd.DataFrame:
-        lists = batch[column].map(fn)
-        return batch[keep].assign(**{name: lists})[lists.map(len) > 0].explode(name)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [fn(v) for v in batch.column(column).to_pylist()]
+            rows = pa.array([i for i, found in enumerate(lists) for _ in found], pa.int64())
+            values = pa.array([x for found in lists for x in found], kind)
+            yield _batch(batch.take(rows), keep, name, values)
 
-    return map_rows(df, expand, schema)
+    return df.mapInArrow(run, schema)
 
 
 def reduce_rows(
@@ -78,38 +94,37 @@ def reduce_rows(
 ) -> DataFrame:
     """Values of every key folded with a commutative, associative ``fn(a, b)``.
 
+    NULL is a key like any other; NULL values are left out, as in a sum, and a
+    key without any other value gets NULL.
+
     A task first folds its own rows, so that a hot key leaves it as one row
     (one per ``COMBINE_KEYS`` other keys at most). After the shuffle the rows
     of a key follow each other and are folded as they stream by; no group is
     held in memory.
     """
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(batch[key].tolist(), batch[value].tolist(), strict=True)
-
-    def table(folded: dict) -> pd.DataFrame:
-        return pd.DataFrame({key: list(folded.keys()), value: list(folded.values())})
-
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        folded: dict = {}
-        for k, v in rows(batches):
-            if k not in folded and len(folded) >= COMBINE_KEYS:
-                yield table(folded)
-                folded = {}
-            folded[k] = fn(folded[k], v) if k in folded else v
-        yield table(folded)
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # At most this many finished keys wait for output, besides the open one.
-        done: dict = {}
-        for k, v in rows(batches):
-            if k not in done and len(done) >= OUTPUT_KEYS:
-                yield table(done)
-                done = {}
-            done[k] = fn(done[k], v) if k in done else v
-        yield table(done)
-
     schema = _schema(df, [key], value, type_)
-    partial = df.select(key, value).mapInPandas(combine, schema)
-    return partial.repartition(key).sortWithinPartitions(key).mapInPandas(fold, schema)
+
+    def folding(most: int, out: StructType) -> Callable:
+        kinds = [to_arrow_type(f.dataType) for f in out.fields]
+
+        def table(folded: dict) -> pa.RecordBatch:
+            arrays = [pa.array(list(x), k) for x, k in zip((folded.keys(), folded.values()), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, [key, value])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            folded: dict = {}
+            for batch in batches:
+                pairs = zip(batch.column(key).to_pylist(), batch.column(value).to_pylist(), strict=True)
+                for k, v in pairs:
+                    if k not in folded and len(folded) >= most:
+                        yield table(folded)
+                        folded = {}
+                    old = folded.get(k)
+                    folded[k] = v if old is None else old if v is None else fn(old, v)
+            yield table(folded)
+
+        return run
+
+    partial = df.select(key, value).mapInArrow(folding(COMBINE_KEYS, schema), schema)
+    # at most OUTPUT_KEYS finished keys wait for output, besides the open one
+    return partial.repartition(key).sortWithinPartitions(key).mapInArrow(folding(OUTPUT_KEYS, schema), schema)

@@ -51,10 +51,19 @@ def sized(table: DataFrame, weight: str = "n") -> Sized:
     return Sized(table, weight, *measured_bytes(table, weight))
 
 
+def null_safe_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns, where NULL equals NULL: keys first, as a join by name has them."""
+    right = small.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    equal = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on]
+    rest = [c for df in (large, small) for c in df.columns if c not in on]
+    return large.join(right, equal, how).select(*on, *rest)
+
+
 def attach(
     large: DataFrame, small: Sized, on: Sequence[str], spread_on: Sequence[str], limit: int
 ) -> DataFrame:
     """Inner join of a large table with one derived from it; the weight is left out.
+    NULL in a key is a value like any other, so no row of ``large`` is lost.
 
     Up to ``limit`` bytes the small side is broadcast and ``large`` does not
     move. Beyond that both are shuffled; the rows of hot keys are spread by a
@@ -62,15 +71,15 @@ def attach(
     """
     on, table, weight = list(on), small.table, small.weight
     if small.size <= limit:
-        return large.join(F.broadcast(table.drop(weight)), on, "inner")
+        return null_safe_join(large, F.broadcast(table.drop(weight)), on)
     is_hot = F.col(weight) * HOT_SHARE > small.rows
     hot = table.where(is_hot).select(*on, F.lit(True).alias("_hot"))
     salt = F.pmod(F.xxhash64(*spread_on), F.lit(SALTS)).cast("int")
     spread = (
-        large.join(F.broadcast(hot), on, "left")  # fewer than HOT_SHARE rows, see above
+        null_safe_join(large, F.broadcast(hot), on, "left")  # fewer than HOT_SHARE rows, see above
         .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
         .drop("_hot")
     )
     groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     copies = table.withColumn("_salt", F.explode(groups)).drop(weight)
-    return spread.join(copies, [*on, "_salt"], "inner").drop("_salt")
+    return null_safe_join(spread, copies, [*on, "_salt"]).drop("_salt")
