@@ -37,7 +37,7 @@ LENGTH, GRAM = 50, 16
 GRAMS = LENGTH - GRAM + 1
 CHUNK_BYTES = 2_000_000
 # Anchor hashes that one owner gets, about.
-OWNER_ANCHORS = 500_000
+OWNER_ANCHORS = 50_000
 # Strings that are sorted at once, about.
 BLOCK_STRINGS = 200_000
 # Depth in words of eight bytes to which quicksort goes before blind tries take over.
