@@ -26,6 +26,8 @@ MAX_SEQUENCE = 256
 PREFIXES = (4, 5, 6)
 # Words whose features a worker remembers.
 CACHE = 500_000
+# Numbers in a matrix of padded sequences, in tasks and where the field is fitted.
+CELLS, TRAIN_CELLS = 2_000_000, 250_000
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -81,7 +83,7 @@ def marginals(emissions: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return (odds / (1 + odds)).T
 
 
-def _blocks(values: list[np.ndarray], cells: int = 2_000_000) -> Iterator[tuple[list[int], np.ndarray]]:
+def _blocks(values: list[np.ndarray], cells: int) -> Iterator[tuple[list[int], np.ndarray]]:
     """Groups of rows of about equal length as padded matrices of bounded size."""
     order = sorted(range(len(values)), key=lambda i: len(values[i]))
     at = 0
@@ -114,40 +116,42 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
         return Model({}, -20.0, np.zeros((2, 2)), 0.0 if not len(y) or not y.max() else 1.0, 30.0)
+    n_toxic, n_clean = y.sum(), len(y) - y.sum()
+    # only features common in toxic documents are kept of any word, the rest of the vocabulary has none
+    in_toxic: Counter[str] = Counter()
+    for doc, label in zip(words, labels, strict=True):
+        if label:
+            in_toxic.update({f for w in set(doc) for f in features(w.decode("utf-8", "replace"))})
+    common = {f: f for f, n in in_toxic.items() if n >= max(least, share * n_toxic)}
     known: dict[bytes, list[str]] = {}
-    seen = [Counter(), Counter()]
+    for w in one:
+        if found := [common[f] for f in features(w.decode("utf-8", "replace")) if f in common]:
+            known[w] = found
+    in_clean: Counter[str] = Counter()
     for doc, label in zip(words, labels, strict=True):
-        found = set()
-        for w in set(doc):
-            if w not in known:
-                known[w] = features(w.decode("utf-8", "replace"))
-            found.update(known[w])
-        seen[label].update(found)
-    n_toxic, n_clean = y.sum(), len(y) - y.sum()
-    names = sorted(
-        f
-        for f, n in seen[1].items()
-        if n >= max(least, share * n_toxic) and n / n_toxic >= times * (seen[0][f] + 0.5) / n_clean
-    )
+        if not label:
+            in_clean.update({f for w in set(doc) for f in known.get(w, ())})
+    names = sorted(f for f in common if in_toxic[f] / n_toxic >= times * (in_clean[f] + 0.5) / n_clean)
+    del in_toxic, in_clean, one
     number = {f: k for k, f in enumerate(names)}
     ids = {w: [number[f] for f in fs if f in number] for w, fs in known.items()}
     # sequences: tokens as (row, place) with feature numbers, tags
     cut = [d[i : i + MAX_SEQUENCE] for d in words for i in range(0, len(d), MAX_SEQUENCE)]
     toxic = [label for d, label in zip(words, labels, strict=True) for _ in range(0, len(d), MAX_SEQUENCE)]
     # clean sequences without any feature all look alike: they only matter through their length
-    marked = [any(ids[w] for w in s) for s in cut]
+    marked = [any(ids.get(w) for w in s) for s in cut]
     kept_rows = [k for k in range(len(cut)) if marked[k]] + [k for k in range(len(cut)) if not marked[k]][:1000]
     blocks = []
     lengths = [np.empty(len(cut[k])) for k in kept_rows]
-    for rows, block in _blocks(lengths):
+    for rows, block in _blocks(lengths, TRAIN_CELLS):
         at, feature, tags = [], [], np.zeros(block.shape)
         for r, k in enumerate(rows):
             seq, label = cut[kept_rows[k]], toxic[kept_rows[k]]
             for c, w in enumerate(seq):
-                if ids[w]:
+                if found := ids.get(w):
                     tags[r, c] = label
-                    at += [r * block.shape[1] + c] * len(ids[w])
-                    feature += ids[w]
+                    at += [r * block.shape[1] + c] * len(found)
+                    feature += found
         real = ~np.isnan(np.where(np.arange(block.shape[1]) < np.array([len(lengths[k]) for k in rows])[:, None], 0.0, np.nan))
         blocks.append((real, np.array(at, int), np.array(feature, int), tags))
     tagged, plain, active = np.zeros(len(names)), np.zeros(len(names)), np.zeros(len(names))
@@ -158,6 +162,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
         plain += np.bincount(feature, 1 - tag, len(names))
         active += np.bincount(feature, per_token[at], len(names))
     n_tokens = sum(len(d) for d in words)
+    del words, cut, lengths
     bias = np.array(np.log((sum(b[3].sum() for b in blocks) + 1) / (n_tokens + 1)))
     # features of one token share its weight
     weights = (np.log((tagged + 0.5) / (plain + 0.5)) - bias) / np.maximum(active / np.maximum(tagged + plain, 1), 1)
@@ -186,7 +191,8 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
             h += g * g
             x += rate * g / np.sqrt(h)
     fitted = Model(dict(zip(names, weights.tolist(), strict=True)), float(bias), trans, 1.0, 0.0)
-    expected = np.log(expected_toxic(fitted, texts)[0] + 1e-6)
+    expected = np.log(expected_toxic(fitted, texts, cells=TRAIN_CELLS)[0] + 1e-6)
+    _CACHE.pop(id(fitted), None)
     slope, centre = _logistic(expected, y)
     return fitted._replace(slope=slope, centre=centre)
 
@@ -204,7 +210,9 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(mid - b[0] / slope / 1.0)
 
 
-def expected_toxic(model: Model, texts: list[str], spans: bool = False) -> tuple[np.ndarray, list[str]]:
+def expected_toxic(
+    model: Model, texts: list[str], spans: bool = False, cells: int = CELLS
+) -> tuple[np.ndarray, list[str]]:
     """Toxic tokens per text, and ``start:end`` of likely runs (code points).
 
     The number is the greatest probability plus those of all tokens that are
@@ -223,7 +231,7 @@ def expected_toxic(model: Model, texts: list[str], spans: bool = False) -> tuple
             cache.clear()
         values.append(np.array(got) if got else np.array([]))
     out, runs = np.zeros(len(texts)), [""] * len(texts)
-    for rows, block in _blocks(values):
+    for rows, block in _blocks(values, cells):
         p = marginals(block, model.trans)
         sums = np.nanmax(np.nan_to_num(p), 1) + np.where(p >= 0.5, p, 0.0).sum(1)
         for k, i in enumerate(rows):
