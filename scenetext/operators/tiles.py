@@ -20,7 +20,14 @@ from pyspark.sql import types as T
 from scenetext.functions import cells as C
 from scenetext.functions.paths import BANDS, band_index
 from scenetext.operators.raster import CHANNELS, TILE, histogram_bounds
-from scenetext.plans.sizing import BROADCAST_BYTES, Sized, attach, measured_bytes, sized
+from scenetext.plans.sizing import (
+    BROADCAST_BYTES,
+    Sized,
+    attach,
+    measured_bytes,
+    null_safe_join,
+    sized,
+)
 from scenetext.sources.cells import (
     NODATA,
     arrow_schema,
@@ -33,7 +40,11 @@ from scenetext.sources.cells import (
 # Pieces of a grid cell that one group takes before the cell is split.
 MAX_PIECES = 256
 
-HEADER = ("scene_id", "band", "source", "xmin", "ymin", "xmax", "ymax", "cols", "rows")
+# Cell sizes that differ by less than this share of them count as equal.
+CELL_TOLERANCE = 1e-6
+
+HEADER = ("scene_id", "crs", "band", "source", "xmin", "ymin", "xmax", "ymax", "cols", "rows")
+CELL_KEYS = ("scene_id", "crs", "layout_col", "layout_row")
 
 
 def _ddl(df: DataFrame, *names: str) -> str:
@@ -128,11 +139,12 @@ def percentile_stretch(
     return _map_tiles(joined, apply, drop=("p_low", "p_high"))
 
 
-def layer_metadata(headers: DataFrame, tile: int = TILE) -> DataFrame:
-    """Bounds, cell size and grid size of every scene, from tile headers alone."""
+def _layers(headers: DataFrame, tile: int) -> DataFrame:
+    """``layer_metadata`` with ``mixed_cells``: whether its tiles differ in cell size."""
     width = (F.col("xmax") - F.col("xmin")) / F.col("cols")
     height = (F.col("ymax") - F.col("ymin")) / F.col("rows")
-    bounds = headers.groupBy("scene_id").agg(
+    mixed = [F.max(c) - F.min(c) > F.lit(CELL_TOLERANCE) * F.min(c) for c in (width, height)]
+    bounds = headers.groupBy(*_layer_keys(headers)).agg(
         F.min("xmin").alias("layer_xmin"),
         F.min("ymin").alias("layer_ymin"),
         F.max("xmax").alias("layer_xmax"),
@@ -140,6 +152,7 @@ def layer_metadata(headers: DataFrame, tile: int = TILE) -> DataFrame:
         F.min(width).alias("cell_width"),
         F.min(height).alias("cell_height"),
         F.count("*").alias("n"),
+        (mixed[0] | mixed[1]).alias("mixed_cells"),
     )
     across = (F.col("layer_xmax") - F.col("layer_xmin")) / F.col("cell_width")
     down = (F.col("layer_ymax") - F.col("layer_ymin")) / F.col("cell_height")
@@ -154,11 +167,31 @@ def layer_metadata(headers: DataFrame, tile: int = TILE) -> DataFrame:
     )
 
 
+def layer_metadata(headers: DataFrame, tile: int = TILE) -> DataFrame:
+    """Bounds, cell size and grid size of every scene, from tile headers alone;
+    if there is a ``crs`` column, of every reference system of a scene."""
+    return _layers(headers, tile).drop("mixed_cells")
+
+
+def mixed_layers(headers: DataFrame) -> DataFrame:
+    """``scene_id`` (and ``crs``) of the layers whose tiles differ in cell size.
+    Nothing is resampled, so ``composite`` leaves them out."""
+    return _layers(headers, TILE).where("mixed_cells").select(*_layer_keys(headers))
+
+
+def _layer_keys(df: DataFrame) -> list[str]:
+    return ["scene_id", "crs"] if "crs" in df.columns else ["scene_id"]
+
+
+def _with_crs(df: DataFrame) -> DataFrame:
+    return df if "crs" in df.columns else df.withColumn("crs", F.lit(None).cast("string"))
+
+
 def _placed(tiles: DataFrame, layer: Sized, limit: int) -> DataFrame:
     """Cell offsets ``dx, dy`` of every tile from the upper left corner of its scene."""
     dx = (F.col("xmin") - F.col("layer_xmin")) / F.col("cell_width")
     dy = (F.col("layer_ymax") - F.col("ymax")) / F.col("cell_height")
-    return attach(tiles, layer, ["scene_id"], ["source"], limit).withColumns(
+    return attach(tiles, layer, ["scene_id", "crs"], ["source"], limit).withColumns(
         {"dx": F.round(dx).cast("int"), "dy": F.round(dy).cast("int")}
     )
 
@@ -180,7 +213,7 @@ def _cut(placed: DataFrame, tile: int, lo: int, hi: int) -> DataFrame:
     Two bytes per cell, so the shuffle that follows moves half of what the
     tiles hold.
     """
-    meta = ("scene_id", "source", "channel", "layer_cols", "layer_rows")
+    meta = ("scene_id", "crs", "source", "channel", "layer_cols", "layer_rows")
     schema = (
         f"{_ddl(placed, *meta)}, layout_col INT, layout_row INT, off_x INT, off_y INT, "
         "cols INT, rows INT, cells ARRAY<SMALLINT>"
@@ -253,7 +286,7 @@ class _Mosaic:
 def _merged(pieces: DataFrame, part: Column, tile: int, channels: int) -> DataFrame:
     """First round for crowded cells: each part of a cell becomes one piece per
     channel that remembers which source every value came from."""
-    keys = ["scene_id", "layout_col", "layout_row"]
+    keys = list(CELL_KEYS)
     source = pieces.schema["source"].dataType.simpleString()
     schema = (
         f"{_ddl(pieces, *keys, 'channel', 'layer_cols', 'layer_rows')}, off_x INT, off_y INT, "
@@ -264,12 +297,12 @@ def _merged(pieces: DataFrame, part: Column, tile: int, channels: int) -> DataFr
     def merge(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
     ) -> Iterator[pa.RecordBatch]:
-        mosaic, layer = _collect(batches, key[1].as_py(), key[2].as_py(), tile, channels)
+        mosaic, layer = _collect(batches, key[2].as_py(), key[3].as_py(), tile, channels)
         mosaic.compact()
         for channel in range(channels):
             yield batch(
                 arrow,
-                **dict(zip(keys, [k.as_py() for k in key[:3]], strict=True)),
+                **dict(zip(keys, [k.as_py() for k in key[:4]], strict=True)),
                 **layer,
                 channel=channel,
                 off_x=0,
@@ -319,15 +352,15 @@ def _collect(
 
 def _stacked(pieces: DataFrame, tile: int, channels: Sequence[str]) -> DataFrame:
     """Last round: one row per grid cell with one array per channel."""
-    keys = ["scene_id", "layout_col", "layout_row"]
-    lists = ", ".join(f"`{c}` ARRAY<INT>" for c in channels)
+    keys = list(CELL_KEYS)
+    lists =", ".join(f"`{c}` ARRAY<INT>" for c in channels)
     schema = f"{_ddl(pieces, *keys)}, cols INT, rows INT, {lists}"
     arrow = arrow_schema(schema)
 
     def stack(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
     ) -> Iterator[pa.RecordBatch]:
-        mosaic, _ = _collect(batches, key[1].as_py(), key[2].as_py(), tile, len(channels))
+        mosaic, _ = _collect(batches, key[2].as_py(), key[3].as_py(), tile, len(channels))
         yield batch(
             arrow,
             **dict(zip(keys, [k.as_py() for k in key], strict=True)),
@@ -361,38 +394,40 @@ def composite(
     that is cheaper to get (a header pass over files); it gives the bounds of
     the scenes and shows which cells are covered so often that their pieces
     must be split over several groups first.
+
+    With a ``crs`` column, every reference system of a scene is a grid of its
+    own. Unreadable files and layers of mixed cell sizes are left out;
+    ``plans.archive.archive_errors`` lists them.
     """
     wanted = F.col("band").isin(*bands)
     # Told by a header column, so that a pass over headers never touches cells.
     wanted &= F.col("cols").isNotNull()
-    headers = (tiles if headers is None else headers).where(wanted).select(*HEADER)
-    tiles = tiles.where(wanted)
-    layer = sized(
-        layer_metadata(headers, tile).drop("layer_ymin", "layer_xmax", "layout_cols", "layout_rows")
-    )
+    has_crs = "crs" in tiles.columns
+    headers = _with_crs(tiles if headers is None else headers).where(wanted).select(*HEADER)
+    tiles = _with_crs(tiles).where(wanted)
+    unused = ("mixed_cells", "layer_ymin", "layer_xmax", "layout_cols", "layout_rows")
+    layer = sized(_layers(headers, tile).where(~F.col("mixed_cells")).drop(*unused))
     placed = _placed(tiles, layer, limit).withColumn("channel", band_index(F.col("band"), bands))
     pieces = _cut(placed, tile, lo, hi)
     crowded = (
         _grid_cells(_placed(headers, layer, limit), tile)
-        .groupBy("scene_id", "layout_col", "layout_row")
+        .groupBy(*CELL_KEYS)
         .agg(F.count("*").alias("pieces"))
         .where(F.col("pieces") > max_pieces)
-        .select(
-            "scene_id", "layout_col", "layout_row", F.ceil(F.sqrt("pieces")).cast("int").alias("parts")
-        )
+        .select(*CELL_KEYS, F.ceil(F.sqrt("pieces")).cast("int").alias("parts"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     size, cells = measured_bytes(crowded)
     if cells:
         part = F.pmod(F.xxhash64("source"), F.col("parts"))
         if size <= limit:
-            keys = ["scene_id", "layout_col", "layout_row"]
-            pieces = pieces.join(F.broadcast(crowded), keys, "left")
+            pieces = null_safe_join(pieces, F.broadcast(crowded), CELL_KEYS, "left")
         else:
             most = crowded.agg(F.max("parts")).first()[0]
             pieces = pieces.withColumn("parts", F.lit(most))
         pieces = _merged(pieces, F.coalesce(part, F.lit(0)), tile, len(channels))
-    return _stacked(pieces, tile, channels)
+    stacked = _stacked(pieces, tile, channels)
+    return stacked if has_crs else stacked.drop("crs")
 
 
 def to_pixels(tiles: DataFrame, tile: int = TILE, channels: Sequence[str] = CHANNELS) -> DataFrame:

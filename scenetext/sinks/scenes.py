@@ -187,12 +187,16 @@ class SceneImages(DataSource):
         return ImageWriter(self.options["path"])
 
 
-def write_images(images: DataFrame, folder: str, extension: str = "png") -> None:
+def write_images(
+    images: DataFrame, folder: str, extension: str = "png", by_crs: bool = False
+) -> None:
     """Image files ``<scene>/<row>_<col>.<extension>`` below ``folder``, written by
-    the executors. ``folder`` must be one all of them reach."""
+    the executors. ``folder`` must be one all of them reach. ``by_crs`` adds the
+    column ``crs`` to the name, which scenes in several reference systems need."""
     spark = images.sparkSession
     spark.dataSource.register(SceneImages)
-    cell = F.concat_ws("_", "layout_row", "layout_col")
-    name = F.concat(F.col("scene_id").cast("string"), F.lit("/"), cell, F.lit(f".{extension}"))
+    zone = [F.regexp_replace("crs", "[^A-Za-z0-9]+", "-")] if by_crs else []
+    cell = F.concat_ws("_", *zone, "layout_row", "layout_col")
+    name =F.concat(F.col("scene_id").cast("string"), F.lit("/"), cell, F.lit(f".{extension}"))
     named = images.select(name.alias("name"), "image")
     named.write.format("scene_images").mode("append").option("path", folder).save()

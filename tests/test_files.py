@@ -5,11 +5,12 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from scenetext.operators import raster as R
 from scenetext.operators import tiles as T
-from scenetext.plans.archive import compose_archive, write_archive
+from scenetext.plans.archive import archive_errors, archive_headers, compose_archive, write_archive
 from scenetext.sinks import scenes as K
 from scenetext.sinks.folders import shared_folder
 from scenetext.sources import rasters as S
@@ -137,6 +138,62 @@ def test_unreadable_files_become_error_rows(spark, archive):
     assert any("compression 5" in r["error"] for r in scan)
 
 
+def test_what_is_left_out_is_reported(spark, archive, rows):
+    assert rows(archive_errors(archive_headers(spark, str(archive)))) == []
+    good = write_image(image(0)[None], EXTENT, 32633)
+    save(archive, "BAD", "B2", good)
+    save(archive, "BAD", "B3", b"not an image")
+    got = rows(archive_errors(archive_headers(spark, str(archive))), "scene_id", "band", F.col("path").isNull())
+    assert got == [("BAD", "B3", False), ("BAD", "B3", True), ("BAD", "B5", True)]
+
+
+def test_damage_behind_a_good_header_is_counted(spark, archive, rows):
+    good = write_image(image(0)[None], EXTENT, 32633)
+    save(archive, "BAD", "B2", good[: len(good) // 2])
+    for band in ("B3", "B5"):
+        save(archive, "BAD", band, good)
+    seen = Observation()
+    compose_archive(spark, str(archive), tile=16, damaged=seen).collect()
+    assert seen.get == {"files": 1}
+    got = rows(archive_errors(S.scan_rasters(spark, str(archive))), "scene_id", "band", F.col("path").isNull())
+    assert got == [("BAD", "B2", False), ("BAD", "B2", True)]
+
+
+def test_reference_systems_and_cell_sizes_stay_apart(spark, tmp_path, rows):
+    for k, (name, crs) in enumerate((("a", 32631), ("b", 32632))):
+        for band in ("B2", "B3", "B5"):
+            folder = tmp_path / name / "SC1"
+            folder.mkdir(parents=True, exist_ok=True)
+            (folder / f"SC1_{band}.TIF").write_bytes(write_image(image(k)[None], EXTENT, crs))
+            wide = (100.0, 200.0, 140.0, 230.0 + 30 * k)
+            save(tmp_path / name, "SC2", band, write_image(image(k)[None], wide, 32633))
+    headers = archive_headers(spark, str(tmp_path))
+    assert rows(archive_errors(headers)) == [(None, "SC2", None, "cell sizes differ in EPSG:32633")]
+    made = compose_archive(spark, str(tmp_path), tile=64, headers=headers)
+    assert rows(made, "scene_id", "crs") == [("SC1", "EPSG:32631"), ("SC1", "EPSG:32632")]
+    cells = {r["crs"]: r["r"] for r in made.collect()}
+    assert cells["EPSG:32631"] != cells["EPSG:32632"]
+
+
+@pytest.mark.parametrize("stretch", [False, True])
+def test_files_are_read_once(spark, archive, stretch, monkeypatch):
+    reads = spark.sparkContext.accumulator(0)
+    scan = S.scan_rasters
+
+    def counted(*args):
+        def count(batches):
+            for b in batches:
+                reads.add(b.num_rows)
+                yield b
+
+        tiles = scan(*args)
+        return tiles.mapInArrow(count, tiles.schema)
+
+    monkeypatch.setattr(S, "scan_rasters", counted)
+    compose_archive(spark, str(archive), stretch=stretch, tile=16).collect()
+    assert reads.value == 6 * (2 if stretch else 1)
+
+
 def test_ranged_headers_equal_whole_reads(spark, archive, rows):
     save(archive, "BAD", "B3", b"not an image")
     save(archive, "BAD", "B2", write_image(image(0)[None])[:5000])
