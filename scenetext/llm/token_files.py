@@ -30,7 +30,7 @@ from scenetext.sources.stores import open_store
 
 BLOCK = 512  # bits per rank entry
 SHARD_TOKENS = 8_000_000  # a file is closed when it has so many
-CACHE_WORDS = 1_000_000  # words a worker remembers, from task to task
+CACHE_WORDS = 500_000  # words a worker remembers, from task to task
 
 
 class WaveletMatrix:

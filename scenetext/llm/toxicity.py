@@ -27,7 +27,7 @@ PREFIXES = (4, 5, 6)
 # Words whose features a worker remembers.
 CACHE = 500_000
 # Numbers in a matrix of padded sequences, in tasks and where the field is fitted.
-CELLS, TRAIN_CELLS = 2_000_000, 250_000
+CELLS, TRAIN_CELLS = 500_000, 250_000
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
