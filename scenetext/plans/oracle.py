@@ -215,6 +215,17 @@ ORACLE: dict[str, str] = {
                      max(tile_left) + 8 - min(tile_left) AS layer_cols,
                      max(tile_top) + 8 - min(tile_top) AS layer_rows
               FROM tile GROUP BY scene_id) m""",
+    "tile_layer_zones": f"""WITH {TILE}
+        SELECT *, CAST(ceil(layer_cols / 16) AS INT) AS layout_cols,
+               CAST(ceil(layer_rows / 16) AS INT) AS layout_rows
+        FROM (SELECT scene_id, concat('EPSG:3263', tile_no % 2 + 1) AS crs, CAST(min(tile_left) AS DOUBLE) AS layer_xmin,
+                     CAST(-max(tile_top) - 8 AS DOUBLE) AS layer_ymin,
+                     CAST(max(tile_left) + 8 AS DOUBLE) AS layer_xmax,
+                     CAST(-min(tile_top) AS DOUBLE) AS layer_ymax,
+                     CAST(1 AS DOUBLE) AS cell_width, CAST(1 AS DOUBLE) AS cell_height, count(*) AS n,
+                     max(tile_left) + 8 - min(tile_left) AS layer_cols,
+                     max(tile_top) + 8 - min(tile_top) AS layer_rows
+              FROM tile GROUP BY ALL) m""",
     "tile_composite": f"WITH {TILE_GRID} SELECT * FROM tile_rgb",
     "scan_rasters": f"""WITH {FILES}
         SELECT path, CAST(f.tile_no AS VARCHAR) AS scene_id, f.band, xmin, ymin, xmax, ymax,
@@ -224,6 +235,14 @@ ORACLE: dict[str, str] = {
     "raster_info": f"""WITH {FILES}
         SELECT path, 'GTiff' AS format, 8 AS cols, 8 AS rows, 1 AS bands, xmin, ymin, xmax, ymax,
                CAST(NULL AS VARCHAR) AS crs, CAST(NULL AS VARCHAR) AS error FROM files""",
+    "composite_errors": f"""WITH {FILES},
+        damaged AS (SELECT * FROM files WHERE tile_no % 7 = 0 AND band = 'B3'),
+        gap AS (SELECT tile_no, band FROM (SELECT DISTINCT tile_no FROM files) t,
+                       (VALUES ('B2'), ('B3'), ('B5')) b(band)
+                EXCEPT (SELECT tile_no, band FROM files EXCEPT SELECT tile_no, band FROM damaged))
+        SELECT path, CAST(tile_no AS VARCHAR) AS scene_id, band, 'unreadable' AS error FROM damaged
+        UNION ALL
+        SELECT NULL, CAST(tile_no AS VARCHAR), band, 'no readable file' FROM gap""",
     "render_tiles": f"""WITH {TILE_GRID},
         ext AS (SELECT scene_id, max(x) + 1 AS w, max(y) + 1 AS h FROM tile_rgb GROUP BY scene_id),
         used AS (SELECT DISTINCT scene_id, x // 16 AS c, y // 16 AS r FROM tile_rgb),

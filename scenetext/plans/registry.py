@@ -15,6 +15,7 @@ from scenetext.operators import rows as U
 from scenetext.operators import text as X
 from scenetext.operators import tiles as T
 from scenetext.operators import tweets as TW
+from scenetext.plans.archive import archive_errors
 from scenetext.sinks import scenes as K
 from scenetext.sinks.folders import shared_folder
 from scenetext.sources import rasters as S
@@ -161,6 +162,13 @@ def tile_layer_metadata(spark, sf_dir):
     return T.layer_metadata(V.tiles(spark, sf_dir), V.PIXEL_TILE)
 
 
+@query
+def tile_layer_zones(spark, sf_dir):
+    """Layers of scenes whose tiles lie in two reference systems."""
+    crs = F.concat(F.lit("EPSG:3263"), (F.col("tile_no") % 2 + 1).cast("string"))
+    return T.layer_metadata(V.tiles(spark, sf_dir).withColumn("crs", crs), V.PIXEL_TILE)
+
+
 def _composite(spark, sf_dir):
     return T.composite(V.tiles(spark, sf_dir), tile=V.PIXEL_TILE)
 
@@ -196,6 +204,18 @@ def raster_info(spark, sf_dir):
     return S.decode_headers(_band_files(spark, sf_dir))
 
 
+@query
+def composite_errors(spark, sf_dir):
+    """What a composite does without when the green files of every seventh scene are damaged."""
+    hit = "path LIKE '%B3.TIF' AND CAST(regexp_extract(path, '_([0-9]+)_B', 1) AS INT) % 7 = 0"
+    files = _band_files(spark, sf_dir).withColumn(
+        "content", F.expr(f"CASE WHEN {hit} THEN substring(content, 1, 5) ELSE content END")
+    )
+    errors = archive_errors(S.decode_rasters(files))
+    text = F.when(F.col("path").isNotNull(), "unreadable").otherwise(F.col("error"))
+    return errors.withColumn("error", text)
+
+
 @query
 def render_tiles(spark, sf_dir):
     """Byte images with three bands, read back band by band."""
