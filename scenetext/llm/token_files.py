@@ -12,12 +12,16 @@ import json
 import os
 import sys
 import types
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,42 +155,49 @@ def from_bytes(data: bytes) -> tuple[WaveletMatrix, list, np.ndarray]:
     return WaveletMatrix(planes, ranks, head["n"]), docs, sizes
 
 
-_MARKS = b".,;:!?"
+_MARKS = ".,;:!?"
+GATHER = 1 << 18  # words whose ids are put together at a time
 
 
-def _core(word: bytes) -> tuple[bytes, bytes]:
+def _core(word: str) -> tuple[str, str]:
     """A word as the part to encode and the marks at its end, encoded on their own.
 
-    The tokenizer makes letters small and cuts between letters and marks, so
-    case and final marks do not matter for the rest; words that may hold a
-    special token stay whole.
+    The tokenizer cuts between letters and marks, so final marks do not matter
+    for the rest; words that may hold a special token stay whole.
     """
-    if b"<|" in word:
-        return word, b""
-    small = word.lower()
-    core = small.rstrip(_MARKS)
+    core = word.rstrip(_MARKS)
+    last = core[-1:]
     # only an ASCII letter or digit is sure to end its piece
-    return (core, small[len(core) :]) if core[-1:].isalnum() else (small, b"")
-
-
-def _encode_parts(tokenizer: Tokenizer, parts: set[bytes]) -> dict[bytes, bytes]:
-    """Ids of each part. Parts of letters alone are one piece each, and the last id of a
-    piece stands for text with ``</w>``: they go in one string and are cut there."""
-    texts = {p: p.decode() for p in parts}
-    plain = [p for p, t in texts.items() if t.isalpha() and t.lower().isalpha()]
-    rest = [p for p in parts.difference(plain)]
-    out = {}
-    if plain:
-        ids = tokenizer.encode(" ".join([texts[p] for p in plain]), add_special_tokens=False).ids
-        last = {i for i in set(ids) if tokenizer.id_to_token(i).endswith("</w>")}
-        cuts = [k + 1 for k, i in enumerate(ids) if i in last]
-        if len(cuts) == len(plain):
-            flat = np.array(ids, "<u2").tobytes()
-            out = {p: flat[2 * a : 2 * b] for p, a, b in zip(plain, [0, *cuts], cuts)}
+    return (core, word[len(core) :]) if last.isascii() and last.isalnum() and "<|" not in word else (word, "")
+
+
+# letters that stand for the bytes of a text in such a vocabulary: printable ones for themselves, the rest from 256 on
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def _one_piece(part: str) -> str | None:
+    """A part that is one piece and not changed by the tokenizer, its bytes as letters: small
+    letters of the Latin, Greek or Cyrillic alphabets in composed form. Else None."""
+    if not part.isalpha():
+        return None
+    if part.isascii():
+        return part if part.islower() else None
+    if max(part) < "\u0530" and part == part.lower() and unicodedata.is_normalized("NFC", part):
+        return part.encode().decode("latin-1").translate(_LETTERS)
+    return None
+
+
+def _encode_parts(tokenizer: Tokenizer, parts: set[str]) -> dict[str, bytes]:
+    """Ids of each part. Small letters go straight to the vocabulary's merges; all else takes the whole way."""
+    out, rest, merges = {}, [], tokenizer.model.tokenize
+    for p in parts:
+        if piece := _one_piece(p):
+            out[p] = array("H", [t.id for t in merges(piece)]).tobytes()
         else:
-            rest += plain
-    coded = tokenizer.encode_batch_fast([texts[p] for p in rest], add_special_tokens=False)
-    out.update((p, np.array(c.ids, "<u2").tobytes()) for p, c in zip(rest, coded, strict=True))
+            rest.append(p)
+    coded = tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+    out.update((p, array("H", c.ids).tobytes()) for p, c in zip(rest, coded, strict=True))
     return out
 
 
@@ -194,22 +205,41 @@ def encode(texts: list[str], vocabulary: str) -> list[bytes]:
     """Ids of each text as uint16 bytes.
 
     White space always ends a piece of this kind of tokenizer, so words are
-    encoded on their own and remembered.
+    encoded on their own and remembered. It also makes letters small, so ASCII
+    case is dropped first, but in texts that may hold a special token.
     """
     # a module of its own outlives the task: functions of this package travel by value
     encoders = vars(sys.modules.setdefault("_token_files_words", types.ModuleType("_token_files_words")))
     if vocabulary not in encoders:
-        encoders[vocabulary] = (Tokenizer.from_file(vocabulary), {}, {b"": b""})
+        encoders[vocabulary] = (Tokenizer.from_file(vocabulary), {}, {"": b""})
     tokenizer, cache, parts = encoders[vocabulary]
     if len(cache) > CACHE_WORDS or len(parts) > CACHE_WORDS:
         cache.clear()
         parts.clear()
-        parts[b""] = b""
-    split = [text.encode().split() for text in texts]
-    new = {w: _core(w) for w in set().union(*split).difference(cache)}
+        parts[""] = b""
+    # a new array, as the kernel for small letters misreads slices that were cast
+    column = pa.array(texts, pa.large_string())
+    small = pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column))
+    split = pc.ascii_split_whitespace(small)
+    coded = split.flatten().dictionary_encode()
+    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    new = {w: _core(w) for w in words if w not in cache}
     parts.update(_encode_parts(tokenizer, {p for pair in new.values() for p in pair}.difference(parts)))
     cache.update((w, parts[a] + parts[b]) for w, (a, b) in new.items())
-    return [b"".join(map(cache.__getitem__, words)) for words in split]
+    found = [cache[w] for w in words]
+    flat = np.frombuffer(b"".join(found), "<u2")
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
+    starts = np.cumsum(sizes) - sizes
+    which = coded.indices.to_numpy()
+    ends = np.concatenate([[0], np.cumsum(sizes[which])])
+    ids = []
+    for k in range(0, len(which), GATHER):
+        part = which[k : k + GATHER]
+        shift = starts[part] - (ends[k : k + len(part)] - ends[k])
+        ids.append(flat[np.arange(ends[k + len(part)] - ends[k]) + np.repeat(shift, sizes[part])])
+    ids = np.concatenate(ids or [flat])
+    at = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)]
+    return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, bits: int = 16, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -225,7 +255,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, bits:
     """
     rows = docs.select("doc_id", text_of().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         store, base = open_store(folder)
         store.create_dir(base, recursive=True)
@@ -245,29 +275,27 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, bits:
 
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            texts = batch["text"].tolist()
+            texts = batch.column("text").to_pylist()
             # at most 1024 texts at a time, so that their words and ids stay few
             coded_all = (c for k in range(0, len(texts), 1024) for c in encode(texts[k : k + 1024], vocabulary))
-            for doc_id, coded in zip(batch["doc_id"].tolist(), coded_all, strict=True):
+            for doc_id, coded in zip(batch.column("doc_id").to_pylist(), coded_all, strict=True):
                 ids += [coded, end]
-                names.append(None if doc_id == _NO_ID else doc_id)
+                names.append(doc_id)
                 sizes.append(len(coded) // 2 + 1)
                 total += sizes[-1]
                 if total >= SHARD_TOKENS:
                     close()
         if names:
             close()
-        yield pd.DataFrame(out, columns=["part", "file", "path", "n_docs", "n_tokens"])
+        kinds = {"part": pa.int32(), "file": pa.int32(), "path": pa.string(), "n_docs": pa.int64(), "n_tokens": pa.int64()}
+        columns = list(zip(*out, strict=True)) or [()] * len(kinds)
+        arrays = [pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, list(kinds))
 
-    # a null id would make pandas turn the column into floats
-    plain = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-    files = plain.mapInPandas(run, "part int, file int, path string, n_docs long, n_tokens long")
+    files = rows.mapInArrow(run, "part int, file int, path string, n_docs long, n_tokens long")
     return kept(files, "token-files")
 
 
-_NO_ID = -(2**63)
-
-
 def read(files: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` from the files that ``write`` made.
 
