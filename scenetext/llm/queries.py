@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scenetext.llm import decontaminate, mixing, near_duplicates, pii, quality, repeated_text, secrets, token_files, toxicity, urls
+from scenetext.llm import decontaminate, mixing, near_duplicates, oracle, pii, quality, repeated_text, secrets, token_files, toxicity, urls
 from scenetext.llm.common import LONG, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,4 +86,8 @@ def op10_repeated_text(spark, sf_dir):
     return repeated_text.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_mixing": oracle.MIXING,
+    "op8_near_duplicates": oracle.NEAR_DUPLICATES,
+    "op9_url_filters": oracle.url_filters(URL_RULES),
+}
