@@ -107,7 +107,8 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
     of the others; a token of a toxic document with a toxic feature has the
     toxic tag. Weights start from the odds of the tags; likelihood is then
     climbed with AdaGrad, and the curve fitted on the documents. Equal texts
-    count once. Without both kinds of label every document scores about 0 (or 1).
+    count once. Without toxic labels every document scores about 0, with toxic
+    ones only about 1.
     """
     least, share, times = 4, 0.02, 12.0
     texts, labels = zip(*dict(zip(texts, labels, strict=True)).items(), strict=True) if texts else ((), ())
@@ -115,7 +116,8 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
     words = [[one.setdefault(w, w) for w in text.encode().split()] for text in texts]
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
-        return Model({}, -20.0, np.zeros((2, 2)), 0.0 if not len(y) or not y.max() else 1.0, 30.0)
+        # sums are 0 or tiny, so their logarithms, about -14, all lie far on one side of the centre
+        return Model({}, -20.0, np.zeros((2, 2)), 1.0, -50.0 if len(y) and y.max() else 30.0)
     n_toxic, n_clean = y.sum(), len(y) - y.sum()
     # only features common in toxic documents are kept of any word, the rest of the vocabulary has none
     in_toxic: Counter[str] = Counter()

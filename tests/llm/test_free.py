@@ -174,6 +174,17 @@ def test_odd_and_empty_input(spark, odd, none):
         assert run(none).count() == 0
 
 
+@pytest.mark.parametrize("kinds", [(), (0,), (1,)])
+def test_toxicity_with_one_kind_of_label(spark, tmp_path, kinds):
+    docs = spark.createDataFrame([(i, f"some plain words {i}" if i % 7 else None) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k) for i in range(60) for k in kinds], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    toxic = int(kinds == (1,))
+    rows = toxicity.judge(docs, labels).collect()
+    assert len(rows) == 60 and all(r["predicted"] == toxic and abs(r["score"] - toxic) < 1e-6 for r in rows)
+    assert corpus_pipeline.toxic_text(spark, docs, str(tmp_path)).count() == (0 if toxic else 60)
+
+
 def test_pipeline_stages_take_effect(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
