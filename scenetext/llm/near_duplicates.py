@@ -35,9 +35,9 @@ SAMPLES = BANDS * PER_BAND
 SKETCH_BITS = 512
 # Candidates whose estimate is lower are left out: five standard deviations below 0.8.
 LEAST_ESTIMATE = 0.6
-# Nodes of one bucket that are compared in one task.
+# Nodes of one bucket in a block; two blocks are compared in one task.
 BLOCK = 8192
-# Bytes of full sets that are compared in one task.
+# Bytes of full sets in a block; two blocks are compared in one task.
 BLOCK_BYTES = 32 * 2**20
 CACHE_WORDS = 500_000
 
@@ -194,20 +194,12 @@ def _clusters(g: pd.DataFrame) -> pd.DataFrame | None:
     ids, comp = g["id"].to_numpy(), g["component"].to_numpy()
     bits = np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(g), -1)
     label = ids.copy()
-    near = []
     for r in np.flatnonzero(g["rest"].to_numpy()):
         hit = _near(bits, comp, r)
-        if hit.any():
-            hit[r] = True
-            near.append(np.flatnonzero(hit))
-    changed = bool(near)
-    while changed:
-        changed = False
-        for hit in near:
-            low = label[hit].min()
-            if (label[hit] != low).any():
-                label[hit] = low
-                changed = True
+        hit[r] = True
+        joined = np.unique(label[hit])
+        if len(joined) > 1:
+            label[np.isin(label, joined)] = joined[0]
     moved = label != ids
     return pd.DataFrame({"a": label[moved], "b": ids[moved]}) if moved.any() else None
 
@@ -240,17 +232,27 @@ def _links(percent: int):
 
 
 def _parted(rows: DataFrame, weight: str, block: int) -> DataFrame:
-    """``rows(key, id, component, ...)`` of keys with several components, in parts of about ``block``
-    of ``weight``: those of the key's largest component are dealt out, all others (``rest``)
-    are in every part, so each of them meets all rows of the key in blocks."""
+    """``rows(key, id, component, ...)`` of keys with several components, in parts of about two blocks of ``block``
+    of ``weight``. Rows of the key's largest component are dealt into blocks, and all others (``rest``) into
+    blocks of their own; every pair of blocks with at least one of the latter is a part, so each
+    row of ``rest`` meets all rows of the key."""
     per = rows.groupBy("key", "component").agg(F.sum(weight).alias("c"))
     mixed = per.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("size"), F.count("*").alias("k"))
-    parts = F.ceil(F.col("size") / block).cast("int")
-    mixed = mixed.where("k > 1").select("key", F.col("top.component").alias("top"), parts.alias("parts"))
+    blocks = lambda c: F.ceil(c / block).cast("long")
+    mixed = mixed.where("k > 1").select(
+        "key", F.col("top.component").alias("top"),
+        blocks(F.col("size") - F.col("top.c")).alias("n_rest"), blocks(F.col("top.c")).alias("n_top"),
+    )
     rows = rows.join(mixed, "key").withColumn("rest", F.col("component") != F.col("top"))
-    own = F.array(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    part = F.explode(F.when(F.col("rest"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own))
-    return rows.withColumn("part", part).drop("top", "parts", weight)
+    dealt = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    rows = rows.withColumn("own", F.when(F.col("rest"), dealt("n_rest")).otherwise(F.col("n_rest") + dealt("n_top")))
+    # blocks of rest come first: parts are (i, j) with i < j and i < n_rest
+    own, n = F.col("own"), F.col("n_rest") + F.col("n_top")
+    before = F.transform(F.sequence(F.lit(0).cast("long"), F.least(own, F.col("n_rest")) - 1), lambda i: i * n + own)
+    after = F.transform(F.sequence(own + 1, n - 1), lambda j: own * n + j)
+    none = F.array().cast("array<bigint>")
+    parts = F.concat(F.when(own > 0, before).otherwise(none), F.when(F.col("rest"), after).otherwise(none))
+    return rows.withColumn("part", F.explode(parts)).drop("top", "n_rest", "n_top", "own", weight)
 
 
 def classes(docs: DataFrame, n: int = 2, similar: float = 0.8) -> DataFrame:
@@ -259,7 +261,8 @@ def classes(docs: DataFrame, n: int = 2, similar: float = 0.8) -> DataFrame:
     Rows without words are linked with nothing; rows with a null doc_id neither
     (component null, kept). Rows that share a doc_id count as one document.
     ``kept`` marks the smallest doc_id of each component. Memory is bounded by
-    a block of a bucket and by the largest single set.
+    two blocks of a bucket or cluster and by the largest single set; what is shuffled
+    grows with the square of the blocks of unlinked documents that are close by sketch.
     """
     sig = kept(signatures(docs, n), "signatures")
     full = sig.where("set IS NOT NULL AND doc_id IS NOT NULL")

@@ -98,6 +98,17 @@ def shingle_set(text, n=2):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
 
 
+@pytest.mark.parametrize("top", [1, 100])
+def test_parts_of_unlinked_documents_are_bounded(spark, top):
+    rows = [(7, i, 0 if i < top else i, 1) for i in range(200)]
+    parts = {}
+    for r in near_duplicates._parted(spark.createDataFrame(rows, "key long, id long, component long, one int"), "one", 20).collect():
+        parts.setdefault(r["part"], []).append(r["id"])
+    assert max(map(len, parts.values())) <= 80  # two blocks of about 20, dealt by hash
+    met = {(a, b) for ids in parts.values() for a in ids for b in ids if a < b}
+    assert met >= {(a, b) for a in range(200) for b in range(max(a + 1, top), 200)}
+
+
 @pytest.mark.parametrize("block", [8192, 3])
 def test_near_duplicates_equal_all_pairs(spark, monkeypatch, texts, block):
     monkeypatch.setattr(near_duplicates, "BLOCK", block)
