@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scenetext.llm import decontaminate, mixing, near_duplicates, oracle, pii, quality, repeated_text, secrets, token_files, toxicity, urls
+from scenetext.llm import byte_pairs, decontaminate, mixing, near_duplicates, oracle, pii, quality, repeated_text, secrets, token_files, toxicity, urls
 from scenetext.llm.common import LONG, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +87,12 @@ def op10_repeated_text(spark, sf_dir):
     return repeated_text.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_byte_pairs(spark, sf_dir):
+    path = public_tokenizers.path(byte_pairs.RANKS)
+    return byte_pairs.digest(byte_pairs.decode(byte_pairs.encode(table(spark, sf_dir, "documents"), path), path))
+
+
 ORACLE: dict[str, str] = {
     "op2_mixing": oracle.MIXING,
     "op8_near_duplicates": oracle.NEAR_DUPLICATES,
