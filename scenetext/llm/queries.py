@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scenetext.llm import byte_pairs, decontaminate, mixing, near_duplicates, oracle, pii, quality, repeated_text, secrets, token_files, toxicity, urls
+from scenetext.llm import byte_pairs, decontaminate, mixing, near_duplicates, oracle, phrases, pii, quality, repeated_text, secrets, spelling, token_files, toxicity, urls
 from scenetext.llm.common import LONG, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,16 @@ def op10_repeated_text(spark, sf_dir):
     return repeated_text.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_byte_pairs(spark, sf_dir):
     path = public_tokenizers.path(byte_pairs.RANKS)
@@ -97,4 +107,6 @@ ORACLE: dict[str, str] = {
     "op2_mixing": oracle.MIXING,
     "op8_near_duplicates": oracle.NEAR_DUPLICATES,
     "op9_url_filters": oracle.url_filters(URL_RULES),
+    "op11_collocations": oracle.COLLOCATIONS,
+    "op12_spelling_variants": oracle.SPELLING,
 }
