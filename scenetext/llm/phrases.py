@@ -7,9 +7,8 @@ them cannot be frequent overall.
 
 Texts become chunks: word codes of one language, small enough for a task. A
 shard is a group of chunks and as large as the corpus makes it; its counts are
-sums over its chunks, made by Spark. While mining, 64-bit hashes stand for
-phrases: two that collide only make a candidate too many. The count of the
-candidates is by their words.
+sums over its chunks, made by Spark. Two independent hashes, 104 bits together,
+stand for a phrase until it is found frequent; then one chunk gives its words.
 """
 
 from __future__ import annotations
@@ -32,7 +31,7 @@ SUPPORT = 100  # occurrences of a phrase, at least
 LONGEST = 5  # words of a phrase, at most
 TOP = 2000  # phrases reported for a language
 SHARDS = 8  # the local support is about SUPPORT / SHARDS
-CHUNK_WORDS = 1 << 19  # words of a chunk, about
+CHUNK_WORDS = 1 << 18  # words of a chunk, about
 
 # The marks that end a piece (with line feed to carriage return), and what separates words.
 _MARKS = ".,;:!?\n\v\f\r"
@@ -107,66 +106,88 @@ def chunks(docs: DataFrame, n_shards: int = SHARDS, chunk_words: int = CHUNK_WOR
     return rows.mapInArrow(run, _CHUNK)
 
 
-def _hashes(words: list[str], codes: np.ndarray, lang: str, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each length k the hash of the k words from every place on, and whether a break is among them."""
+# Odd factors of the two hashes.
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+_NAME_BYTES = 64  # of a row of hashes and count in a list, with its share of the list
+_COUNT_BITS = 24  # of a mark that holds 40 bits of the second hash and a count
+
+
+def _hashes(words: list[str], codes: np.ndarray, lang: str, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length k two hashes of the k words from every place on, and whether no break is among them."""
     seed = zlib.crc32(lang.encode())
-    own = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
-    own = np.append(own, np.uint64(0))[codes]
-    inside, value = codes >= 0, own.copy()
+    own = [
+        np.append(np.fromiter((digest(w, seed) for w in words), np.uint64, len(words)), np.uint64(0))[codes]
+        for digest in (xxhash.xxh3_64_intdigest, xxhash.xxh64_intdigest)
+    ]
+    inside, value = codes >= 0, own
     for k in range(1, longest + 1):
         if k > 1:
-            value = value[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[k - 1 :]
+            value = [v[:-1] * factor + w[k - 1 :] for v, factor, w in zip(value, _FACTORS, own, strict=True)]
             inside = inside[:-1] & (codes[k - 1 :] >= 0)
-        yield k, value, inside
+        yield k, value[0], value[1] >> np.uint64(_COUNT_BITS), inside
+
+
+def _count(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different pairs of two hashes and how often each occurs."""
+    found, at, which, counts = np.unique(first, return_index=True, return_inverse=True, return_counts=True)
+    if (second[at][which] == second).all():
+        return found, second[at], counts
+    pairs, counts = np.unique(np.stack([first, second], 1), axis=0, return_counts=True)
+    return pairs[:, 0], pairs[:, 1], counts
 
 
-def _pairs_of(batch: pa.RecordBatch) -> Iterator[dict]:
+def _rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
     for k in range(batch.num_rows):
         row = {name: batch.column(name)[k] for name in batch.schema.names}
         out = {name: value.as_py() for name, value in row.items() if name not in ("codes", "known")}
-        out["codes"] = np.frombuffer(row["codes"].as_buffer(), "<i4")
-        if "known" in row:
-            out["known"] = np.sort(row["known"].values.to_numpy().view(np.uint64))
-        yield out
+        yield out | {"codes": np.frombuffer(row["codes"].as_buffer(), "<i4"), "known": row["known"].values if "known" in row else None}
 
 
-def _local_counts(rows: DataFrame, shortest: int, longest: int) -> DataFrame:
-    """Counts of phrases in every chunk of ``rows``: ``chunk, shard, support, h, c``. With a
-    column ``known`` only phrases whose pairs of neighbours are all in it."""
+def _unsigned(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _chunk_counts(rows: DataFrame, shortest: int, longest: int) -> DataFrame:
+    """Counts of phrases in every chunk of ``rows``: ``chunk, shard, support, h, mark``, where the mark
+    holds the second hash and the count. With a column ``known`` (first hashes of pairs of words)
+    only phrases whose pairs of neighbours are all in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in _pairs_of(batch):
-                pair = None
-                for k, value, inside in _hashes(row["words"], row["codes"], row["lang"], longest):
-                    if k == 2 and "known" in row:
-                        pair = inside = inside & np.isin(value, row["known"])
-                    elif k > 2 and pair is not None:
-                        inside = chained[:-1] & pair[k - 2 :]
-                    chained = inside
+            for row in _rows_of(batch):
+                known = None if row["known"] is None else _unsigned(row["known"])
+                for k, first, second, inside in _hashes(row["words"], row["codes"], row["lang"], longest):
+                    if known is not None and k == 2:
+                        chained = pair = inside & np.isin(first, known)
+                    elif known is not None and k > 2:
+                        inside = chained = chained[:-1] & pair[k - 2 :]
                     if k < shortest:
                         continue
-                    found, counts = np.unique(value[inside], return_counts=True)
-                    n = len(found)
-                    columns = [np.full(n, row["chunk"]), np.full(n, row["shard"]), np.full(n, row["support"]), found.view(np.int64), counts]
+                    found, other, counts = _count(first[inside], second[inside])
+                    marks = other << np.uint64(_COUNT_BITS) | counts.astype(np.uint64)
+                    same = [np.full(len(found), row[name]) for name in ("chunk", "shard", "support")]
+                    columns = [*same, found.view(np.int64), marks.view(np.int64)]
                     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                     arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["chunk", "shard", "support", "h", "c"])
+                    yield pa.RecordBatch.from_arrays(arrays, ["chunk", "shard", "support", "h", "mark"])
 
-    return rows.mapInArrow(run, "chunk long, shard int, support long, h long, c long")
+    return rows.mapInArrow(run, "chunk long, shard int, support long, h long, mark long")
 
 
 def _candidates(local: DataFrame, support: int) -> DataFrame:
-    """``chunk, h`` of the phrases that are frequent in at least one shard and, over all shards,
-    not too rare; wherever they occur. The sums are exact but for collisions, which only add.
+    """``chunk, h, g, n`` of the phrases that are frequent in at least one shard and then, counted over
+    all shards, have ``support`` occurrences; a row for every chunk that holds one.
 
-    A frequent phrase is one row per chunk that holds it, as its counts are combined before.
+    One shuffle, by the first hash. A frequent phrase is one row per chunk, as
+    a chunk counts first.
     """
-    in_shard = F.sum("c").over(W.partitionBy("h", "shard"))
-    rows = local.withColumn("frequent", (in_shard >= F.col("support")).cast("int"))
-    whole = W.partitionBy("h")
-    rows = rows.select("chunk", "h", F.max("frequent").over(whole).alias("some"), F.sum("c").over(whole).alias("total"))
-    return rows.where((F.col("some") == 1) & (F.col("total") >= support)).select("chunk", "h")
+    g = F.shiftrightunsigned("mark", _COUNT_BITS)
+    rows = local.repartition("h").withColumns({"g": g, "c": F.col("mark").bitwiseAND((1 << _COUNT_BITS) - 1)})
+    in_shard = F.sum("c").over(W.partitionBy("h", "g", "shard"))
+    rows = rows.withColumn("frequent", in_shard >= F.col("support"))
+    whole = W.partitionBy("h", "g")
+    rows = rows.select("chunk", "h", "g", F.bool_or("frequent").over(whole).alias("some"), F.sum("c").over(whole).alias("n"))
+    return rows.where(F.col("some") & (F.col("n") >= support)).drop("some")
 
 
 def _with_known(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -174,26 +195,24 @@ def _with_known(rows: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(known.groupBy("chunk").agg(F.collect_list("h").alias("known")), "chunk")
 
 
-def _count(rows: DataFrame, longest: int) -> DataFrame:
-    """``lang, phrase, words, c`` of the phrases in ``known``, counted in every chunk."""
+def _named(rows: DataFrame, longest: int) -> DataFrame:
+    """``lang, phrase, words, n`` of the phrases in ``known`` (hashes and counts), each found in its chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in _pairs_of(batch):
-                words, codes = row["words"], row["codes"]
-                for k, value, inside in _hashes(words, codes, row["lang"], longest):
-                    at = np.flatnonzero(inside & np.isin(value, row["known"])) if k > 1 else np.zeros(0, np.int64)
-                    if not len(at):
-                        continue
-                    # by the codes themselves: equal hashes of different phrases stay apart
-                    phrases, counts = np.unique(codes[at[:, None] + np.arange(k)], axis=0, return_counts=True)
-                    texts = [" ".join([words[c] for c in phrase]) for phrase in phrases.tolist()]
-                    columns = [[row["lang"]] * len(texts), texts, [k] * len(texts), counts]
-                    kinds = [pa.string(), pa.string(), pa.int32(), pa.int64()]
-                    arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "words", "c"])
+            for row in _rows_of(batch):
+                first, second = (_unsigned(row["known"].field(k)) for k in (0, 1))
+                wanted = dict(zip(zip(first.tolist(), second.tolist(), strict=True), row["known"].field(2).to_pylist(), strict=True))
+                out = []
+                for k, h, g, inside in _hashes(row["words"], row["codes"], row["lang"], longest):
+                    for at in np.flatnonzero(inside & np.isin(h, first)).tolist() if k > 1 else ():
+                        if (n := wanted.pop((int(h[at]), int(g[at])), None)) is not None:
+                            out.append((row["lang"], " ".join([row["words"][c] for c in row["codes"][at : at + k]]), k, n))
+                kinds = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+                arrays = [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 4, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "words", "n"])
 
-    return rows.mapInArrow(run, "lang string, phrase string, words int, c long")
+    return rows.mapInArrow(run, "lang string, phrase string, words int, n long")
 
 
 def _with(rows: DataFrame, table: DataFrame, weight: str, on: list[str], spread_on: list[str]) -> DataFrame:
@@ -219,12 +238,15 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, n_
     packed = cut.select("chunk", "lang", "shard", "words", "codes")
     rows = _with(packed, shares.withColumnRenamed("n", "_n"), "_n", ["lang", "shard"], ["chunk"]).drop("_n")
 
-    two = kept(_candidates(_local_counts(rows, 2, 2), support), "phrase-pairs")
+    two = kept(_candidates(_chunk_counts(rows, 2, 2), support), "phrase-pairs")
+    found = two
     if longest > 2:
-        more = _candidates(_local_counts(_with_known(rows, two), 3, longest), support)
-        two = two.union(kept(more, "phrase-longer"))
-    counted = _count(_with_known(packed, two), longest)
-    phrases = counted.groupBy("lang", "phrase", "words").agg(F.sum("c").alias("n")).where(F.col("n") >= support)
+        found = found.union(kept(_candidates(_chunk_counts(_with_known(rows, two), 3, longest), support), "phrase-longer"))
+    # one chunk of those that hold a phrase gives its words
+    one = kept(found.groupBy("h", "g").agg(F.min("chunk").alias("chunk"), F.first("n").alias("n")), "phrase-names")
+    lists = one.groupBy("chunk").agg(F.collect_list(F.struct("h", "g", "n")).alias("known"))
+    small = one.count() * _NAME_BYTES <= BROADCAST_BYTES
+    phrases = _named(packed.join(F.broadcast(lists) if small else lists, "chunk"), longest)
     words = cut.select("lang", F.inline(F.arrays_zip("words", "counts"))).groupBy("lang", F.col("words").alias("word"))
     return kept(phrases, "phrases"), words.agg(F.sum("counts").cast(LONG).alias("n"))
 
