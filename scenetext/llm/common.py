@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,18 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Within it, jobs hand rows to Python ``n`` at a time: for rows that are large each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def without(rows: DataFrame, bad: DataFrame, on: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``rows`` whose ``on`` is not in ``bad(on)``; a null ``on`` stays.
 

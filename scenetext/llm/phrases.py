@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from scenetext.llm.common import LONG, kept, text_of
+from scenetext.llm.common import LONG, batch_rows, kept, text_of
 from scenetext.plans.sizing import BROADCAST_BYTES, Sized, attach, measured_bytes
 
 SUPPORT = 100  # occurrences of a phrase, at least
@@ -32,6 +32,7 @@ LONGEST = 5  # words of a phrase, at most
 TOP = 2000  # phrases reported for a language
 SHARDS = 8  # the local support is about SUPPORT / SHARDS
 CHUNK_WORDS = 1 << 18  # words of a chunk, about
+BATCH_TEXTS, BATCH_CHUNKS = 1000, 4  # handed to Python at a time
 
 # The marks that end a piece (with line feed to carriage return), and what separates words.
 _MARKS = ".,;:!?\n\v\f\r"
@@ -222,14 +223,8 @@ def _with(rows: DataFrame, table: DataFrame, weight: str, on: list[str], spread_
     return attach(rows, Sized(table, "_weight", *measured_bytes(table, "_weight")), on, spread_on, BROADCAST_BYTES)
 
 
-def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, n_shards: int = SHARDS, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, DataFrame]:
-    """``lang, phrase, words, n`` of all phrases of two to ``longest`` words with ``support``
-    occurrences or more, with exact counts, and ``lang, word, n`` of all words.
-
-    Phrases lie within a piece. Null texts have no words, repeated rows count
-    again, other columns do not matter, no rows give no phrases.
-    """
-    cut = kept(chunks(docs, n_shards, chunk_words), "phrase-chunks")
+def _mined(cut: DataFrame, support: int, longest: int) -> DataFrame:
+    """``lang, phrase, words, n`` of the frequent phrases of the chunks."""
     shares = cut.groupBy("lang", "shard").agg(F.sum("n_words").alias("n"))
     whole = shares.groupBy("lang").agg(F.sum("n").alias("total"))
     # ceil of the shard's share of the support, in whole numbers
@@ -247,8 +242,23 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, n_
     lists = one.groupBy("chunk").agg(F.collect_list(F.struct("h", "g", "n")).alias("known"))
     small = one.count() * _NAME_BYTES <= BROADCAST_BYTES
     phrases = _named(packed.join(F.broadcast(lists) if small else lists, "chunk"), longest)
+    return kept(phrases, "phrases")
+
+
+def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, n_shards: int = SHARDS, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, DataFrame]:
+    """``lang, phrase, words, n`` of all phrases of two to ``longest`` words with ``support``
+    occurrences or more, with exact counts, and ``lang, word, n`` of all words.
+
+    Phrases lie within a piece. Null texts have no words, repeated rows count
+    again, other columns do not matter, no rows give no phrases.
+    """
+    spark = docs.sparkSession
+    with batch_rows(spark, BATCH_TEXTS):
+        cut = kept(chunks(docs, n_shards, chunk_words), "phrase-chunks")
+    with batch_rows(spark, BATCH_CHUNKS):
+        phrases = _mined(cut, support, longest)
     words = cut.select("lang", F.inline(F.arrays_zip("words", "counts"))).groupBy("lang", F.col("words").alias("word"))
-    return kept(phrases, "phrases"), words.agg(F.sum("counts").cast(LONG).alias("n"))
+    return phrases, words.agg(F.sum("counts").cast(LONG).alias("n"))
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, top: int = TOP, **how: int) -> DataFrame:
