@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +76,42 @@ def top(df: DataFrame, k: int, by: str, ties: str) -> DataFrame:
     return df.orderBy(F.desc(by), F.asc(ties)).limit(k)
 
 
+TRACKED = 65_536  # keys that a frequency sketch follows
+SKETCH_TASKS = 64  # tasks that merge the sketches of all others
+
+# A key with more than this share (over ``tracked``) of all rows is in the sketch: its stated error.
+SKETCH_SHARE = 3.5
+
+
+def frequent(df: DataFrame, key: str, k: int, n: str = "n", tracked: int = TRACKED) -> DataFrame:
+    """The ``k`` most frequent values of ``key`` with exact counts, as ``top`` of ``count_by_key``
+    would give them, without a shuffle of all distinct values.
+
+    A sketch of bounded size per task gives candidates, and only those are
+    counted. What is no candidate has at most as many rows as the sketch's
+    error or its last candidate; if the last of the ``k`` has more, the result
+    is proven and returned, else everything is counted after all.
+    """
+    known = df.where(F.col(key).isNotNull()).select(key)
+    sketch = F.call_function("approx_top_k_accumulate", F.col(key), F.lit(tracked))
+    parts = known.groupBy((F.spark_partition_id() % SKETCH_TASKS).alias("_task")).agg(sketch.alias("s"), F.count(key).alias("n"))
+    # grouped, as there may be nothing to combine
+    merged = parts.groupBy(F.lit("all").alias("_all")).agg(F.call_function("approx_top_k_combine", F.col("s"), F.lit(tracked)).alias("s"), F.sum("n").alias("n"))
+    most = min(max(20 * k, 200), tracked)
+    row = merged.select(F.call_function("approx_top_k_estimate", F.col("s"), F.lit(most)).alias("found"), "n").first()
+    if row is None:
+        return top(count_by_key(known, key), k, n, key)
+    candidates = [x["item"] for x in row["found"]]
+    left_out = max(SKETCH_SHARE * row["n"] / tracked, row["found"][-1]["count"] if len(candidates) == most else 0)
+    listed = df.sparkSession.createDataFrame([(c,) for c in candidates], df.select(key).schema)
+    counted = top(count_by_key(known.join(F.broadcast(listed), key), key), k, n, key).persist(StorageLevel.MEMORY_AND_DISK)
+    least = counted.agg(F.min(n), F.count(F.lit(1))).first()
+    if least[1] == k and least[0] > left_out:
+        return counted
+    counted.unpersist()
+    return top(count_by_key(known, key), k, n, key)
+
+
 def first(df: DataFrame, k: int, *order: str) -> DataFrame:
     """The first ``k`` rows in a given order."""
     return df.orderBy(*order).limit(k)

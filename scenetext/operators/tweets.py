@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,24 +51,31 @@ def tweet_text(lines: DataFrame, line: str = "value") -> DataFrame:
     return parse(lines, TEXT, line).select("j.text")
 
 
-def _sorted_struct(value: Column, dtype) -> Column:
-    """Same value with the fields of every object in name order."""
-    kind = dtype.typeName()
-    if kind == "struct":
-        fields = sorted(dtype.fields, key=lambda f: f.name)
-        return F.when(
-            value.isNotNull(),
-            F.struct(*(_sorted_struct(value[f.name], f.dataType).alias(f.name) for f in fields)),
-        )
-    if kind == "array" and dtype.elementType.typeName() in ("struct", "array"):
-        return F.transform(value, lambda v: _sorted_struct(v, dtype.elementType))
-    return value
-
-
-def to_pretty_json(df: DataFrame, column: str = "j") -> DataFrame:
-    """``json``: the struct printed over several lines, keys sorted at every level."""
-    value = _sorted_struct(F.col(column), df.schema[column].dataType)
-    return df.select(F.to_json(value, {"pretty": "true"}).alias("json"))
+def documents(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Whole documents: ``doc VARIANT`` holds every field of a line, whatever its shape, and
+    ``broken`` the text of a line that is no JSON document, or has a key twice; one of the two is NULL."""
+    doc = F.try_parse_json(line)
+    broken = F.when(doc.isNull(), F.col(line))
+    return lines.select(doc.alias("doc"), broken.alias("broken"))
+
+
+def sorted_json(doc: Column) -> Column:
+    """A document on one line, keys sorted at every level, as its variant keeps them."""
+    return F.when(F.is_variant_null(doc), "null").otherwise(F.to_json(doc))
+
+
+def pretty_json(doc: Column, indent: int = 2, ascii_only: bool = True) -> Column:
+    """A document over several lines, keys sorted at every level. Only the layout is made in
+    Python, from the sorted text, batch by batch."""
+
+    @F.arrow_udf("string")
+    def layout(texts: pa.Array) -> pa.Array:
+        def spread(text: str) -> str:
+            return json.dumps(json.loads(text), indent=indent, ensure_ascii=ascii_only)
+
+        return pa.array([t if t is None else spread(t) for t in texts.to_pylist()], pa.string())
+
+    return layout(sorted_json(doc))
 
 
 def tweet_tokens(df: DataFrame, keys: Sequence[str] = (), text: str = "text") -> DataFrame:

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from scenetext.operators import text as X
 from scenetext.operators import tweets as TW
 
@@ -41,13 +43,33 @@ def test_text(spark, tmp_path, rows):
     assert rows(got) == [("hi",), ("hi",), (None,)]
 
 
-def test_pretty_json_is_sorted_at_every_level(spark):
-    df = spark.createDataFrame([(json.dumps(TWEET),)], "value STRING")
-    schema = f"{TW.FIELDS}, {TW.TEXT}"
-    text = TW.to_pretty_json(TW.parse(df, schema)).first()["json"]
-    parsed = json.loads(text)
-    assert list(parsed) == sorted(parsed) and list(parsed["user"]) == sorted(parsed["user"])
-    assert "\n" in text and parsed["entities"]["hashtags"] == TWEET["entities"]["hashtags"]
+DOCUMENTS = [
+    TWEET,
+    {"zzz": [1, 2.5, {"y": True, "x": None}, []], "id": 10**17, "Aa": {"b": {}, "a": "\u00e9 \U0001f600 \"q\" \n"}, "a": -0.25},
+    [],
+    {"": {"a b": [[["deep"]]]}},
+    "text",
+    None,
+]
+
+
+def test_whole_documents_print_as_python_prints_them(spark):
+    df = spark.createDataFrame([(k, json.dumps(d)) for k, d in enumerate(DOCUMENTS)], "k INT, value STRING")
+    read = TW.documents(df)
+    assert read.columns == ["doc", "broken"] and read.where("broken IS NOT NULL").isEmpty()
+    for ascii_only in (True, False):
+        got = read.select(TW.pretty_json(F.col("doc"), ascii_only=ascii_only)).collect()
+        want = [json.dumps(d, indent=2, sort_keys=True, ensure_ascii=ascii_only) for d in DOCUMENTS]
+        assert [r[0] for r in got] == want
+    compact = read.select(TW.sorted_json(F.col("doc"))).first()[0]
+    assert json.loads(compact) == TWEET and compact.index('"entities"') < compact.index('"ignored"') < compact.index('"lang"')
+
+
+def test_broken_lines_are_reported(spark):
+    lines = ['{"a": 1', "", "junk", '{"a": 1, "a": 2}', '{"a": 1}']
+    got = TW.documents(spark.createDataFrame([(x,) for x in lines], "value STRING"))
+    assert [r["broken"] for r in got.collect()] == [*lines[:4], None]
+    assert [r[0] for r in got.select(TW.pretty_json(F.col("doc"))).collect()] == [None] * 4 + ['{\n  "a": 1\n}']
 
 
 def test_json_numbers(spark, rows):
