@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path below the cluster's ``spark.checkpoint.dir``.
+    """A new path below the cluster's ``spark.checkpoint.dir``, in a folder of this
+    application that is deleted when the driver ends.
 
     Only a local session, where all tasks see the same disk, may go without
     that setting; it then gets a temporary folder for its lifetime.
@@ -20,4 +21,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="scenetext-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    own = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/scenetext-{spark.sparkContext.applicationId}")
+    store = own.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.mkdirs(own):
+        store.deleteOnExit(own)
+    return f"{root.rstrip('/')}/{own.getName()}/{purpose}-{uuid.uuid4().hex}"

@@ -6,11 +6,13 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -18,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from scenetext.operators.raster import CHANNELS
 from scenetext.sources.cells import cell_arrays
-from scenetext.sources.stores import open_store
+from scenetext.sources.stores import open_store, qualified
 from scenetext.sources.tiff import write_image
 
 
@@ -112,8 +114,9 @@ def pixels_to_tiles(rgb: DataFrame, channels: Sequence[str] = CHANNELS) -> DataF
     return wanted.groupBy(*keys).applyInPandas(gather, schema)
 
 
-def encode_files(tiles: DataFrame, nodata: int | None = None) -> DataFrame:
-    """Tiles (``path``, extent, ``cells``) as 16-bit single-band files ``path, content``."""
+def encode_files(tiles: DataFrame, nodata: int | None = None, tile: int | None = None) -> DataFrame:
+    """Tiles (``path``, extent, ``cells``) as 16-bit single-band files ``path, content``, in one
+    block or in blocks with sides of ``tile``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -122,7 +125,7 @@ def encode_files(tiles: DataFrame, nodata: int | None = None) -> DataFrame:
             extents = zip(*(rows.column(c).to_pylist() for c in corners), strict=True)
             cells = cell_arrays(rows.column("cells"))
             files = [
-                write_image(np.maximum(c, 0).astype(np.uint16).reshape(1, *shape), extent, nodata=nodata)
+                write_image(np.maximum(c, 0).astype(np.uint16).reshape(1, *shape), extent, nodata=nodata, tile=tile)
                 for c, shape, extent in zip(cells, shapes, extents, strict=True)
             ]
             columns = [rows.column("path"), pa.array(files, pa.binary())]
@@ -131,46 +134,107 @@ def encode_files(tiles: DataFrame, nodata: int | None = None) -> DataFrame:
     return tiles.mapInArrow(encode, "path STRING, content BINARY")
 
 
+STAGING = "_staging"
+MANIFEST = "_manifest"
+RENAMES = 16  # threads that publish
+
+
 @dataclass
-class _Written(WriterCommitMessage):
-    files: int
+class _Drafts(WriterCommitMessage):
+    """What one task wrote: the folder of its drafts and the names, in order."""
 
+    folder: str
+    names: list[str]
 
-class ImageWriter(DataSourceWriter):
-    """Writes ``name, image`` rows as files.
 
-    A task writes under a name of its own and renames when the file is whole,
-    so a lost or repeated task leaves no half file and no duplicate. A file
-    named ``_SUCCESS`` follows when all tasks are done.
+class ImageWriter(DataSourceWriter):
+    """Writes ``name, image`` rows as files, in two phases.
+
+    A task writes drafts into a folder of its own below ``_staging`` and only
+    reports their names, so nothing of a failed or repeated task is seen. When
+    all tasks are done, the driver publishes: it moves the drafts to their
+    names, removes files that an earlier run left in the same scene folders,
+    and writes the list of files of every folder as its ``_manifest``. The
+    driver holds the names (some 50 bytes a file), never an image.
     """
 
     def __init__(self, folder: str):
         self.folder = folder
+        self.job = uuid.uuid4().hex
+
+    def _staging(self, root: str) -> str:
+        return f"{root}/{STAGING}/{self.job}"
 
-    def write(self, iterator) -> _Written:
+    def write(self, iterator) -> _Drafts:
         store, root = open_store(self.folder)
-        folders, written = set(), 0
+        drafts = f"{self._staging(root)}/{uuid.uuid4().hex}"
+        store.create_dir(drafts, recursive=True)
+        names = []
         for row in iterator:
-            target = f"{root}/{row.name}"
-            draft = f"{target}._{uuid.uuid4().hex}"
-            folder = target.rsplit("/", 1)[0]
-            if folder not in folders:
-                store.create_dir(folder, recursive=True)
-                folders.add(folder)
-            with store.open_output_stream(draft) as out:
+            with store.open_output_stream(f"{drafts}/{len(names)}") as out:
                 out.write(row.image)
-            store.move(draft, target)
-            written += 1
-        return _Written(written)
+            names.append(row.name)
+        return _Drafts(drafts, names)
 
     def commit(self, messages) -> None:
         store, root = open_store(self.folder)
-        store.create_dir(root, recursive=True)
+        found: dict[str, dict[str, str]] = {}  # by scene folder: name and draft
+        for message in messages:
+            for k, name in enumerate(message.names):
+                scene, _, file = name.rpartition("/")
+                found.setdefault(scene, {})[file] = f"{message.folder}/{k}"
+        with ThreadPoolExecutor(RENAMES) as pool:
+            for _ in pool.map(lambda item: _publish(store, f"{root}/{item[0]}".rstrip("/"), item[1]), found.items()):
+                pass
+        self._clean(store, root)
         with store.open_output_stream(f"{root}/_SUCCESS"):
             pass
 
     def abort(self, messages) -> None:
-        """Whole files stay; running the write again replaces them by name."""
+        """Published files stay as they were; the drafts go."""
+        self._clean(*open_store(self.folder))
+
+    def _clean(self, store: fs.FileSystem, root: str) -> None:
+        store.create_dir(root, recursive=True)
+        if store.get_file_info(self._staging(root)).type == fs.FileType.Directory:
+            store.delete_dir(self._staging(root))
+        above = f"{root}/{STAGING}"
+        if store.get_file_info(above).type == fs.FileType.Directory and not store.get_file_info(fs.FileSelector(above)):
+            store.delete_dir(above)
+
+
+def _replace(store: fs.FileSystem, source: str, target: str) -> None:
+    try:
+        store.move(source, target)
+    except OSError:
+        # some stores do not move onto a file that is there
+        store.delete_file(target)
+        store.move(source, target)
+
+
+def _publish(store: fs.FileSystem, folder: str, drafts: dict[str, str]) -> None:
+    """The files of one scene folder: new ones in, files of its old manifest that are not among them
+    out. A run that ends in between leaves whole files, and the next one finds them in the manifest,
+    which names old and new ones until the end."""
+    store.create_dir(folder, recursive=True)
+    manifest = f"{folder}/{MANIFEST}"
+    old = set()
+    if store.get_file_info(manifest).type == fs.FileType.File:
+        with store.open_input_file(manifest) as f:
+            old = set(f.read().decode().splitlines())
+
+    def write(names: set[str]) -> None:
+        with store.open_output_stream(f"{manifest}.new") as out:
+            out.write("\n".join(sorted(names)).encode())
+        _replace(store, f"{manifest}.new", manifest)
+
+    write(old | set(drafts))
+    for name, draft in drafts.items():
+        _replace(store, draft, f"{folder}/{name}")
+    for name in old - set(drafts):
+        if store.get_file_info(f"{folder}/{name}").type == fs.FileType.File:
+            store.delete_file(f"{folder}/{name}")
+    write(set(drafts))
 
 
 class SceneImages(DataSource):
@@ -187,16 +251,19 @@ class SceneImages(DataSource):
         return ImageWriter(self.options["path"])
 
 
-def write_images(
-    images: DataFrame, folder: str, extension: str = "png", by_crs: bool = False
-) -> None:
-    """Image files ``<scene>/<row>_<col>.<extension>`` below ``folder``, written by
-    the executors. ``folder`` must be one all of them reach. ``by_crs`` adds the
-    column ``crs`` to the name, which scenes in several reference systems need."""
-    spark = images.sparkSession
+def write_files(files: DataFrame, folder: str) -> None:
+    """Rows ``name, image`` as files below ``folder``, written by the executors: all or nothing.
+    ``folder`` must be one that all of them reach; without a scheme it lies in Spark's default file system."""
+    spark = files.sparkSession
     spark.dataSource.register(SceneImages)
-    zone = [F.regexp_replace("crs", "[^A-Za-z0-9]+", "-")] if by_crs else []
+    files.write.format("scene_images").mode("append").option("path", qualified(spark, folder)).save()
+
+
+def write_images(images: DataFrame, folder: str, extension: str = "png") -> None:
+    """Image files ``<scene>/<row>_<col>.<extension>`` below ``folder``; a scene written again has
+    the new files only. Where the images have a column ``crs``, it begins their name, as every
+    reference system of a scene is a grid of its own."""
+    zone = [F.regexp_replace(F.coalesce("crs", F.lit("unknown")), "[^A-Za-z0-9]+", "-")] if "crs" in images.columns else []
     cell = F.concat_ws("_", *zone, "layout_row", "layout_col")
-    name =F.concat(F.col("scene_id").cast("string"), F.lit("/"), cell, F.lit(f".{extension}"))
-    named = images.select(name.alias("name"), "image")
-    named.write.format("scene_images").mode("append").option("path", folder).save()
+    name = F.concat(F.col("scene_id").cast("string"), F.lit("/"), cell, F.lit(f".{extension}"))
+    write_files(images.select(name.alias("name"), "image"), folder)

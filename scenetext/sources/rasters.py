@@ -100,14 +100,16 @@ def probe_headers(files: DataFrame) -> DataFrame:
             for path in files.column(0).to_pylist():
                 store, name = open_store(path)
                 with store.open_input_file(name) as f:
-                    rows.append(_header_row(path, lambda f=f: read_header_at(_ranged(f))))
+                    rows.append(_header_row(path, lambda f=f: read_header_at(ranged(f))))
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     schema = arrow_schema(HEADER_SCHEMA)
     return files.select("path").mapInArrow(probe, HEADER_SCHEMA)
 
 
-def _ranged(file: pa.NativeFile) -> Callable[[int, int], bytes]:
+def ranged(file: pa.NativeFile) -> Callable[[int, int], bytes]:
+    """Reading of a part of a file; behind its end there is nothing."""
+
     def read(start: int, n: int) -> bytes:
         return file.read_at(n, start) if start <= file.size() else b""
 

@@ -120,20 +120,33 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "conversations"))
 
 
+_MESSAGE = (
+    "named_struct('lang', lang, 'text', text, "
+    "'entities', named_struct('hashtags', array(named_struct('text', source))), "
+    "'user', named_struct('name', concat('User ', CAST(doc_id AS STRING)), "
+    "'screen_name', concat('u', CAST(doc_id AS STRING)), "
+    "'followers_count', n_chars, 'description', source))"
+)
+
+
 def tweet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines from ``documents``, with an empty line per row of ``labels``."""
-    record = (
-        "named_struct('lang', lang, 'text', text, "
-        "'entities', named_struct('hashtags', array(named_struct('text', source))), "
-        "'user', named_struct('name', concat('User ', CAST(doc_id AS STRING)), "
-        "'screen_name', concat('u', CAST(doc_id AS STRING)), "
-        "'followers_count', n_chars, 'description', source))"
-    )
-    records = documents(spark, sf_dir).selectExpr(f"to_json({record}) AS value")
+    records = documents(spark, sf_dir).selectExpr(f"to_json({_MESSAGE}) AS value")
     blank = table(spark, sf_dir, "labels").selectExpr("'' AS value")
     return records.union(blank)
 
 
+def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with fields that not all of them have, at several levels and in no order; some lines are cut off."""
+    extra = (
+        """concat(',"zzz":{"b":[1,2.5,{"y":true,"x":null}],"a":', doc_id, '}', """
+        """CASE WHEN doc_id % 3 = 0 THEN ',"Place":{"k":[[],{}],"deep":[[["é",-7]]]}' ELSE '' END, ',"id":', doc_id, '}')"""
+    )
+    records = documents(spark, sf_dir).selectExpr("doc_id", f"to_json({_MESSAGE}) AS j")
+    whole = records.selectExpr("doc_id", f"concat(left(j, length(j) - 1), {extra}) AS value")
+    return whole.selectExpr("CASE WHEN doc_id % 37 = 5 THEN left(value, length(value) - 1) ELSE value END AS value")
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points by code with the key of their place, from ``supplier``."""
     return table(spark, sf_dir, "supplier").selectExpr(

@@ -90,6 +90,30 @@ def _read_tags(read: Callable[[int, int], bytes], order: str) -> dict[int, tuple
 
 def read_band(data: bytes, header: dict, band: int = 0) -> np.ndarray:
     """One band of the image as a 2-D array of unsigned numbers."""
+    return read_block_rows(lambda start, n: data[start : start + n], header, band, 0, n_block_rows(header))
+
+
+def n_block_rows(header: dict) -> int:
+    """Rows of blocks (strips or tiles), the least that can be read on their own."""
+    return -(-header["rows"] // _block_size(header)[1])
+
+
+def block_height(header: dict) -> int:
+    return _block_size(header)[1]
+
+
+def _block_size(header: dict) -> tuple[int, int]:
+    tags, cols, rows = (header[k] for k in ("tags", "cols", "rows"))
+    if TILE_OFFSETS in tags:
+        return tags[TILE_WIDTH][0], tags[TILE_HEIGHT][0]
+    return cols, min(rows, tags.get(ROWS_PER_STRIP, (rows,))[0])
+
+
+def read_block_rows(
+    read: Callable[[int, int], bytes], header: dict, band: int, first_row: int, end_row: int
+) -> np.ndarray:
+    """Block rows ``first_row`` to ``end_row`` (excluded) of one band; ``read(start, n)`` is asked for
+    their blocks only."""
     tags, cols, rows, bands = (header[k] for k in ("tags", "cols", "rows", "bands"))
     bits = set(tags.get(BITS, (1,)))
     scheme = tags.get(COMPRESSION, (PLAIN,))[0]
@@ -102,27 +126,28 @@ def read_band(data: bytes, header: dict, band: int = 0) -> np.ndarray:
     predictor = tags.get(PREDICTOR, (1,))[0]
     if predictor not in (1, 2):
         raise ValueError(f"predictor {predictor} is not read")
-    if TILE_OFFSETS in tags:
-        width, height = tags[TILE_WIDTH][0], tags[TILE_HEIGHT][0]
-        offsets, counts = tags[TILE_OFFSETS], tags[TILE_COUNTS]
-    else:
-        width, height = cols, min(rows, tags.get(ROWS_PER_STRIP, (rows,))[0])
-        offsets, counts = tags[STRIP_OFFSETS], tags[STRIP_COUNTS]
+    width, height = _block_size(header)
+    tiled = TILE_OFFSETS in tags
+    offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
     dtype = np.dtype(f"{header['order']}u{bits.pop() // 8}")
     planar = tags.get(PLANAR, (1,))[0] == 2
     depth = 1 if planar else bands
     across, down = -(-cols // width), -(-rows // height)
-    if rows * cols * dtype.itemsize > DEFLATE_RATIO * len(data):
-        raise ValueError("image data ends early")
-    out = np.zeros((rows, cols), dtype.newbyteorder("="))
     first = band * across * down if planar else 0
     if len(offsets) < first + across * down:
         raise ValueError("image data ends early")
-    for k in range(across * down):
+    wanted = range(first_row * across, end_row * across)
+    tall_all = min(rows, end_row * height) - first_row * height
+    if tall_all * cols * dtype.itemsize > DEFLATE_RATIO * sum(counts[first + k] for k in wanted):
+        raise ValueError("image data ends early")
+    out = None
+    for k in wanted:
         top, left = k // across * height, k % across * width
         # A strip may end with the image; a tile is always stored in full.
-        tall = height if TILE_OFFSETS in tags else min(height, rows - top)
-        block = data[offsets[first + k] : offsets[first + k] + counts[first + k]]
+        tall = height if tiled else min(height, rows - top)
+        block = read(offsets[first + k], counts[first + k])
+        if len(block) < counts[first + k]:
+            raise ValueError("image data ends early")
         if scheme != PLAIN:
             try:
                 block = zlib.decompress(block)
@@ -132,10 +157,14 @@ def read_band(data: bytes, header: dict, band: int = 0) -> np.ndarray:
             raise ValueError("image data ends early")
         cells = np.frombuffer(block, dtype, tall * width * depth).reshape(tall, width, depth)
         if predictor == 2:
-            cells = np.cumsum(cells, axis=1, dtype=out.dtype)
+            cells = np.cumsum(cells, axis=1, dtype=dtype.newbyteorder("="))
         cells = cells[: rows - top, : cols - left, 0 if planar else band]
-        out[top : top + cells.shape[0], left : left + cells.shape[1]] = cells
-    return out
+        if out is None:
+            # only now, as the numbers of a damaged header may ask for any size
+            out = np.zeros((tall_all, cols), dtype.newbyteorder("="))
+        at = top - first_row * height
+        out[at : at + cells.shape[0], left : left + cells.shape[1]] = cells
+    return np.zeros((0, cols), dtype.newbyteorder("=")) if out is None else out
 
 
 def write_image(

@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, In
+from pyspark.sql.types import StructType
 
 from scenetext.operators import raster as R
 from scenetext.operators import tiles as T
@@ -14,7 +16,9 @@ from scenetext.plans.archive import archive_errors, archive_headers, compose_arc
 from scenetext.sinks import scenes as K
 from scenetext.sinks.folders import shared_folder
 from scenetext.sources import rasters as S
+from scenetext.sources.stores import qualified
 from scenetext.sources.tiff import read_band, read_header, write_image
+from scenetext.sources.windows import WindowReader, scan_windows
 
 EXTENT = (100.0, 200.0, 140.0, 230.0)
 
@@ -275,14 +279,101 @@ def test_image_files_by_executors(spark, archive, tmp_path_factory, kind):
     images = K.render_tiles(made, kind)
     for _ in range(2):  # a second run replaces the files
         K.write_images(images, f"file://{out}", kind)
-    names = sorted(str(p.relative_to(out)) for p in out.rglob("*") if p.is_file())
-    want = [f"SC{s}/{row}_{col}.{kind}" for s in (1, 2) for row in (0, 1) for col in (0, 1, 2)]
-    assert names == sorted([*want, "_SUCCESS"])
+    cells = [f"EPSG-32633_{row}_{col}.{kind}" for row in (0, 1) for col in (0, 1, 2)]
+    assert files(out) == sorted(f"SC{s}/{c}" for s in (1, 2) for c in cells)
     first = images.where("scene_id = 'SC1' AND layout_col = 0 AND layout_row = 0").first()["image"]
-    assert (out / f"SC1/0_0.{kind}").read_bytes() == bytes(first)
+    assert (out / f"SC1/{cells[0]}").read_bytes() == bytes(first)
+    # a smaller run replaces the scene it has and leaves the other alone
+    K.write_images(images.where("scene_id = 'SC1' AND layout_row = 1"), f"file://{out}", kind)
+    assert files(out) == sorted([f"SC1/{c}" for c in cells[3:]] + [f"SC2/{c}" for c in cells])
+    manifest = next(p for p in out.glob("SC1/_manifest")).read_text()
+    assert manifest.splitlines() == cells[3:]
+
+
+def files(out):
+    """Published files: relative names, without hidden ones. No draft may be left."""
+    names = sorted(str(p.relative_to(out)) for p in out.rglob("*") if p.is_file())
+    assert not [n for n in names if "_staging" in n or n.endswith(".new")]
+    return [n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", "."))]
+
+
+def test_failed_task_leaves_no_file(spark, tmp_path):
+    good = spark.createDataFrame([("SC1/0.png", b"old")], "name STRING, image BINARY")
+    K.write_files(good, str(tmp_path))
+    broken = spark.range(4).selectExpr(
+        "concat('SC1/', id, '.png') AS name", "CASE WHEN id < 3 THEN X'00' ELSE CAST(raise_error('stop') AS BINARY) END AS image"
+    )
+    with pytest.raises(Exception, match="stop"):
+        K.write_files(broken, str(tmp_path))
+    assert files(tmp_path) == ["SC1/0.png"] and (tmp_path / "SC1/0.png").read_bytes() == b"old"
+
+
+def test_grids_with_and_without_reference_system_do_not_meet(spark, tmp_path):
+    images = spark.createDataFrame(
+        [("S", None, 0, 0, b"a"), ("S", "EPSG:1", 0, 0, b"b")], "scene_id STRING, crs STRING, layout_row INT, layout_col INT, image BINARY"
+    )
+    K.write_images(images, str(tmp_path))
+    assert files(tmp_path) == ["S/EPSG-1_0_0.png", "S/unknown_0_0.png"]
+
+
+def test_paths_follow_the_default_file_system(spark, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://store/")
+    conf.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+    try:
+        assert qualified(spark, "/in/x") == "viewfs://store/in/x"
+        assert qualified(spark, f"file://{tmp_path}") == f"file:{tmp_path}"
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
+@pytest.fixture
+def large(tmp_path):
+    """One large file of blocks, and another band that no one can read."""
+    data = image(5, (200, 150))
+    save(tmp_path, "SC1", "B2", write_image(data[None], EXTENT, 32633, nodata=0, deflate=False, tile=16))
+    save(tmp_path, "SC1", "B3", b"not an image")
+    save(tmp_path, "SC2", "B2", b"not an image")
+    return tmp_path, data
+
+
+def test_one_file_is_read_by_several_tasks(spark, large, rows):
+    root, data = large
+    tiles = scan_windows(spark, str(root), split_bytes=10_000, window=32).where("band = 'B2' AND scene_id = 'SC1'")
+    assert tiles.rdd.getNumPartitions() == 7  # 66 KB and no other file
+    got = tiles.collect()
+    assert not [r for r in got if r["error"]]
+    seen = np.zeros(data.shape, int)
+    for r in got:
+        part = np.s_[r["top"] : r["top"] + r["rows"], r["left"] : r["left"] + r["cols"]]
+        assert [v or 0 for v in r["cells"]] == data[part].reshape(-1).tolist()
+        seen[part] += 1
+        assert r["ymax"] == pytest.approx(230 - r["top"] * 30 / 200) and r["xmin"] == pytest.approx(100 + r["left"] * 40 / 150)
+    assert (seen == 1).all()
+
+
+def test_pushed_filters_leave_other_files_closed(spark, large):
+    root, _ = large
+    every = scan_windows(spark, str(root), split_bytes=10_000)
+    assert sorted((r["scene_id"], r["band"]) for r in every.where("error IS NOT NULL").collect()) == [("SC1", "B3"), ("SC2", "B2")]
+    picked = every.where("scene_id = 'SC1' AND band = 'B2'")
+    assert picked.where("error IS NOT NULL").count() == 0
+    reader = WindowReader(StructType(), str(root), 10_000, 512, [0])
+    left = list(reader.pushFilters([EqualTo(("band",), "B2"), In(("scene_id",), ("SC1",)), EqualTo(("top",), 0)]))
+    assert left == [EqualTo(("top",), 0)]
+    assert {p.path.rsplit("/", 1)[1] for group in reader.partitions() for p in group.parts} == {"SC1_B2.TIF"}
+
+
+def test_small_files_share_a_task(spark, archive):
+    tiles = scan_windows(spark, str(archive))
+    assert tiles.rdd.getNumPartitions() == 1 and tiles.count() == 6
+    whole = S.scan_rasters(spark, str(archive)).select("scene_id", "band", "cells", "xmin", "ymax")
+    assert tiles.select("scene_id", "band", "cells", "xmin", "ymax").exceptAll(whole).isEmpty()
 
 
 def test_shared_folder_is_the_session_s(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/scenetext-{spark.sparkContext.applicationId}"
     assert shared_folder(spark, "a").startswith(root + "/a-")
     assert shared_folder(spark, "a") != shared_folder(spark, "a")
