@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scenetext.functions import cells
 from scenetext.functions.paths import BANDS
-from scenetext.plans.sizing import BROADCAST_BYTES, attach, sized
+from scenetext.plans.sizing import BROADCAST_BYTES, attach, measured_bytes, null_safe_join, sized
 
 CHANNELS = ("r", "g", "b")
 TILE = 512
@@ -260,11 +261,35 @@ def stack_by_center(
     px: DataFrame, order: Sequence[str], bands: Sequence[str] = BANDS, scale: int = 5
 ) -> DataFrame:
     """Band stack for extents that differ by floating-point noise: cells meet on
-    their centre (``cx``, ``cy``), rounded half up to ``scale`` decimals."""
+    their centre (``cx``, ``cy``), rounded half up to ``scale`` decimals.
+
+    Noise may lie on both sides of a rounding border. So rounded coordinates
+    that follow one another without a gap are one, the least of them. Only the
+    distinct coordinates of an axis are compared, and only those that move are
+    joined back, as a rule none.
+    """
     rounded = px.withColumns({c: F.round(c, scale) for c in ("cx", "cy")})
+    for axis in ("cx", "cy"):
+        moved = _moved(rounded, axis, scale)
+        n_bytes, _ = measured_bytes(moved)
+        moved = F.broadcast(moved) if n_bytes <= BROADCAST_BYTES else moved
+        joined = null_safe_join(rounded, moved, ["scene_id", axis], "left")
+        rounded = joined.withColumn(axis, F.coalesce("_to", axis)).drop("_to")
     return band_stack(rounded, order, bands, keys=("scene_id", "cx", "cy"))
 
 
+def _moved(px: DataFrame, axis: str, scale: int) -> DataFrame:
+    """``scene_id``, coordinate and ``_to``: where the coordinates right behind another one belong."""
+    step = (F.col(axis) * 10**scale).cast("decimal(38,0)")
+    seen = px.where(F.col(axis).isNotNull()).select("scene_id", axis).distinct().withColumn("_step", step)
+    along = Window.partitionBy("scene_id").orderBy("_step")
+    begins = F.coalesce(F.col("_step") - F.lag("_step").over(along) > 1, F.lit(True))
+    first = F.last(F.when(F.col("_begins"), F.col(axis)), ignorenulls=True)
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups = seen.withColumn("_begins", begins).withColumn("_to", first.over(upto))
+    return groups.where(~F.col("_begins")).select("scene_id", axis, "_to").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def quantile_breaks(
     px: DataFrame, classes: int = 256, keys: Sequence[str] = ("scene_id", "band")
 ) -> DataFrame:
@@ -295,6 +320,27 @@ def colour_ramp(class_id: Column, classes: int = 256) -> Column:
     return (F.lit(255) - blue) * 16777216 + blue * 256 + 255
 
 
+def class_steps(
+    px: DataFrame, classes: int = 256, keys: Sequence[str] = ("scene_id", "band")
+) -> DataFrame:
+    """One row per key: ``steps``, the classes that occur with the least value of each, ascending
+    (at most ``classes``), and ``n``, the number of cells."""
+    first = _classes(px, classes, keys).groupBy(*keys, "class_id").agg(F.min("dn").alias("start"), F.sum("n").alias("n"))
+    step = F.when(F.col("class_id").isNotNull(), F.struct("start", "class_id"))
+    return first.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("steps"), F.sum("n").alias("n"))
+
+
+def class_of(dn: Column, steps: Column, classes: int = 256) -> Column:
+    """Class of a value by binary search in the steps of its key: one probe for each bit of the
+    number of classes, whatever the range of values."""
+    strides = F.array(*(F.lit(1 << k) for k in reversed(range((classes - 1).bit_length()))))
+
+    def probe(at: Column, stride: Column) -> Column:
+        return F.when(F.get(steps, at + stride)["start"] <= dn, at + stride).otherwise(at)
+
+    return F.get(steps, F.aggregate(strides, F.lit(0), probe))["class_id"]
+
+
 def quantile_colours(
     px: DataFrame,
     classes: int = 256,
@@ -302,9 +348,37 @@ def quantile_colours(
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``rgba`` of every cell by the class of its value; NoData is white."""
-    # The join key for NoData lies outside the range of INT values.
-    key = F.coalesce(F.col("dn").cast("bigint"), F.lit(-(2**40)))
-    rgba = F.coalesce(colour_ramp(F.col("class_id"), classes), F.lit(cells.NODATA_COLOUR))
-    lookup = _classes(px, classes, keys).select(*keys, key.alias("_v"), rgba.alias("rgba"), "n")
-    tagged = px.withColumn("_v", key)
-    return attach(tagged, sized(lookup), [*keys, "_v"], ["x", "y"], limit).drop("_v")
+    joined = attach(px, sized(class_steps(px, classes, keys)), keys, ["x", "y"], limit)
+    class_id = F.when(F.col("dn").isNotNull(), class_of(F.col("dn"), F.col("steps"), classes))
+    rgba = F.coalesce(colour_ramp(class_id, classes), F.lit(cells.NODATA_COLOUR))
+    return joined.withColumn("rgba", rgba).drop("steps")
+
+
+# Size of a quantile sketch. A quantile from it has the rank asked for within SKETCH_ERROR of all values (with 99 %
+# confidence), however many there are and however they were merged.
+SKETCH_K = 2000
+SKETCH_ERROR = 0.0015
+
+
+def percentile_sketches(
+    px: DataFrame, keys: Sequence[str] = ("scene_id", "band"), value: str = "dn", k: int = SKETCH_K
+) -> DataFrame:
+    """``sketch BINARY`` of the positive values of every key, and their number ``n``.
+
+    For values of any kind, as reflectances in floating point, of which a
+    histogram would have as many rows as there are cells. Some 30 KB for a key
+    and task cross the network. Stored sketches of parts can be merged later.
+    """
+    positive = F.when(F.col(value) > 0, F.col(value).cast("double"))
+    return px.groupBy(*keys).agg(F.kll_sketch_agg_double(positive, k).alias("sketch"), F.count(positive).alias("n"))
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str] = ("scene_id", "band")) -> DataFrame:
+    return sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n").alias("n"))
+
+
+def sketch_bounds(sketches: DataFrame, percent: float = 2) -> DataFrame:
+    """``p_low, p_high`` of every sketch in place of it; NULL where nothing was positive."""
+    at = (percent / 100, 1 - percent / 100)
+    low, high = (F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(p))) for p in at)
+    return sketches.withColumns({"p_low": low, "p_high": high}).drop("sketch")

@@ -1,7 +1,7 @@
 """User functions over rows, for what no expression can say.
 
 Functions get plain Python values, one column of an Arrow batch at a time, and
-NULL as None; all other columns stay in Arrow, so no value changes its type. A
+NULL as None; all other columns stay with Spark, so no value changes its type. A
 batch is the most a task holds in Python.
 """
 
@@ -13,8 +13,9 @@ from typing import Any
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 # Distinct keys a task holds while it combines before the shuffle.
 COMBINE_KEYS = 200_000
@@ -43,32 +44,30 @@ def map_rows(
 def map_column(
     df: DataFrame, column: str, fn: Callable[[Any], Any], name: str, type_: str
 ) -> DataFrame:
-    """New column ``name`` = ``fn`` of every value of ``column``."""
-    keep = [c for c in df.columns if c != name]
-    schema = _schema(df, keep, name, type_)
-    kind = to_arrow_type(schema[name].dataType)
+    """New column ``name`` = ``fn`` of every value of ``column``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = pa.array([fn(v) for v in batch.column(column).to_pylist()], kind)
-            yield _batch(batch, keep, name, values)
+    An expression of the projection: only ``column`` passes through Python,
+    and Spark still leaves out columns that no one asks for.
+    """
+    return df.select(*(c for c in df.columns if c != name), _expression(fn, type_)(column).alias(name))
 
-    return df.mapInArrow(run, schema)
 
+def _expression(fn: Callable[[Any], Any], type_: str) -> Callable:
+    kind = to_arrow_type(_parse(type_))
 
-def _batch(batch: pa.RecordBatch, keep: list[str], name: str, values: pa.Array) -> pa.RecordBatch:
-    """Columns ``keep`` of a batch, and one more."""
-    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), values], [*keep, name])
+    def apply(values: pa.Array) -> pa.Array:
+        return pa.array([fn(v) for v in values.to_pylist()], kind)
 
+    return F.arrow_udf(apply, type_)
 
-def filter_rows(df: DataFrame, column: str, predicate: Callable[[Any], bool]) -> DataFrame:
-    """Rows for whose ``column`` the predicate holds."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([bool(predicate(v)) for v in batch.column(column).to_pylist()], pa.bool_()))
+def _parse(type_: str) -> DataType:
+    return StructType.fromDDL(f"x {type_}")["x"].dataType
 
-    return df.mapInArrow(run, df.schema)
+
+def filter_rows(df: DataFrame, column: str, predicate: Callable[[Any], bool]) -> DataFrame:
+    """Rows for whose ``column`` the predicate holds; only ``column`` passes through Python."""
+    return df.where(_expression(lambda v: bool(predicate(v)), "boolean")(column))
 
 
 def flat_map(
@@ -76,17 +75,7 @@ def flat_map(
 ) -> DataFrame:
     """One row per element of ``fn(value)``; the other columns are kept."""
     keep = [c for c in df.columns if c not in (column, name)]
-    schema = _schema(df, keep, name, type_)
-    kind = to_arrow_type(schema[name].dataType)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [fn(v) for v in batch.column(column).to_pylist()]
-            rows = pa.array([i for i, found in enumerate(lists) for _ in found], pa.int64())
-            values = pa.array([x for found in lists for x in found], kind)
-            yield _batch(batch.take(rows), keep, name, values)
-
-    return df.mapInArrow(run, schema)
+    return df.select(*keep, F.explode(_expression(fn, f"array<{type_}>")(column)).alias(name))
 
 
 def reduce_rows(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scenetext.functions.words import PUNCTUATION, TOKEN_PATTERN
+from scenetext.functions.words import PUNCTUATION
 
 LO, HI = 4000, 15176
 
@@ -129,20 +129,80 @@ WORDS = rf"""words AS (
   SELECT w FROM (SELECT unnest(regexp_split_to_array({CLEAN}, '\s+')) AS w FROM documents) t
   WHERE w <> '')"""
 
-TOKENS = f"""tokens AS (
-  SELECT unnest(regexp_extract_all(text, {_quoted(TOKEN_PATTERN)}, 1)) AS tok FROM documents)"""
+# Tokens by a pattern without lookaround. Equal marks are shortened one kind of mark after another, and references
+# are decoded by name, the ampersand last, so that what it makes is not decoded again.
+_W, _L = r"[\p{L}\p{M}\p{N}_]", r"[\p{L}\p{M}]"
+_URL_END = r"""[^\s()\[\]{}<>`!;:'".,?«»“”‘’]"""
+_TOKEN = "(" + "|".join((
+    rf"(?i:https?:(?:/{{1,3}}|[a-z0-9%])|[a-z0-9.\-]+\.[a-z]{{2,13}}/)(?:(?:[^\s()<>{{}}\[\]]|\([^\s()]*\))*(?:\([^\s()]*\)|{_URL_END}))?",
+    r"(?:\+?[01][ *\-.)]*)?(?:\(?\d{3}[ *\-.)]*)?\d{3}[ *\-.)]*\d{4}",
+    r"[<>]?[:;=8][\-o*']?[)\](\[dDpP/:}{@|\\]|[)\](\[dDpP/:}{@|\\][\-o*']?[:;=8][<>]?|<3",
+    r"<[^>\s]+>|<?-+>|<-+>?",
+    rf"@{_W}+|#+{_W}(?:{_W}|['\-]+{_W})+",
+    r"[\p{L}\p{M}\p{N}_.+\-]+@[\p{L}\p{M}\p{N}_\-]+\.[\p{L}\p{M}\p{N}_.\-]*[\p{L}\p{M}\p{N}_]",
+    r"(?i:[a-z0-9]+(?:[.\-][a-z0-9]+)*\.[a-z]{2,13})\b/?",
+    rf"{_L}(?:{_L}|['\-_])*{_L}",
+    rf"[+\-]?\d+[,/.:\-]\d+[+\-]?|{_W}+",
+    r"\.(?:\s*\.)+|\S",
+)) + ")"
+_MARKS = [*PUNCTUATION, *map(chr, range(0xC0, 0x100))]
+
+
+def _shortened(text: str) -> str:
+    for mark in _MARKS:
+        one = mark if ord(mark) > 127 else "\\" + mark
+        text = f"regexp_replace({text}, {_quoted(one + '{4,}')}, {_quoted(mark * 3 if mark != chr(92) else one * 3)}, 'g')"
+    return text
+
+
+def _found(text: str) -> str:
+    return f"regexp_extract_all({_shortened(text)}, {_quoted(_TOKEN)}, 1)"
+
+
+TOKENS = f"""tokens AS (SELECT unnest({_found('text')}) AS tok FROM documents)"""
+PAGE_TEXT = "html"
+for _name, _mark in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+    PAGE_TEXT = f"replace({PAGE_TEXT}, '&{_name};', '{_mark}')"
 
 TWEET = """to_json({'lang': lang, 'text': text, 'entities': {'hashtags': [{'text': source}]},
   'user': {'name': concat('User ', doc_id), 'screen_name': concat('u', doc_id),
            'followers_count': n_chars, 'description': source}})"""
 
-PRETTY = """concat(
-  '{', chr(10), '  "entities" : {', chr(10), '    "hashtags" : [ {', chr(10),
-  '      "text" : ', to_json(source), chr(10), '    } ]', chr(10), '  },', chr(10),
-  '  "lang" : ', to_json(lang), ',', chr(10), '  "text" : ', to_json(text), ',', chr(10),
-  '  "user" : {', chr(10), '    "description" : ', to_json(source), ',', chr(10),
-  '    "followers_count" : ', n_chars, ',', chr(10), '    "name" : "User ', doc_id, '",', chr(10),
-  '    "screen_name" : "u', doc_id, '"', chr(10), '  }', chr(10), '}')"""
+# Messages with fields that not all of them have; some lines are cut off.
+MESSAGE = f"""message AS (
+  SELECT doc_id, CASE WHEN doc_id % 37 = 5 THEN left(value, length(value) - 1) ELSE value END AS value FROM (
+    SELECT doc_id, concat(left(j, length(j) - 1), ',"zzz":{{"b":[1,2.5,{{"y":true,"x":null}}],"a":', doc_id, '}}',
+      CASE WHEN doc_id % 3 = 0 THEN ',"Place":{{"k":[[],{{}}],"deep":[[["é",-7]]]}}' ELSE '' END, ',"id":', doc_id, '}}') AS value
+    FROM (SELECT doc_id, CAST({TWEET} AS VARCHAR) AS j FROM documents) r) m)"""
+
+# Every node of a document gets a place that sorts before its children's and those before its end;
+# the text is put together from the nodes in that order, without knowing any field.
+_ASCII = r"""list_aggregate(list_transform(string_split({}, ''), lambda c: CASE
+  WHEN unicode(c) < 128 THEN c WHEN unicode(c) < 65536 THEN printf('\u%04x', unicode(c))
+  ELSE printf('\u%04x\u%04x', 55296 + (unicode(c) - 65536) // 1024, 56320 + unicode(c) % 1024) END), 'string_agg', '')"""
+DOCUMENTS = rf"""WITH RECURSIVE {MESSAGE},
+node AS (
+  SELECT doc_id, t.id, t.parent, t.key, t.type, CAST(t.atom AS VARCHAR) AS atom
+  FROM (SELECT doc_id, CAST(value AS JSON) AS j FROM message WHERE json_valid(value)) g, json_tree(g.j) t),
+way AS (
+  SELECT doc_id, id, type, atom, CAST(NULL AS VARCHAR) AS name, 0 AS depth, '' AS place, CAST(NULL AS UBIGINT) AS parent FROM node WHERE parent IS NULL
+  UNION ALL
+  SELECT n.doc_id, n.id, n.type, n.atom, CASE WHEN way.type = 'OBJECT' THEN n.key END, depth + 1,
+         place || chr(1) || CASE WHEN way.type = 'ARRAY' THEN lpad(n.key, 9, '0') ELSE n.key END, n.parent
+  FROM node n JOIN way ON n.doc_id = way.doc_id AND n.parent = way.id),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, parent ORDER BY place) AS nth,
+         id IN (SELECT parent FROM node x WHERE x.doc_id = way.doc_id) AS filled FROM way),
+piece AS (
+  SELECT doc_id, place, concat(
+    CASE WHEN depth > 0 THEN concat(CASE WHEN nth > 1 THEN ',' ELSE '' END, chr(10), repeat('  ', depth)) ELSE '' END,
+    CASE WHEN name IS NOT NULL THEN concat({_ASCII.format('CAST(to_json(name) AS VARCHAR)')}, ': ') ELSE '' END,
+    CASE type WHEN 'OBJECT' THEN '{{' WHEN 'ARRAY' THEN '[' ELSE {_ASCII.format("coalesce(atom, 'null')")} END) AS p FROM numbered
+  UNION ALL
+  SELECT doc_id, place || chr(2), concat(CASE WHEN filled THEN concat(chr(10), repeat('  ', depth)) ELSE '' END,
+    CASE type WHEN 'OBJECT' THEN '}}' ELSE ']' END) FROM numbered WHERE type IN ('OBJECT', 'ARRAY'))
+SELECT string_agg(p, '' ORDER BY place) AS json, CAST(NULL AS VARCHAR) AS broken FROM piece GROUP BY doc_id
+UNION ALL SELECT NULL, value FROM message WHERE NOT json_valid(value)"""
 
 COLUMNS = "scene_id, band, x, y, src"
 
@@ -190,6 +250,12 @@ ORACLE: dict[str, str] = {
         SELECT scene_id, band, p_low, p_high, n FROM bounds""",
     "percentile_stretch": f"WITH {STRETCHED} SELECT {COLUMNS}, v AS dn FROM stretched",
     "stretch_stack": f"WITH {STRETCHED} {_stacked(_merged('stretched', 'v'))}",
+    "percentile_sketch": """WITH v AS (
+        SELECT CAST(l_suppkey % 4 AS INT) AS scene_id, CAST(l_linenumber % 3 AS INT) AS band, l_extendedprice AS v FROM lineitem),
+        q AS (SELECT scene_id, band, quantile_cont(v, 0.02) AS a, quantile_cont(v, 0.98) AS b FROM v GROUP BY ALL)
+        SELECT scene_id, band, count(*) AS n, CAST(round(100 * avg(CAST(v <= a AS INT))) AS INT) AS low,
+               CAST(round(100 * avg(CAST(v <= b AS INT))) AS INT) AS high
+        FROM v JOIN q USING (scene_id, band) GROUP BY scene_id, band""",
     "quantile_breaks": f"WITH {CLASSES} SELECT * FROM classes",
     "quantile_colours": f"""WITH {CLASSES}
         SELECT pix.scene_id, pix.band, x, y, pix.dn, CASE WHEN pix.dn IS NULL THEN 4294967295 ELSE
@@ -235,6 +301,13 @@ ORACLE: dict[str, str] = {
     "raster_info": f"""WITH {FILES}
         SELECT path, 'GTiff' AS format, 8 AS cols, 8 AS rows, 1 AS bands, xmin, ymin, xmax, ymax,
                CAST(NULL AS VARCHAR) AS crs, CAST(NULL AS VARCHAR) AS error FROM files""",
+    "raster_listing": f"""WITH {FILES}
+        SELECT substr(path, 7) AS path, CAST(tile_no AS VARCHAR) AS scene_id, band,
+               CASE band WHEN 'B2' THEN 0 WHEN 'B3' THEN 1 ELSE 2 END AS band_index FROM files""",
+    "split_scan": f"""WITH {FILES}
+        SELECT substr(path, 7) AS path, CAST(f.tile_no AS VARCHAR) AS scene_id, f.band, CAST(NULL AS VARCHAR) AS error,
+               x, y, CASE WHEN dn > 0 THEN dn END AS dn
+        FROM files f JOIN tile_px USING (vec_id) WHERE f.band <> 'B5'""",
     "composite_errors": f"""WITH {FILES},
         damaged AS (SELECT * FROM files WHERE tile_no % 7 = 0 AND band = 'B3'),
         gap AS (SELECT tile_no, band FROM (SELECT DISTINCT tile_no FROM files) t,
@@ -255,6 +328,19 @@ ORACLE: dict[str, str] = {
         FROM cell LEFT JOIN tile_rgb p
           ON p.scene_id = cell.scene_id AND p.x = c * 16 + i AND p.y = cell.r * 16 + j,
         unnest(range(3)) v(k)""",
+    "image_files": f"""WITH {TILE_GRID},
+        ext AS (SELECT scene_id, max(x) + 1 AS w, max(y) + 1 AS h FROM tile_rgb GROUP BY scene_id),
+        used AS (SELECT DISTINCT scene_id, x // 16 AS c, y // 16 AS r FROM tile_rgb),
+        cell AS (SELECT scene_id, c, r, i, j FROM used JOIN ext USING (scene_id),
+                 unnest(range(16)) u(i), unnest(range(16)) t(j)
+                 WHERE c * 16 + i < w AND r * 16 + j < h)
+        SELECT concat(cell.scene_id, '/', cell.r, '_', c, '.tif') AS path, CAST(k AS INT) AS channel,
+               CAST(i AS INT) AS x, CAST(j AS INT) AS y,
+               coalesce(CASE k WHEN 0 THEN p.r WHEN 1 THEN p.g ELSE p.b END, 0) AS dn
+        FROM cell LEFT JOIN tile_rgb p
+          ON p.scene_id = cell.scene_id AND p.x = c * 16 + i AND p.y = cell.r * 16 + j,
+        unnest(range(3)) v(k)
+        WHERE NOT (cell.scene_id < 2 AND cell.r > 0)""",
     "write_scenes": f"WITH {PIX} {RGB}",
     "scene_catalog": f"WITH {ASSET} SELECT * FROM catalog",
     "scene_band_counts": f"""WITH {ASSET} SELECT scene_id, count(*) AS files,
@@ -297,20 +383,39 @@ ORACLE: dict[str, str] = {
     "char_counts": """
         SELECT c, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) t
         WHERE c <> '' GROUP BY c""",
+    "text_lines": f"SELECT CAST({TWEET} AS VARCHAR) AS value FROM documents",
     "nonempty_lines": f"SELECT CAST({TWEET} AS VARCHAR) AS value FROM documents",
     "tweet_fields": """
         SELECT lang, source AS hashtags, concat('User ', doc_id) AS name,
                concat('u', doc_id) AS screen_name, n_chars AS followers_count, source AS description
         FROM documents""",
     "tweet_text": "SELECT text FROM documents",
-    "tweet_to_json": f"SELECT {PRETTY} AS json FROM documents",
+    "tweet_to_json": DOCUMENTS,
+    "page_tokens": f"""SELECT page_id, CAST(i - 1 AS INT) AS pos, ts[i] AS tok
+        FROM (SELECT page_id, {_found(PAGE_TEXT)} AS ts FROM pages) p, unnest(range(1, len(ts) + 1)) u(i)""",
     "tweet_tokens": f"WITH {TOKENS} SELECT tok FROM tokens",
     "first_tokens": f"""
         SELECT doc_id, CAST(i - 1 AS INT) AS pos, ts[i] AS tok FROM (
-          SELECT doc_id, regexp_extract_all(text, {_quoted(TOKEN_PATTERN)}, 1) AS ts
+          SELECT doc_id, {_found('text')} AS ts
           FROM documents) d, unnest(range(1, len(ts) + 1)) u(i) ORDER BY doc_id, i LIMIT 10""",
     "tokens_by_freq_top15": f"""WITH {TOKENS} SELECT tok, count(*) AS n FROM tokens
         WHERE length(tok) > 2 GROUP BY tok ORDER BY n DESC, tok LIMIT 15""",
+    "frequent_tokens": f"""WITH {TOKENS} SELECT tok, count(*) AS n FROM tokens
+        WHERE length(tok) > 2 GROUP BY tok ORDER BY n DESC, tok LIMIT 15""",
+    "packed_turns": r"""WITH RECURSIVE s AS (
+        SELECT conv_id, turn, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn, i) AS k FROM (
+          SELECT conv_id, turn, i, len(list_filter(regexp_split_to_array(ss[i], '\s+'), lambda w: w <> '')) AS n
+          FROM (SELECT conv_id, turn, regexp_extract_all(text, '[^.!?]+[.!?]*') AS ss FROM conversations) c,
+               unnest(range(1, len(ss) + 1)) u(i)) t WHERE n > 0),
+        walk AS (
+          SELECT conv_id, turn, n, k, 0 AS block, n AS used FROM s WHERE k = 1
+          UNION ALL
+          SELECT s.conv_id, s.turn, s.n, s.k, CASE WHEN used + s.n > 40 THEN block + 1 ELSE block END,
+                 CASE WHEN used + s.n > 40 THEN s.n ELSE used + s.n END
+          FROM walk JOIN s ON s.conv_id = walk.conv_id AND s.k = walk.k + 1)
+        SELECT conv_id, CAST(block AS INT) AS block, min(turn) AS first, max(turn) AS last,
+               CAST(count(*) AS INT) AS sentences, CAST(sum(n) AS BIGINT) AS words
+        FROM walk GROUP BY conv_id, block""",
     "tokens_by_length_top10": f"""WITH {TOKENS} SELECT tok, length(tok) AS n FROM tokens
         WHERE length(tok) > 2 ORDER BY n DESC, tok LIMIT 10""",
     "event_props": """

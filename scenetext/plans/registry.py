@@ -12,14 +12,17 @@ from scenetext.functions.words import text_length
 from scenetext.operators import places as PL
 from scenetext.operators import raster as R
 from scenetext.operators import rows as U
+from scenetext.operators import sequences as Q
 from scenetext.operators import text as X
 from scenetext.operators import tiles as T
 from scenetext.operators import tweets as TW
 from scenetext.plans.archive import archive_errors
+from scenetext.plans.sizing import BROADCAST_BYTES, attach, sized
 from scenetext.sinks import scenes as K
 from scenetext.sinks.folders import shared_folder
 from scenetext.sources import rasters as S
 from scenetext.sources import tables as V
+from scenetext.sources import windows as SW
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,6 +145,18 @@ def quantile_colours(spark, sf_dir):
     return R.quantile_colours(px)
 
 
+@query
+def percentile_sketch(spark, sf_dir):
+    """Percentiles of prices (no histogram) from sketches of two halves, and the rank they really have."""
+    px = V.table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_suppkey % 4 AS INT) AS scene_id", "CAST(l_linenumber % 3 AS INT) AS band", "l_extendedprice AS dn", "l_orderkey % 2 AS half"
+    )
+    bounds = R.sketch_bounds(R.merge_sketches(R.percentile_sketches(px, ("scene_id", "band", "half"))))
+    joined = attach(px.drop("half"), sized(bounds), ["scene_id", "band"], ["dn"], BROADCAST_BYTES)
+    at = {name: F.round(100 * F.avg((F.col("dn") <= F.col(p)).cast("int"))).cast("int") for name, p in (("low", "p_low"), ("high", "p_high"))}
+    return joined.groupBy("scene_id", "band").agg(F.count("dn").alias("n"), *(c.alias(name) for name, c in at.items()))
+
+
 # Rasters, tile form
 
 
@@ -182,14 +197,14 @@ def tile_composite(spark, sf_dir):
 # through the same decoding as files on disk.
 
 
-def _band_files(spark, sf_dir):
+def _band_files(spark, sf_dir, tile=None):
     """16-bit TIFF files in memory as ``path, content``; negative cells saved as NoData 0."""
     shifted = "transform(cells, v -> greatest(v, 0))"
     path = "concat('/data/SC', scene_id, '/', tile_no, '/SC', scene_id, '_', tile_no, '_', band, '.TIF')"
     tiles = V.tiles(spark, sf_dir).selectExpr(
         f"{path} AS path", "xmin", "ymin", "xmax", "ymax", "cols", "rows", f"{shifted} AS cells"
     )
-    return K.encode_files(tiles, nodata=0)
+    return K.encode_files(tiles, nodata=0, tile=tile)
 
 
 @query
@@ -204,6 +219,46 @@ def raster_info(spark, sf_dir):
     return S.decode_headers(_band_files(spark, sf_dir))
 
 
+def _written_files(spark, sf_dir):
+    """Band files in the shared folder, written by the executors, each in four blocks; among them files of a band
+    that no one asks for and files that are no rasters."""
+    folder = shared_folder(spark, "rasters")
+    files = _band_files(spark, sf_dir, tile=4).selectExpr("substring(path, 7) AS name", "content AS image")
+    quality = files.where("name LIKE '%B2.TIF'").withColumn("name", F.expr("replace(name, '_B2.TIF', '_BQA.TIF')"))
+    notes = quality.selectExpr("replace(name, '_BQA.TIF', '_MTL.txt') AS name", "X'00' AS image")
+    K.write_files(files.union(quality).union(notes), folder)
+    return folder
+
+
+@query
+def raster_listing(spark, sf_dir):
+    """The band files below a folder, by listing alone."""
+    files = S.raster_files(spark, _written_files(spark, sf_dir)).select("path")
+    return S.scene_catalog(files).withColumn("path", F.substring_index("path", "/", -3))
+
+
+@query
+def split_scan(spark, sf_dir):
+    """Two bands of those files, a file read by several tasks or several files by one."""
+    tiles = SW.scan_windows(spark, _written_files(spark, sf_dir), ("B2", "B3"), split_bytes=400, window=4)
+    tiles = tiles.withColumn("path", F.substring_index("path", "/", -3))
+    pixels = S.raster_pixels(tiles.select("path", "scene_id", "band", "top", "left", "cols", "rows", "cells", "error"))
+    return pixels.withColumns({"x": F.col("left") + F.col("x"), "y": F.col("top") + F.col("y")}).drop("top", "left")
+
+
+@query
+def image_files(spark, sf_dir):
+    """Composite images as files; two scenes are written again with less, and all is read back."""
+    folder = shared_folder(spark, "images")
+    images = K.render_tiles(_composite(spark, sf_dir), "tif")
+    K.write_images(images, folder, "tif")
+    K.write_images(images.where("scene_id < 2 AND layout_row = 0"), folder, "tif")
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tif")
+    pixels = S.raster_pixels(S.decode_rasters(read.load(folder), samples=(0, 1, 2)))
+    path = F.substring_index("path", "/", -2).alias("path")
+    return pixels.select(path, F.col("sample").alias("channel"), "x", "y", "dn")
+
+
 @query
 def composite_errors(spark, sf_dir):
     """What a composite does without when the green files of every seventh scene are damaged."""
@@ -305,6 +360,12 @@ def words_longer_than(spark, sf_dir):
     return X.longer_than(words_flat(spark, sf_dir), 3)
 
 
+@query
+def packed_turns(spark, sf_dir):
+    """Sentences of a conversation packed into blocks of at most 40 words."""
+    return Q.pack_sentences(_sentences(spark, sf_dir), "conv_id", "turn")
+
+
 def _words(spark, sf_dir):
     return X.words(V.documents(spark, sf_dir))
 
@@ -343,6 +404,14 @@ def char_counts(spark, sf_dir):
 # Messages
 
 
+@query
+def text_lines(spark, sf_dir):
+    """Lines of text files without the empty ones; the files are written first."""
+    folder = shared_folder(spark, "lines")
+    V.tweet_lines(spark, sf_dir).write.text(folder)
+    return X.nonempty_lines(spark.read.text(folder))
+
+
 @query
 def nonempty_lines(spark, sf_dir):
     return X.nonempty_lines(V.tweet_lines(spark, sf_dir))
@@ -361,8 +430,9 @@ def tweet_text(spark, sf_dir):
 
 @query
 def tweet_to_json(spark, sf_dir):
-    schema = f"{TW.FIELDS}, {TW.TEXT}"
-    return TW.to_pretty_json(TW.parse(nonempty_lines(spark, sf_dir), schema))
+    """Whole messages of varied shape, printed; ``broken`` has the lines that are none."""
+    read = TW.documents(X.nonempty_lines(V.message_lines(spark, sf_dir)))
+    return read.select(TW.pretty_json(F.col("doc")).alias("json"), "broken")
 
 
 @query
@@ -370,6 +440,13 @@ def tweet_tokens(spark, sf_dir):
     return TW.tweet_tokens(tweet_text(spark, sf_dir))
 
 
+@query
+def page_tokens(spark, sf_dir):
+    """Tokens of raw pages: tags, character references, addresses."""
+    pages = V.spread(V.table(spark, sf_dir, "pages")).select("page_id", F.col("html").alias("text"))
+    return TW.tweet_tokens(pages, ["page_id"])
+
+
 @query
 def first_tokens(spark, sf_dir):
     return TW.first_tokens(V.documents(spark, sf_dir), 10, "doc_id")
@@ -384,6 +461,12 @@ def tokens_by_freq_top15(spark, sf_dir):
     return X.top(X.count_by_key(_long_tokens(spark, sf_dir), "tok"), 15, "n", "tok")
 
 
+@query
+def frequent_tokens(spark, sf_dir):
+    """As ``tokens_by_freq_top15``, counting candidates only."""
+    return X.frequent(_long_tokens(spark, sf_dir), "tok", 15)
+
+
 @query
 def tokens_by_length_top10(spark, sf_dir):
     sized = _long_tokens(spark, sf_dir).withColumn("n", text_length(F.col("tok")))

@@ -19,15 +19,22 @@ HOT_SHARE = 1000
 SALTS = 64
 
 
+def _width(kind: T.DataType) -> int:
+    """Bytes of a value without its text, and of an element of an array, at most."""
+    if isinstance(kind, T.StructType):
+        return 16 + sum(_width(f.dataType) for f in kind)
+    return 16
+
+
 def measured_bytes(df: DataFrame, weight: str | None = None) -> tuple[int, int]:
-    """Upper estimate of the bytes of a table of scalars, and the sum of ``weight``."""
-    fixed = 16 * len(df.columns)
-    strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in strings), F.lit(0))
+    """Upper estimate of the bytes of a table of scalars, texts and arrays of numbers, and the sum of ``weight``."""
+    fixed = sum(_width(f.dataType) for f in df.schema)
+    sizes = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    arrays = [f for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+    sizes += [F.coalesce(F.size(f.name), F.lit(0)) * _width(f.dataType.elementType) for f in arrays]
+    text = sum((c.cast("bigint") for c in sizes), F.lit(0).cast("bigint"))
     total = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(text.cast("bigint")).alias("chars"), total.alias("rows")
-    ).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("chars"), total.alias("rows")).first()
     return row["n"] * fixed + (row["chars"] or 0), row["rows"] or 0
 
 

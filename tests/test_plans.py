@@ -101,3 +101,11 @@ def test_small_tables_are_spread_and_large_ones_are_not(spark, sf_dir, tmp_path)
 def test_tile_form_work_needs_no_shuffle(spark, sf_dir):
     for name in ("tile_clamp_normalize", "scan_rasters", "raster_info"):
         assert not shuffles(plan(QUERIES[name](spark, sf_dir)))
+
+
+def test_user_functions_get_one_column(spark, sf_dir):
+    text = plan(QUERIES["user_map_plural"](spark, sf_dir))
+    sent = re.findall(r"ArrowEvalPython \[<?lambda>?.*?\((\w+)#\d+\)|ArrowEvalPython \[\w+\((\w+)#\d+\)", text)
+    assert sent == [("", "w")] and "MapInArrow" not in text
+    # pruning goes through: without the new column nothing runs in Python
+    assert "Python" not in plan(QUERIES["user_map_plural"](spark, sf_dir).select("conv_id", "w"))

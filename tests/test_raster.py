@@ -1,3 +1,5 @@
+import re
+
 import random
 
 import pytest
@@ -110,6 +112,51 @@ def test_centres_meet_despite_noise(spark, rows):
     ]
 
 
+def test_centres_meet_across_a_rounding_border(spark, rows):
+    """1.000005 lies on the border of five decimals: noise rounds it to either side."""
+    px = spark.createDataFrame(
+        [("s", "B2", 1.0000049, 2.0, 5, 1), ("s", "B3", 1.0000051, 2.0, 6, 2), ("s", "B5", 31.0000049, 2.0, 7, 3), ("t", "B2", 1.0000051, None, 8, 4)],
+        "scene_id STRING, band STRING, cx DOUBLE, cy DOUBLE, dn INT, src BIGINT",
+    )
+    got = rows(R.stack_by_center(px, ["src"]))
+    assert got == sorted([("s", 1.0, 2.0, 5, 6, None), ("s", 31.0, 2.0, None, None, 7), ("t", 1.00001, None, 8, None, None)], key=repr)
+    plan = R.stack_by_center(px, ["src"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_classes_by_search_equal_classes_by_value(spark, sf_dir, rows):
+    px = V.pixels(spark, sf_dir).select("scene_id", "band", "dn")
+    for classes in (1, 2, 7, 256, 1000):
+        by_value = px.join(R.quantile_breaks(px, classes), ["scene_id", "band", "dn"]).select("scene_id", "band", "dn", "class_id")
+        steps = R.class_steps(px, classes)
+        assert steps.agg(F.max(F.size("steps"))).first()[0] <= classes
+        joined = px.where("dn IS NOT NULL").join(steps, ["scene_id", "band"])
+        found = joined.select("scene_id", "band", "dn", R.class_of(F.col("dn"), F.col("steps"), classes).alias("class_id"))
+        assert rows(found) == rows(by_value)
+
+
+def test_colours_join_one_row_per_key(spark, sf_dir):
+    px = V.pixels(spark, sf_dir).select("scene_id", "band", "x", "y", "dn")
+    steps = R.class_steps(px)
+    assert steps.count() == steps.select("scene_id", "band").distinct().count() == 12
+    plan = R.quantile_colours(px)._jdf.queryExecution().optimizedPlan().toString()
+    assert "dn" not in re.search(r"Join Inner, (.*)", plan).group(1)
+
+
+def test_sketches_keep_their_rank_error(spark):
+    values = spark.range(200_000).selectExpr("id % 2 AS scene_id", "'B2' AS band", "id % 7 AS part", "exp((id * 7919 % 200003) / 2e4) AS dn")
+    parts = R.percentile_sketches(values, ("scene_id", "band", "part"))
+    merged = R.sketch_bounds(R.merge_sketches(parts))
+    for r in merged.collect():
+        mine = values.where(F.col("scene_id") == r["scene_id"])
+        for p, share in ((r["p_low"], 0.02), (r["p_high"], 0.98)):
+            assert abs(mine.where(F.col("dn") <= p).count() / r["n"] - share) <= 2 * R.SKETCH_ERROR
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[[^\]]*dn", plan)  # no histogram: never grouped by value
+    nothing = spark.createDataFrame([(1, "B2", -1.0), (1, "B2", None)], "scene_id INT, band STRING, dn DOUBLE")
+    assert [tuple(r)[2:] for r in R.sketch_bounds(R.percentile_sketches(nothing)).collect()] == [(0, None, None)]
+
+
 def test_tile_form_equals_pixel_form(spark, sf_dir, rows):
     tiles = V.tiles(spark, sf_dir)
     pixels = S.raster_pixels(tiles).withColumns(
