@@ -323,22 +323,23 @@ def colour_ramp(class_id: Column, classes: int = 256) -> Column:
 def class_steps(
     px: DataFrame, classes: int = 256, keys: Sequence[str] = ("scene_id", "band")
 ) -> DataFrame:
-    """One row per key: ``steps``, the classes that occur with the least value of each, ascending
-    (at most ``classes``), and ``n``, the number of cells."""
+    """One row per key: ``starts``, the least value of each class that occurs, ascending, ``ids``,
+    those classes (both at most ``classes`` long), and ``n``, the number of cells."""
     first = _classes(px, classes, keys).groupBy(*keys, "class_id").agg(F.min("dn").alias("start"), F.sum("n").alias("n"))
     step = F.when(F.col("class_id").isNotNull(), F.struct("start", "class_id"))
-    return first.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("steps"), F.sum("n").alias("n"))
+    listed = first.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("s"), F.sum("n").alias("n"))
+    return listed.select(*keys, F.col("s.start").alias("starts"), F.col("s.class_id").alias("ids"), "n")
 
 
-def class_of(dn: Column, steps: Column, classes: int = 256) -> Column:
-    """Class of a value by binary search in the steps of its key: one probe for each bit of the
-    number of classes, whatever the range of values."""
-    strides = F.array(*(F.lit(1 << k) for k in reversed(range((classes - 1).bit_length()))))
-
-    def probe(at: Column, stride: Column) -> Column:
-        return F.when(F.get(steps, at + stride)["start"] <= dn, at + stride).otherwise(at)
-
-    return F.get(steps, F.aggregate(strides, F.lit(0), probe))["class_id"]
+def with_class(px: DataFrame, classes: int = 256) -> DataFrame:
+    """Column ``class_id`` in place of ``starts`` and ``ids``, by binary search: one probe for each
+    bit of the number of classes, whatever the range of values."""
+    px = px.withColumn("_at", F.lit(0))
+    for k in reversed(range((classes - 1).bit_length())):
+        ahead = F.col("_at") + (1 << k)
+        px = px.withColumn("_at", F.when(F.get("starts", ahead) <= F.col("dn"), ahead).otherwise(F.col("_at")))
+    class_id = F.when(F.col("dn").isNotNull(), F.get("ids", F.col("_at")))
+    return px.withColumn("class_id", class_id).drop("starts", "ids", "_at")
 
 
 def quantile_colours(
@@ -349,9 +350,8 @@ def quantile_colours(
 ) -> DataFrame:
     """``rgba`` of every cell by the class of its value; NoData is white."""
     joined = attach(px, sized(class_steps(px, classes, keys)), keys, ["x", "y"], limit)
-    class_id = F.when(F.col("dn").isNotNull(), class_of(F.col("dn"), F.col("steps"), classes))
-    rgba = F.coalesce(colour_ramp(class_id, classes), F.lit(cells.NODATA_COLOUR))
-    return joined.withColumn("rgba", rgba).drop("steps")
+    rgba = F.coalesce(colour_ramp(F.col("class_id"), classes), F.lit(cells.NODATA_COLOUR))
+    return with_class(joined, classes).withColumn("rgba", rgba).drop("class_id")
 
 
 # Size of a quantile sketch. A quantile from it has the rank asked for within SKETCH_ERROR of all values (with 99 %

@@ -129,9 +129,9 @@ def test_classes_by_search_equal_classes_by_value(spark, sf_dir, rows):
     for classes in (1, 2, 7, 256, 1000):
         by_value = px.join(R.quantile_breaks(px, classes), ["scene_id", "band", "dn"]).select("scene_id", "band", "dn", "class_id")
         steps = R.class_steps(px, classes)
-        assert steps.agg(F.max(F.size("steps"))).first()[0] <= classes
+        assert steps.agg(F.max(F.size("starts"))).first()[0] <= classes
         joined = px.where("dn IS NOT NULL").join(steps, ["scene_id", "band"])
-        found = joined.select("scene_id", "band", "dn", R.class_of(F.col("dn"), F.col("steps"), classes).alias("class_id"))
+        found = R.with_class(joined, classes).select("scene_id", "band", "dn", "class_id")
         assert rows(found) == rows(by_value)
 
 
