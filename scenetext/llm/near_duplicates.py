@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scenetext.llm.common import kept, text_of, without
+from scenetext.llm.common import batch_rows, kept, text_of, without
 from scenetext.llm.components import components
 from scenetext.plans.sizing import BROADCAST_BYTES, measured_bytes
 
@@ -39,7 +39,8 @@ LEAST_ESTIMATE = 0.6
 BLOCK = 8192
 # Bytes of full sets in a block; two blocks are compared in one task.
 BLOCK_BYTES = 32 * 2**20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 50_000
+BATCH_TEXTS = 1000  # handed to Python at a time
 
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,11 +64,11 @@ def shingles(text: str, n: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     got = list(map(_words.get, words))
     if None in got:
+        if len(_words) > CACHE_WORDS:
+            _words.clear()
         for w in set(words).difference(_words):
             _words[w] = xxhash.xxh64_intdigest(w)
         got = [_words[w] for w in words]
-        if len(_words) > CACHE_WORDS:
-            _words.clear()
     h = np.array(got, np.uint64)
     short = len(h) < n
     m = 1 if short else len(h) - n + 1
@@ -106,8 +107,8 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
         band = np.arange(1, BANDS + 1, dtype=np.uint64)
         for batch in batches:
             rows = []
-            for text in batch.column("text").to_pylist():
-                h = shingles(text, n)
+            for text in batch.column("text"):
+                h = shingles(text.as_py(), n)
                 if not len(h):
                     rows.append((0, None, None, None))
                     continue
@@ -264,7 +265,8 @@ def classes(docs: DataFrame, n: int = 2, similar: float = 0.8) -> DataFrame:
     two blocks of a bucket or cluster and by the largest single set; what is shuffled
     grows with the square of the blocks of unlinked documents that are close by sketch.
     """
-    sig = kept(signatures(docs, n), "signatures")
+    with batch_rows(docs.sparkSession, BATCH_TEXTS):
+        sig = kept(signatures(docs, n), "signatures")
     full = sig.where("set IS NOT NULL AND doc_id IS NOT NULL")
     nodes = full.groupBy("set").agg(F.min("doc_id").alias("id"))
     nodes = kept(nodes, "nodes")

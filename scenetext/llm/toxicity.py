@@ -16,16 +16,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scenetext.llm.common import WORD, text_of
 
-# Bound of the training sample: labelled documents, taken in order of a hash.
-MAX_TRAIN = 6000
+# Bounds of the training sample: labelled documents, taken in order of a hash, and the bytes of one of them.
+MAX_TRAIN, MAX_TRAIN_BYTES = 6000, 1 << 16
 # Sequences of the training sample are cut after so many tokens.
 MAX_SEQUENCE = 256
 PREFIXES = (4, 5, 6)
-# Words whose features a worker remembers.
-CACHE = 500_000
+# Words whose features a task remembers, and texts it scores at a time.
+CACHE, TEXTS = 50_000, 256
 # Numbers in a matrix of padded sequences, in tasks and where the field is fitted.
 CELLS, TRAIN_CELLS = 500_000, 250_000
 
@@ -57,8 +58,9 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def marginals(emissions: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """P(toxic tag) per token by forward-backward; rows are sequences, padded with NaN at the end.
+def _recursions(emissions: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per token (first axis) and sequence: weight of the toxic tag against the other one from the
+    token alone, from all tokens up to it, and from all behind it.
 
     With two tags the recursions only need the ratio of both tags' sums, so
     nothing can overflow however long a text is.
@@ -79,10 +81,28 @@ def marginals(emissions: np.ndarray, trans: np.ndarray) -> np.ndarray:
         step = after * ratio
         ratio = np.where(np.isnan(after), 1.0, (a[1, 0] + a[1, 1] * step) / (a[0, 0] + a[0, 1] * step))
         back[t] = ratio
+    return e, forward, back
+
+
+def marginals(emissions: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """P(toxic tag) per token by forward-backward; rows are sequences, padded with NaN at the end."""
+    _, forward, back = _recursions(emissions, trans)
     odds = forward * back
     return (odds / (1 + odds)).T
 
 
+def pair_marginals(emissions: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """P(tag a, tag b) of every token and the next one: array [a, b, sequence, token]; NaN in the padding."""
+    e, forward, back = _recursions(emissions, trans)
+    a = np.exp(trans)
+    behind = e[1:] * back[1:]
+    out = np.empty((2, 2, *behind.shape))
+    for i in (0, 1):
+        for j in (0, 1):
+            out[i, j] = (forward[:-1] if i else 1.0) * a[i, j] * (behind if j else np.where(np.isnan(behind), np.nan, 1.0))
+    return (out / out.sum((0, 1))).transpose(0, 1, 3, 2)
+
+
 def _blocks(values: list[np.ndarray], cells: int) -> Iterator[tuple[list[int], np.ndarray]]:
     """Groups of rows of about equal length as padded matrices of bounded size."""
     order = sorted(range(len(values)), key=lambda i: len(values[i]))
@@ -140,65 +160,70 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
     # sequences: tokens as (row, place) with feature numbers, tags
     cut = [d[i : i + MAX_SEQUENCE] for d in words for i in range(0, len(d), MAX_SEQUENCE)]
     toxic = [label for d, label in zip(words, labels, strict=True) for _ in range(0, len(d), MAX_SEQUENCE)]
-    # clean sequences without any feature all look alike: they only matter through their length
-    marked = [any(ids.get(w) for w in s) for s in cut]
-    kept_rows = [k for k in range(len(cut)) if marked[k]] + [k for k in range(len(cut)) if not marked[k]][:1000]
+    # sequences without any feature are alike but for their length: one of each length stands for all of them
+    marked = [any(ids.get(w) for w in d) for d in cut]
+    bare = Counter(len(d) for d, m in zip(cut, marked, strict=True) if not m)
+    rows_of = [(cut[k], toxic[k], 1) for k in range(len(cut)) if marked[k]] + [([b""] * n, 0, many) for n, many in sorted(bare.items())]
     blocks = []
-    lengths = [np.empty(len(cut[k])) for k in kept_rows]
-    for rows, block in _blocks(lengths, TRAIN_CELLS):
+    for rows, block in _blocks([np.empty(len(d)) for d, _, _ in rows_of], TRAIN_CELLS):
         at, feature, tags = [], [], np.zeros(block.shape)
         for r, k in enumerate(rows):
-            seq, label = cut[kept_rows[k]], toxic[kept_rows[k]]
+            seq, label, _ = rows_of[k]
             for c, w in enumerate(seq):
                 if found := ids.get(w):
                     tags[r, c] = label
                     at += [r * block.shape[1] + c] * len(found)
                     feature += found
-        real = ~np.isnan(np.where(np.arange(block.shape[1]) < np.array([len(lengths[k]) for k in rows])[:, None], 0.0, np.nan))
-        blocks.append((real, np.array(at, int), np.array(feature, int), tags))
+        real = np.arange(block.shape[1]) < np.array([len(rows_of[k][0]) for k in rows])[:, None]
+        many = np.array([rows_of[k][2] for k in rows], float)[:, None]
+        blocks.append((real, np.array(at, int), np.array(feature, int), tags, many))
     tagged, plain, active = np.zeros(len(names)), np.zeros(len(names)), np.zeros(len(names))
-    for _, at, feature, tags in blocks:
+    for _, at, feature, tags, _ in blocks:
         per_token = np.bincount(at, minlength=tags.size)
         tag = tags.ravel()[at]
         tagged += np.bincount(feature, tag, len(names))
         plain += np.bincount(feature, 1 - tag, len(names))
         active += np.bincount(feature, per_token[at], len(names))
     n_tokens = sum(len(d) for d in words)
-    del words, cut, lengths
+    del words, cut, rows_of
     bias = np.array(np.log((sum(b[3].sum() for b in blocks) + 1) / (n_tokens + 1)))
     # features of one token share its weight
     weights = (np.log((tagged + 0.5) / (plain + 0.5)) - bias) / np.maximum(active / np.maximum(tagged + plain, 1), 1)
     trans = np.zeros((2, 2))
     history = [np.full_like(weights, 1e-3), np.array(1e-3), np.full((2, 2), 1e-3)]
-    total = sum(b[0].sum() for b in blocks)
+    total = sum((real * many).sum() for real, *_, many in blocks)
     for _ in range(rounds):
-        grads = [-1e-4 * weights, np.array(0.0), -1e-4 * trans]
-        for real, at, feature, tags in blocks:
-            e = np.full(real.size, float(bias))
-            np.add.at(e, at, weights[feature])
-            e = np.where(real, e.reshape(real.shape), np.nan)
-            p = marginals(e, trans)
-            miss = np.where(real, tags - p, 0.0)
-            grads[0] += np.bincount(feature, miss.ravel()[at], len(names)) / total * 1000
-            grads[1] += miss.sum() / total * 1000
-            both = real[:, 1:]
-            # expected pairs: p(a) * p(b | a) to first order, exact where tags are certain
-            for a in (0, 1):
-                for b in (0, 1):
-                    ta, tb = (tags if a else 1 - tags), (tags if b else 1 - tags)
-                    pa, pb = (p if a else 1 - p), (p if b else 1 - p)
-                    pair = np.where(both, ta[:, :-1] * tb[:, 1:] - pa[:, :-1] * pb[:, 1:], 0.0)
-                    grads[2][a, b] += np.nansum(pair) / total * 1000
-        for x, g, h in zip((weights, bias, trans), grads, history, strict=True):
+        grads = gradient(blocks, weights, float(bias), trans)
+        for x, g, h, pull in zip((weights, bias, trans), grads, history, (1e-4, 0.0, 1e-4), strict=True):
+            g = g / total * 1000 - pull * x
             h += g * g
             x += rate * g / np.sqrt(h)
     fitted = Model(dict(zip(names, weights.tolist(), strict=True)), float(bias), trans, 1.0, 0.0)
-    expected = np.log(expected_toxic(fitted, texts, cells=TRAIN_CELLS)[0] + 1e-6)
-    _CACHE.pop(id(fitted), None)
+    expected = np.log(expected_toxic(fitted, texts, {}, cells=TRAIN_CELLS)[0] + 1e-6)
     slope, centre = _logistic(expected, y)
     return fitted._replace(slope=slope, centre=centre)
 
 
+def gradient(blocks: list[tuple], weights: np.ndarray, bias: float, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the log-likelihood: observed minus expected counts of features, of toxic tags and of pairs of
+    tags. ``blocks`` hold padded sequences: real tokens, places and numbers of features, tags, and
+    how many sequences a row stands for."""
+    by_weight, by_bias, by_trans = np.zeros(len(weights)), 0.0, np.zeros((2, 2))
+    for real, at, feature, tags, many in blocks:
+        e = np.full(real.size, bias)
+        np.add.at(e, at, weights[feature])
+        e = np.where(real, e.reshape(real.shape), np.nan)
+        miss = np.where(real, tags - marginals(e, trans), 0.0) * many
+        by_weight += np.bincount(feature, miss.ravel()[at], len(weights))
+        by_bias += miss.sum()
+        both, pairs = real[:, 1:], pair_marginals(e, trans)
+        for a in (0, 1):
+            for b in (0, 1):
+                seen = (tags[:, :-1] == a) & (tags[:, 1:] == b)
+                by_trans[a, b] += (np.where(both, seen - pairs[a, b], 0.0) * many).sum()
+    return by_weight, np.array(by_bias), by_trans
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and centre of a logistic curve, by Newton steps with a slight pull to 0 on the slope."""
     b = np.zeros(2)
@@ -213,14 +238,14 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def expected_toxic(
-    model: Model, texts: list[str], spans: bool = False, cells: int = CELLS
+    model: Model, texts: list[str], cache: dict[bytes, float], spans: bool = False, cells: int = CELLS
 ) -> tuple[np.ndarray, list[str]]:
     """Toxic tokens per text, and ``start:end`` of likely runs (code points).
 
     The number is the greatest probability plus those of all tokens that are
     more likely toxic than not, so the many small ones of a long text add nothing.
+    ``cache`` remembers emissions of words from call to call.
     """
-    cache = _CACHE.setdefault(id(model), {})
     values = []
     for text in texts:
         words = text.encode().split()
@@ -247,7 +272,6 @@ def expected_toxic(
     return out, runs
 
 
-_CACHE: dict[int, dict] = {}
 _WORD = re.compile(WORD)
 
 
@@ -259,8 +283,10 @@ def _runs(text: str, likely: np.ndarray) -> str:
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     """Model from at most ``max_train`` labelled documents outside the held-out
-    fifth, taken in order of a hash of doc_id. The sample is picked from the
-    labels alone, so it is small when it meets the texts."""
+    fifth, taken in order of a hash of doc_id, each of ``MAX_TRAIN_BYTES`` bytes at
+    most. The sample is picked from the labels alone, so it is small when it
+    meets the texts; of a repeated doc_id one text counts, and so no more
+    than the sample reaches the driver."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     sample = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold != 0))
@@ -268,36 +294,35 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     )
     # at most max_train rows of two numbers
-    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
-    rows = sorted(rows.select("doc_id", "text", "toxic").collect())[: 2 * max_train]
+    texts = docs.select("doc_id", text_of().alias("text")).where(F.octet_length("text") <= MAX_TRAIN_BYTES)
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = sorted(rows.select("doc_id", "text", "toxic").collect())
     return train([r["text"] for r in rows], [int(r["toxic"]) for r in rows])
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of every row with ``score`` (0 to 1) and ``spans``.
+    """Every row of ``docs`` as ``row``, a struct of its ``keep`` columns, with ``score`` (0 to 1) and ``spans``.
 
     Only the text is an input. Null and empty texts have no tokens and get the
-    curve's lowest score. Rows are scored one by one in fixed-size matrices, so
-    neither many nor very long texts need more memory; no shuffle.
+    curve's lowest score. Texts are scored a few at a time in matrices of fixed
+    size, so many texts need no more memory than few; one text takes some
+    numbers per token. No shuffle.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a class of this package would have to be there on the executors
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
-        for batch in batches:
-            # the other columns stay as they are, in Arrow
-            texts = batch.column("_text").to_pylist()
-            expected, spans = expected_toxic(fitted, texts, spans=True)
-            names = [n for n in batch.schema.names if n != "_text"]
-            columns = [batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(fitted.score(expected), pa.float64()), pa.array(spans, pa.string())],
-                [*names, "score", "spans"],
-            )
-
-    rows = docs.select(*(F.col(f"`{c}`") for c in keep), text_of().alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"]
-    return rows.mapInArrow(run, ", ".join([*fields, "score double", "spans string"]))
+        fitted, cache = Model(*shared.value), {}
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
+                expected, spans = expected_toxic(fitted, batch.column("text").to_pylist(), cache, spans=True)
+                found = [pa.array(fitted.score(expected), pa.float64()), pa.array(spans, pa.string())]
+                # the row stays as it is, in Arrow
+                yield pa.RecordBatch.from_arrays([batch.column("row"), *found], ["row", "score", "spans"])
+
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), text_of().alias("text"))
+    return rows.mapInArrow(run, StructType([rows.schema["row"]]).add("score", "double").add("spans", "string"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -305,4 +330,4 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     rows = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held_out"))
     scored = score(rows, fit(docs, labels), ("doc_id", "held_out"))
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+    return scored.select("row.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")

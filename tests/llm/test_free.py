@@ -27,6 +27,79 @@ def test_marginals_equal_sums_over_all_taggings():
     assert np.allclose(got[0, :5], want) and np.isclose(got[1, 0], 1 / (1 + np.exp(-e[0])))
 
 
+def _brute(e, trans):
+    """Weight of every tagging of a sequence."""
+    n = len(e)
+    tags = [[code >> k & 1 for k in range(n)] for code in range(2**n)]
+    return tags, [np.exp(sum(e[k] for k in range(n) if t[k]) + sum(trans[a, b] for a, b in zip(t, t[1:]))) for t in tags]
+
+
+def test_pair_marginals_equal_sums_over_all_taggings():
+    rng = np.random.default_rng(3)
+    e, trans = rng.normal(size=5), rng.normal(size=(2, 2))
+    tags, weight = _brute(e, trans)
+    padded = np.array([[*e, np.nan, np.nan], [*e[:2], *[np.nan] * 5]])
+    got = toxicity.pair_marginals(padded, trans)
+    for k in range(4):
+        for a in (0, 1):
+            for b in (0, 1):
+                want = sum(w for t, w in zip(tags, weight) if (t[k], t[k + 1]) == (a, b)) / sum(weight)
+                assert np.isclose(got[a, b, 0, k], want)
+    assert np.isnan(got[:, :, 1, 1:]).all() and np.isclose(got[:, :, 1, 0].sum(), 1)
+
+
+def test_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    tags = np.array([[0, 1, 1, 0, 0], [1, 0, 0, 0, 0]], float)
+    real = np.array([[True] * 5, [True] * 3 + [False] * 2])
+    at, feature, many = np.array([1, 2, 2, 5]), np.array([0, 0, 1, 1]), np.array([[1.0], [7.0]])
+    x = rng.normal(size=7)
+
+    def likelihood(x):
+        total = 0.0
+        for r, n in ((0, 5), (1, 3)):
+            e = np.full(5, x[2])
+            for a, f in zip(at, feature):
+                if a // 5 == r:
+                    e[a % 5] += x[f]
+            every, weight = _brute(e[:n], x[3:].reshape(2, 2))
+            total += many[r, 0] * np.log(weight[every.index([int(t) for t in tags[r, :n]])] / sum(weight))
+        return total
+
+    w, b, t = toxicity.gradient([(real, at, feature, tags, many)], x[:2], x[2], x[3:].reshape(2, 2))
+    found = np.concatenate([w, [b], t.ravel()])
+    step = 1e-6
+    want = [(likelihood(x + step * d) - likelihood(x - step * d)) / (2 * step) for d in np.eye(7)]
+    assert np.allclose(found, want, atol=1e-5)
+
+
+def test_sequences_without_features_count_as_often_as_they_occur():
+    """2,000 clean sequences without a feature: each one more makes toxic tags less likely."""
+    toxic = [f"some words {i} vilething" for i in range(20)]
+    few = toxicity.train(toxic + [f"n{i} words of it" for i in range(50)], [1] * 20 + [0] * 50)
+    many = toxicity.train(toxic + [f"n{i} words of it" for i in range(6000)], [1] * 20 + [0] * 6000)
+    assert many.bias < few.bias - 1
+
+
+def test_toxicity_beats_the_constant_answer_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [r for r in QUERIES["op3_toxicity"](spark, sf).collect() if r["held_out"] and r["doc_id"] in labels]
+    hits = sum(labels[r["doc_id"]] and r["predicted"] for r in held)
+    toxic, flagged = sum(labels[r["doc_id"]] for r in held), sum(r["predicted"] for r in held)
+    right = sum(labels[r["doc_id"]] == r["predicted"] for r in held)
+    assert hits >= 0.8 * toxic and hits >= 0.8 * flagged, (hits, toxic, flagged)
+    assert right > len(held) - toxic, (right, len(held), toxic)  # more than with 0 for all
+
+
+def test_toxicity_runs_where_the_package_is_not(spark):
+    """What travels to the executors holds no class of this package."""
+    import pickle
+
+    model = toxicity.train([f"a bc{i} vilething" for i in range(20)] + [f"de fg{i}" for i in range(20)], [1] * 20 + [0] * 20)
+    assert b"scenetext" not in pickle.dumps(tuple(model))
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -206,7 +279,7 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
         docs = spark.createDataFrame(after.collect(), docs.schema)
         seen.append((name, {r["doc_id"]: r["text"] for r in docs.collect()}))
     everything = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    clean = {k for k, t in everything.items() if model.score(toxicity.expected_toxic(model, [t])[0])[0] < 0.5}
+    clean = {k for k, t in everything.items() if model.score(toxicity.expected_toxic(model, [t], {})[0])[0] < 0.5}
     assert set(seen[0][1]) == clean
     want = brute_components({k: shingle_set(t, 5) for k, t in seen[0][1].items()})
     assert set(seen[1][1]) == {k for k, c in want.items() if k == c}
