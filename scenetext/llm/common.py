@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,27 +65,70 @@ def without(rows: DataFrame, bad: DataFrame, on: str, limit: int = BROADCAST_BYT
     return rows.join(F.broadcast(bad) if n_bytes <= limit else bad, on, "left_anti")
 
 
+# Elements of an array that are put together at a time.
+_FAN = 64
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def sums_before(numbers: Column, levels: int = 3) -> Column:
+    """Sum of the numbers before each one.
+
+    Appending to an array copies it, so sums are made over blocks, over blocks
+    of their sums, and so on: for a million numbers each is copied some hundred
+    times and not a million.
+    """
+    if levels == 1:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            return F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+        return F.aggregate(numbers, start, step, lambda acc: acc["out"])
+
+    def joined(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x))
+        starts = sums_before(sums, levels - 1)
+        return F.flatten(F.zip_with(blocks, starts, lambda b, s: F.transform(sums_before(b, 1), lambda v: v + s)))
+
+    def cut(whole: Column) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size(whole) - 1) / _FAN).cast("int"))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(whole, k * _FAN + 1, F.lit(_FAN)))
+
+    return let(numbers, lambda whole: let(cut(whole), joined))
+
+
 def find_all(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` (no capturing groups) as
-    array<struct<start, end, m, gap>>: code points, end exclusive, the text matched
-    and the text between it and the match before.
+    array<struct<start, end, m, gap, after>>: code points, end exclusive, the text matched
+    and the text between it and the match before and behind.
 
     The pieces between matches give the positions, so the text is only
-    searched twice and never cut character by character.
+    searched twice and never cut character by character; the work is in
+    proportion to the text and its matches.
     """
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("m"))
-    empty = "array<struct<start:int,end:int,m:string,gap:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(empty).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["m"])
-        row = F.struct(begin.alias("start"), end.alias("end"), x["m"].alias("m"), x["gap"].alias("gap"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    pieces = F.filter(pairs, lambda x: x["m"].isNotNull())
-    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
+
+    def placed(gaps: Column) -> Column:
+        pairs = F.arrays_zip(gaps.alias("gap"), found.alias("m"), F.slice(gaps, 2, 2**30).alias("after"))
+        return let(F.filter(pairs, lambda x: x["m"].isNotNull()), spans)
+
+    def spans(pairs: Column) -> Column:
+        sizes = F.transform(pairs, lambda x: F.length(x["gap"]) + F.length(x["m"]))
+
+        def span(x: Column, at: Column) -> Column:
+            start = at + F.length(x["gap"])
+            end = start + F.length(x["m"])
+            return F.struct(
+                start.alias("start"), end.alias("end"), x["m"].alias("m"), x["gap"].alias("gap"), x["after"].alias("after")
+            )
+
+        return F.zip_with(pairs, sums_before(sizes), span)
+
+    return let(F.split(text, pattern, -1), placed)
 
 
 def span_text(kind: Column, span: Column) -> Column:

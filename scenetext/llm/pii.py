@@ -1,8 +1,8 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contextual extraction.
 
-Seeds are what the fixed patterns find. The words to the left of a seed are a
-lexical pattern; other identifier-like strings behind the same words are its
-instances. Patterns and instances form a graph on which scores are passed back
+Seeds are what the fixed patterns find, with all their blanks. The words to the
+left of a seed, and those to its right, are lexical patterns; other
+identifier-like strings beside the same words are their instances. Patterns and instances form a graph on which scores are passed back
 and forth a fixed number of times:
 
     pattern  = (sum of its instances' scores) / (its instances + ``doubt``)
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scenetext.llm.common import LONG, SPACE, find_all, kept, span_text, text_of
+from scenetext.llm.common import LONG, SPACE, find_all, kept, let, span_text, text_of
 
 KINDS = ("email", "ip", "card", "phone", "context")
 
@@ -31,8 +31,9 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # An identifier-like string: a word with a digit or an at sign.
 LIKE = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
 LEAST_CHARS = 6
-# Code points to the left in which the words of a pattern are looked for.
-LEFT = 64
+# Code points on either side in which the words of a pattern are looked for. A word that reaches beyond them is
+# left out, and a pattern with it; it is never cut.
+SIDE = 256
 
 
 def _luhn(m: Column) -> Column:
@@ -65,7 +66,7 @@ def base_spans(text: Column) -> Column:
     for no, (pattern, needs, test) in enumerate(tests):
         spans = find_all(text, pattern)
         if needs:
-            nothing = F.array().cast("array<struct<start:int,end:int,m:string,gap:string>>")
+            nothing = F.array().cast("array<struct<start:int,end:int,m:string,gap:string,after:string>>")
             spans = F.when(F.contains(text, F.lit(needs)), spans).otherwise(nothing)
         spans = F.filter(spans, test) if test else spans
         out.append(_named(no, spans))
@@ -74,29 +75,60 @@ def base_spans(text: Column) -> Column:
 
 def _named(no: int, spans: Column) -> Column:
     return F.transform(
-        spans, lambda s: F.struct(F.lit(no).alias("no"), s["start"].alias("start"), s["end"].alias("end"), s["m"].alias("m"))
+        spans,
+        lambda s: F.struct(
+            F.lit(no).alias("no"), s["start"].alias("start"), s["end"].alias("end"), s["m"].alias("m"),
+            s["gap"].alias("gap"), s["after"].alias("after"),
+        ),
     )
 
 
-def mentions(text: Column, words: int) -> Column:
-    """array<struct<start, end, instance, pattern>>: identifier-like strings
-    without marks at their ends, and the ``words`` words to their left (lower
-    case, null if there are fewer)."""
+def _patterns(before: Column, behind: Column, words: int) -> Column:
+    """array<string>: the ``words`` whole words right before a place and those right behind it, lower
+    case, each if there are as many; a word that the text between two matches cuts off does not count."""
+
+    def side(text: Column, first: bool) -> Column:
+        near = F.left(text, F.lit(SIDE)) if first else F.right(text, F.lit(SIDE))
+        pieces = F.split(F.lower(near), f"[{SPACE}]+")
+        # what touches the place is no word of its own, and what lies at the far edge may be cut
+        whole = F.when(
+            F.length(text) > SIDE, F.slice(pieces, 2, F.greatest(F.size(pieces) - 2, F.lit(0)))
+        ).otherwise(F.slice(pieces, 2, 2**30) if first else F.slice(pieces, 1, F.size(pieces) - 1))
+        listed = F.array_remove(whole, "")
+        near_words = F.slice(listed, 1, words) if first else F.slice(listed, -words, words)
+        mark = "> " if first else "< "
+        return F.when(F.size(listed) >= words, F.concat(F.lit(mark), F.array_join(near_words, " ")))
+
+    return F.array_compact(F.array(side(before, False), side(behind, True)))
+
+
+def mentions(text: Column, base: Column, words: int, least_chars: int = LEAST_CHARS) -> Column:
+    """array<struct<start, end, instance, patterns, seed>>: the base spans, whole, and
+    identifier-like words outside them without marks at their ends, ``least_chars`` long or more."""
 
     def one(s: Column) -> Column:
         bare = F.regexp_extract(s["m"], r"^[^\p{L}\p{N}+]*(.*?)[^\p{L}\p{N}]*$", 1)
-        start = s["start"] + F.instr(s["m"], bare) - 1
-        left = F.array_remove(F.split(F.lower(F.right(s["gap"], F.lit(LEFT))), f"[{SPACE}]+"), "")
-        pattern = F.array_join(F.slice(left, -words, words), " ")
+        cut = F.instr(s["m"], bare) - 1
+        start = s["start"] + cut
+        # blanks stand for the marks that were taken off
+        before = F.concat(s["gap"], F.when(cut > 0, " ").otherwise(""))
+        behind = F.concat(F.when(cut + F.length(bare) < F.length(s["m"]), " ").otherwise(""), s["after"])
+        return F.struct(
+            start.alias("start"), (start + F.length(bare)).alias("end"), bare.alias("instance"),
+            _patterns(before, behind, words).alias("patterns"), F.lit(False).alias("seed"),
+        )
+
+    def whole(s: Column) -> Column:
         return F.struct(
-            start.alias("start"),
-            (start + F.length(bare)).alias("end"),
-            bare.alias("instance"),
-            F.when(F.size(left) >= words, pattern).alias("pattern"),
+            s["start"].alias("start"), s["end"].alias("end"), s["m"].alias("instance"),
+            _patterns(s["gap"], s["after"], words).alias("patterns"), F.lit(True).alias("seed"),
         )
 
-    found = F.transform(find_all(text, LIKE), one)
-    return F.filter(found, lambda s: F.length(s["instance"]) >= LEAST_CHARS)
+    def outside(s: Column) -> Column:
+        return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+
+    words_like = F.filter(F.transform(find_all(text, LIKE), one), lambda s: (F.length(s["instance"]) >= least_chars) & (F.size(s["patterns"]) > 0))
+    return F.concat(F.transform(base, whole), F.filter(words_like, outside))
 
 
 def score(graph: DataFrame, rounds: int, doubt: float) -> DataFrame:
@@ -130,6 +162,7 @@ def find(
     doubt: float = 2.0,
     accept: float = 0.5,
     text: str = "text",
+    least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``base`` and ``context``, arrays of
     struct<no, start, end, m> (no: place in ``KINDS``).
@@ -141,16 +174,14 @@ def find(
     are not carried, whatever they are called.
     """
     body = text_of(text)
-    rows = docs.select(
-        "doc_id",
-        F.xxhash64("doc_id", body).alias("_key"),
-        base_spans(body).alias("base"),
-        mentions(body, words).alias("_mentions"),
-    )
-    rows = kept(rows, "pii")
-    each = rows.select("_key", "base", F.explode("_mentions").alias("s")).select("_key", "base", "s.*").where("pattern IS NOT NULL")
-    touches = F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
-    each = each.select("_key", "start", "end", "instance", "pattern", touches.alias("seed"))
+    rows = docs.select("doc_id", body.alias("_text"), base_spans(body).alias("_base"))
+    # two hashes, as one of 64 bits would meet another among very many rows
+    key = F.concat_ws(":", F.xxhash64("doc_id", "_text").cast("string"), F.xxhash64(F.lit(1), "_text", "doc_id").cast("string"))
+    plain = F.transform("_base", lambda s: F.struct(*(s[c].alias(c) for c in ("no", "start", "end", "m"))))
+    found = let(F.col("_base"), lambda b: mentions(F.col("_text"), b, words, least_chars))
+    rows = kept(rows.select("doc_id", key.alias("_key"), plain.alias("base"), found.alias("_mentions")), "pii")
+    each = rows.select("_key", F.explode("_mentions").alias("s")).select("_key", "s.*")
+    each = each.withColumn("pattern", F.explode("patterns")).drop("patterns")
     graph = each.groupBy("pattern", "instance").agg(F.bool_or("seed").alias("seed"))
     good = score(kept(graph, "pii-graph"), rounds, doubt).where(F.col("score") >= accept).select("pattern")
     new = each.where(~F.col("seed")).join(good, "pattern", "left_semi")

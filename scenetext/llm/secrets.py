@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from scenetext.llm.common import LONG, find_all, kept, span_text, text_of
+from scenetext.llm.common import LONG, find_all, kept, let, span_text, text_of
 
 # The base patterns, as pattern for the search (possessive, so that
 # long runs cost linear time, with the same matches) and condition on a match.
@@ -33,8 +32,10 @@ ENCODINGS = (
     ("base64", "^.*$", UPPER + UPPER.lower() + DIGITS + "+/-_="),
 )
 
-# Length classes of the false-discovery control, and steps of the p-values in it.
+# Length classes of the false-discovery control, the least number of candidates that make one of its own, and steps
+# of the p-values in it. Candidates below one step have structure in any case.
 CLASSES = (20, 32, 48, 80)
+LEAST_IN_CLASS = 50
 STEPS = 1000
 
 
@@ -59,19 +60,28 @@ def _value(m: Column) -> Column:
 
 def _two_sided(z: Column) -> Column:
     """P(|Z| >= |z|) of a normal Z, by a rational approximation (error below 2e-7)."""
-    x = F.abs(z) / F.sqrt(F.lit(2.0))
-    t = 1 / (1 + 0.3275911 * x)
-    poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), poly * F.exp(-x * x)))
+
+    def tail(x: Column, t: Column) -> Column:
+        poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), poly * F.exp(-x * x)))
+
+    return let(F.abs(z) / F.sqrt(F.lit(2.0)), lambda x: let(1 / (1 + 0.3275911 * x), lambda t: tail(x, t)))
+
+
+def _one_sided(z: Column) -> Column:
+    """P(Z >= z)."""
+    return let(z, lambda v: let(_two_sided(v) / 2, lambda half: F.when(v > 0, half).otherwise(1 - half)))
 
 
 def battery(m: Column) -> Column:
     """struct<encoding, p>: p is the combined p-value under the hypothesis that
     ``m`` is drawn evenly from the alphabet of its encoding; small p means structure.
 
-    Three tests, whose moments are exact for every length: chi-squared over
-    the alphabet, runs above and below its middle, correlation of neighbours.
-    They are combined by three times the least p.
+    Four tests: chi-squared over the alphabet and over its kinds of
+    characters (digits, capitals, small letters, the rest), runs above and below its
+    middle, correlation of neighbours; all but the second with moments that are
+    exact for every length. The least of k even p-values has 1 - (1 - least)**k
+    even again; the tests depend on one another a little, so they count as three quarters of a test less.
     """
     encoding, alphabet = F.lit(ENCODINGS[-1][0]), F.lit(ENCODINGS[-1][2])
     for name, rule, letters in reversed(ENCODINGS[:-1]):
@@ -87,6 +97,15 @@ def battery(m: Column) -> Column:
         lambda acc, c: acc + F.pow((F.length(m) - F.length(F.replace(m, c, F.lit("")))).cast("double"), F.lit(2.0)),
     )
     chi = (squares * k / n - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+    kinds, kind_of = F.lit(0.0), F.lit(-1.0)
+    for letters in ("0-9", "A-Z", "a-z", "+/_=-"):
+        here = F.length(F.regexp_replace(m, f"[^{letters}]", "")).cast("double")
+        wanted = n * F.length(F.regexp_replace(alphabet, f"[^{letters}]", "")) / k
+        kinds = kinds + F.when(wanted > 0, (here - wanted) * (here - wanted) / wanted).otherwise(0.0)
+        kind_of = kind_of + (wanted > 0).cast("double")
+    # chi-squared with few degrees of freedom to a normal one, by its cube root
+    cube = F.when(kind_of > 0, (F.pow(kinds / kind_of, F.lit(1 / 3)) - 1 + 2 / (9 * kind_of)) / F.sqrt(2 / (9 * kind_of)))
+    by_kind = F.when(kind_of > 0, _one_sided(cube)).otherwise(F.lit(1.0))
     start = F.struct(
         zero.alias("s"), zero.alias("ss"), zero.alias("sp"), zero.alias("up"), zero.alias("runs"),
         F.lit(-1.0).alias("last"), F.lit(-1.0).alias("first"),
@@ -115,22 +134,52 @@ def battery(m: Column) -> Column:
         spread = a["ss"] - a["s"] * a["s"] / n
         r = (a["sp"] + a["last"] * a["first"] - a["s"] * a["s"] / n) / spread
         serial = F.when(spread > 0, (r + 1 / (n - 1)) * F.sqrt(n - 1)).otherwise(F.lit(9.0))
-        least = F.least(_two_sided(chi), _two_sided(runs), _two_sided(serial))
-        return F.struct(encoding.alias("encoding"), F.least(F.lit(1.0), 3 * least).alias("p"))
+        least = F.least(_two_sided(chi), by_kind, _two_sided(runs), _two_sided(serial))
+        tests = F.lit(2.25) + (kind_of > 0).cast("int")
+        return F.struct(encoding.alias("encoding"), (1 - F.pow(1 - least, tests)).alias("p"))
 
     return F.aggregate(chars, start, step, finish)
 
 
+def thresholds(counts: list, q: float) -> dict[int, int]:
+    """Per length class the step that a reported candidate must exceed, from rows ``c, p, n`` (class, step,
+    candidates): at most len(CLASSES) * (STEPS + 1) numbers, however many candidates there are."""
+    by_class: dict[int, list[int]] = {}
+    for c, p, n in counts:
+        by_class.setdefault(c, [0] * (STEPS + 1))[min(max(p, 0), STEPS)] += n
+    few = [c for c, steps in by_class.items() if sum(steps) < LEAST_IN_CLASS]
+    shared = [sum(by_class[c][p] for c in few) for p in range(STEPS + 1)]
+    alone = sum(shared) < LEAST_IN_CLASS
+    together = round(q * STEPS) if alone else _threshold(shared, q)
+    return {c: together if c in few else _threshold(steps, q) for c, steps in by_class.items()}
+
+
+def _threshold(steps: list[int], q: float) -> int:
+    upper = sum(steps[STEPS // 2 + 1 :])
+    random = 2 * (upper + upper**0.5)
+    above = sum(steps[2:])
+    for t in range(1, STEPS):
+        if above - random * (1 - t / STEPS) <= q * above:
+            return t
+        above -= steps[t + 1]
+    return STEPS
+
+
 def scan(docs: DataFrame, q: float = 0.05, text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``base`` and ``random``, arrays of
     struct<start, no, end> (no: place in ``KINDS``).
 
-    A candidate counts as random unless structure is found in it. Over the
-    whole corpus and within each length class the Benjamini-Hochberg rule
-    decides who has structure: the largest step t with t <= q * share of
-    candidates of the class with p <= t. P-values are rounded up to
-    1/``STEPS``, so the rule needs one small table of counts and no order of
-    all candidates. Longer candidates have more power and get their own bound.
+    A candidate is reported as random if its p-value is above the bound of its
+    length class, and the bounds keep the share of structured strings among the
+    reported ones near ``q`` (as near as the number of candidates allows to estimate): p-values of random strings are even, those of
+    others lie near 0. So twice the candidates above 1/2, and a standard
+    deviation more, are an estimate of the random ones, ``1 - t`` of these lie
+    above t, and what else lies there is false. The bound is the least t (one step at least) at which the false ones
+    are ``q`` of the reported ones; without one nothing is reported. Classes
+    with few candidates share a bound; where all of them are too few to
+    estimate anything, it is ``q`` itself. P-values are rounded up to
+    1/``STEPS``, so the rule needs one small table of counts and no order of all
+    candidates.
 
     Null texts are empty; repeated rows each get a row and count in the rule.
     The text is read once; counts are combined before the shuffle.
@@ -156,16 +205,12 @@ def scan(docs: DataFrame, q: float = 0.05, text: str = "text") -> DataFrame:
     each = rows.select(F.explode("tested").alias("t")).select(size_class(F.col("t")).alias("c"), F.col("t.p").alias("p"))
     counts = each.groupBy("c", "p").agg(F.count("*").alias("n"))
     # at most len(CLASSES) * (STEPS + 1) rows from here on
-    upto = F.sum("n").over(W.partitionBy("c").orderBy("p"))
-    total = F.sum("n").over(W.partitionBy("c"))
-    steps = counts.select("c", "p", upto.alias("upto"), total.alias("total"))
-    fits = F.when(F.col("p") * F.col("total") <= F.lit(q * STEPS) * F.col("upto"), F.col("p"))
-    bounds = {r["c"]: r["t"] for r in steps.groupBy("c").agg(F.max(fits).alias("t")).collect()}
+    bounds = thresholds(counts.collect(), q)
 
     def bound(s: Column) -> Column:
-        out = F.lit(-1)
+        out = F.lit(STEPS)
         for c, t in bounds.items():
-            out = F.when(size_class(s) == c, F.lit(-1 if t is None else t)).otherwise(out)
+            out = F.when(size_class(s) == c, F.lit(t)).otherwise(out)
         return out
 
     free = F.filter(
