@@ -39,6 +39,32 @@ def seeds(rows: DataFrame, masks=MASKS) -> DataFrame:
     return rows.withColumn("seed", F.explode(F.array(*hashes))).where("seed IS NOT NULL")
 
 
+def _short_hits(rows: DataFrame, items: DataFrame, span: int, limit: int) -> DataFrame | None:
+    """Hits of items with fewer than ``span`` words, which no mask fits: the whole item, word for word.
+
+    Only the lengths that occur are tried, fewer than ``span``; the items are
+    measured like the seeds. None if there is no such item.
+    """
+    short = kept(items.where(F.size("h") < span).select("item_id", "h", F.size("h").alias("n")), "short-items")
+    lengths = sorted(r["n"] for r in short.select("n").distinct().collect())
+    if not lengths:
+        return None
+    n_bytes, _ = measured_bytes(short)
+    whole = short.select("item_id", F.xxhash64("n", "h").alias("seed"), F.col("h").alias("item"))
+    none = F.array().cast("array<struct<n:int,at:int>>")
+
+    def places_of(n: int) -> Column:
+        last = F.size("h") - n
+        here = F.transform(F.sequence(F.lit(0), last), lambda at: F.struct(F.lit(n).alias("n"), at.alias("at")))
+        return F.when(last >= 0, here).otherwise(none)
+
+    places = F.concat(*map(places_of, lengths))
+    each = rows.withColumn("p", F.explode(places)).select("_key", "doc_id", "p.*", F.expr("slice(h, p.at + 1, p.n)").alias("part"))
+    each = each.withColumn("seed", F.xxhash64("n", "part"))
+    found = each.join(F.broadcast(whole) if n_bytes <= limit else whole, "seed").where("part = item")
+    return found.select("_key", "doc_id", "item_id", F.col("at").alias("start"), F.col("n").alias("matched"), F.col("n").alias("compared"))
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -52,8 +78,9 @@ def overlaps(
     The window of ``window`` words of the item around the hit (all words of a
     shorter item) must agree with the document in ``similar`` of its words,
     place by place; ``start`` is the word of the document where it begins.
-    Null and empty texts have no hits; items shorter than the shortest mask
-    cannot be found; items with equal texts are all reported.
+    Null and empty texts have no hits; an item shorter than the shortest mask is
+    found where all its words stand in a row; items with equal texts are all
+    reported.
 
     The seeds of the benchmark are measured; below ``limit`` bytes they are
     broadcast and the documents do not move. Beyond that the seeds of the
@@ -88,7 +115,9 @@ def overlaps(
         (F.col("at") - F.col("item_at") + F.col("_a")).alias("start"),
         F.size(same).alias("matched"), F.col("_n").alias("compared"),
     )
-    return found.where(F.col("matched") >= F.lit(similar) * F.col("compared"))
+    found = found.where(F.col("matched") >= F.lit(similar) * F.col("compared"))
+    short = _short_hits(rows, items, min(max(m) for m in masks) + 1, limit)
+    return found if short is None else found.union(short)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -351,8 +352,9 @@ def compare(chunks: DataFrame, flags: DataFrame, bits: int) -> DataFrame:
                         x[by_place].tobytes()
                         for x in (first.astype(np.uint32), number.astype(np.uint32), size.astype(np.uint8))
                     )
-                    # places pass through; dealt by chunk
-                    out.append((row.chunk, int(row.chunk) % (1 << bits), 0, len(first), zstandard.compress(body, 1)))
+                    # places pass through; dealt by a hash of the chunk, whose number is that of a task and a small one
+                    dealt = zlib.crc32(int(row.chunk).to_bytes(8, "little")) % (1 << bits)
+                    out.append((row.chunk, dealt, 0, len(first), zstandard.compress(body, 1)))
                 yield pd.DataFrame(out, columns=["chunk", "owner", "kind", "n", "body"])
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:

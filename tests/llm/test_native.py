@@ -262,6 +262,44 @@ def test_decontamination_finds_whole_and_changed_passages(spark, sf_dir, texts):
     assert {(r["doc_id"], tuple(r["item_ids"])) for r in out.collect()} == {(1, (5,)), (2, ()), (3, ())}
 
 
+@pytest.mark.parametrize("limit", [1 << 25, -1])
+def test_short_items_are_found_word_for_word(spark, limit):
+    items = spark.createDataFrame([(1, "The answer is four."), (2, "yes"), (3, ""), (4, "a b c d e f")], "item_id long, text string")
+    docs = [(1, "well: the ANSWER is four, no?"), (2, "the answer was four"), (3, "yes yes"), (4, None), (5, "is four the answer")]
+    out = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items, limit=limit)
+    assert {r["doc_id"]: (r["item_ids"], r["n_hits"]) for r in out.collect()} == {1: ([1], 1), 2: ([], 0), 3: ([2], 2), 4: ([], 0), 5: ([], 0)}
+
+
+def _aligned(doc, item, window=25):
+    """Whether any window of the item agrees with the document in 80 % of its words on some diagonal."""
+    n = min(window, len(item))
+    for shift in range(-len(item), len(doc)):
+        same = [0 <= k + shift < len(doc) and doc[k + shift] == w for k, w in enumerate(item)]
+        if any(5 * sum(same[a : a + n]) >= 4 * n for a in range(len(item) - n + 1)):
+            return True
+    return False
+
+
+def test_decontamination_recall_against_brute_force(spark):
+    """Passages of 25 words with up to seven changed at random, against every alignment."""
+    rng = random.Random(11)
+    items = [[f"i{k}w{rng.randint(0, 40)}" for _ in range(40)] for k in range(8)]
+    docs = []
+    for k in range(300):
+        item = rng.choice(items)
+        a = rng.randint(0, 15)
+        part = item[a : a + 25]
+        for place in rng.sample(range(25), rng.randint(0, 7)):
+            part[place] = f"x{rng.randint(0, 99)}"
+        docs.append([f"d{rng.randint(0, 99)}" for _ in range(rng.randint(0, 20))] + part + [f"d{rng.randint(0, 99)}" for _ in range(10)])
+    want = {k for k, d in enumerate(docs) if any(_aligned(d, i) for i in items)}
+    rows = spark.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id long, text string")
+    table = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    got = {r["doc_id"] for r in decontaminate.contaminated(rows, table).where("contaminated").collect()}
+    assert got <= want and 100 < len(want) < 290
+    assert len(got) >= 0.9 * len(want), (len(got), len(want))
+
+
 def test_broadcast_and_shuffle_find_the_same(spark, sf_dir):
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     a, b = decontaminate.contaminated(docs, items), decontaminate.contaminated(docs, items, limit=-1)
