@@ -9,10 +9,12 @@ from scenetext.plans.sizing import BROADCAST_BYTES, measured_bytes
 
 
 def load_places(df: DataFrame, coordinate: str = "coord") -> DataFrame:
-    """``code, lon, lat`` from a coordinate array; rows without exactly two numbers are rejected."""
+    """``code, lon, lat`` from a coordinate array; rows without exactly two numbers are rejected.
+    A repeated code is one place, the one of its points that comes first by lon, then lat."""
     point = F.col(coordinate)
     valid = df.where(F.size(coordinate) == 2)
-    return valid.select("code", point[0].alias("lon"), point[1].alias("lat"))
+    first = F.min(F.struct(point[0].alias("lon"), point[1].alias("lat"))).alias("p")
+    return valid.groupBy("code").agg(first).select("code", "p.lon", "p.lat")
 
 
 def place_points(

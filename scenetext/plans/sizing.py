@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so fewer than
-# HOT_SHARE keys can be hot. Each hot key is spread over SALTS shuffle groups.
+# HOT_SHARE keys can be hot. Each is spread over as many shuffle groups as it has
+# such shares, so that no group has more of it, and all of them have fewer than
+# 2 * HOT_SHARE groups.
 HOT_SHARE = 1000
-SALTS = 64
 
 
 def _width(kind: T.DataType) -> int:
@@ -80,13 +81,14 @@ def attach(
     if small.size <= limit:
         return null_safe_join(large, F.broadcast(table.drop(weight)), on)
     is_hot = F.col(weight) * HOT_SHARE > small.rows
-    hot = table.where(is_hot).select(*on, F.lit(True).alias("_hot"))
-    salt = F.pmod(F.xxhash64(*spread_on), F.lit(SALTS)).cast("int")
+    salts = F.ceil(F.col(weight) * HOT_SHARE / F.lit(max(small.rows, 1))).cast("int")
+    hot = table.where(is_hot).select(*on, salts.alias("_salts"))
+    salt = F.pmod(F.xxhash64(*spread_on), F.col("_salts")).cast("int")
     spread = (
         null_safe_join(large, F.broadcast(hot), on, "left")  # fewer than HOT_SHARE rows, see above
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-        .drop("_hot")
+        .withColumn("_salt", F.coalesce(salt, F.lit(0)))
+        .drop("_salts")
     )
-    groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    groups = F.when(is_hot, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
     copies = table.withColumn("_salt", F.explode(groups)).drop(weight)
     return null_safe_join(spread, copies, [*on, "_salt"]).drop("_salt")

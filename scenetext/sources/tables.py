@@ -25,13 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores if the table has fewer files than that.
+    """Rows dealt out to all cores if the reader plans fewer tasks than that.
 
     One small file is one task, too slow for rows that need much work (long
-    texts, Python). A large table has splits enough and is left where it is.
+    texts, Python). A large table has splits enough, however few its files are,
+    and is left where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,12 @@ def test_points_without_a_usable_place_are_dropped(spark, rows, limit):
     assert rows(got) == [("A", 12.5, 46.2, 5, "A : 5")]
 
 
+def test_a_repeated_code_is_one_place(spark, rows):
+    coords = spark.createDataFrame([("A", [2.0, 3.0]), ("A", [1.0, 9.0]), ("B", [5.0, 6.0])], "code STRING, coord ARRAY<DOUBLE>")
+    points = spark.createDataFrame([("A", 5), ("B", 6)], "code STRING, value BIGINT")
+    assert rows(PL.place_points(points, PL.load_places(coords))) == [("A", 1.0, 9.0, 5, "A : 5"), ("B", 5.0, 6.0, 6, "B : 6")]
+
+
 def test_user_functions_equal_expressions(spark, rows, sf_dir):
     text = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("turn", "text")
     flat = X.words_flat(text).select("turn", "w")
@@ -67,6 +73,22 @@ def test_only_hot_keys_are_copied(spark, skewed):
     assert hot.count() < sizing.HOT_SHARE
 
 
+def test_hot_keys_get_groups_by_their_weight(spark, skewed):
+    """The key with a third of all rows gets a third of HOT_SHARE groups, and no group has many more rows than another."""
+    small = skewed.groupBy("k").agg(F.count("*").alias("n"))
+    spread = sizing.attach(skewed, sizing.sized(small), ["k"], ["x"], -1)
+    assert spread.where("k = -1").count() == 3000
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, (" in plan
+    groups = skewed.where("k = -1").groupBy(F.pmod(F.xxhash64("x"), F.lit(334))).count().agg(F.max("count")).first()[0]
+    assert groups <= 30
+
+
+def test_measured_bytes_counts_arrays(spark):
+    df = spark.createDataFrame([([1, 2, 3], [(1, 2)])], "a array<int>, b array<struct<x:int,y:int>>")
+    assert sizing.measured_bytes(df)[0] == 2 * 16 + 3 * 16 + (16 + 2 * 16)
+
+
 def test_measured_bytes_counts_text(spark):
     df = spark.createDataFrame([("a" * 1000, 1), ("é", 2)], "s STRING, n INT")
     size, total = sizing.measured_bytes(df, "n")
