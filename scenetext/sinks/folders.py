@@ -13,11 +13,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     application that is deleted when the driver ends.
 
     Only a local session, where all tasks see the same disk, may go without
-    that setting; it then gets a temporary folder for its lifetime.
+    that setting; it then gets a temporary folder for its lifetime. On a cluster
+    the path has its scheme, also where the setting has none: the folder is shared
+    by definition, so Spark and the tasks' Python may both go there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="scenetext-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -25,4 +28,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     store = own.getFileSystem(spark._jsc.hadoopConfiguration())
     if store.mkdirs(own):
         store.deleteOnExit(own)
-    return f"{root.rstrip('/')}/{own.getName()}/{purpose}-{uuid.uuid4().hex}"
+    whole = store.makeQualified(own).toString()
+    if local and whole.startswith("file:"):
+        whole = f"{root.rstrip('/')}/{own.getName()}"
+    return f"{whole}/{purpose}-{uuid.uuid4().hex}"

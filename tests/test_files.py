@@ -377,3 +377,22 @@ def test_shared_folder_is_the_session_s(spark):
     root = f"{spark.conf.get('spark.checkpoint.dir')}/scenetext-{spark.sparkContext.applicationId}"
     assert shared_folder(spark, "a").startswith(root + "/a-")
     assert shared_folder(spark, "a") != shared_folder(spark, "a")
+
+
+def test_shared_folder_without_scheme_is_written_by_the_tasks_of_a_cluster(spark, tmp_path):
+    class Context:
+        master = "spark://host:7077"
+        applicationId = spark.sparkContext.applicationId
+
+    class Cluster:
+        sparkContext, _jvm, _jsc = Context, spark._jvm, spark._jsc
+        conf = {"spark.checkpoint.dir": str(tmp_path)}
+
+    folder = shared_folder(Cluster, "images")
+    assert folder.startswith(f"file:{tmp_path}/scenetext-{Context.applicationId}/images-")
+    assert qualified(Cluster, folder) == folder
+    with pytest.raises(ValueError, match="own disk"):  # any other folder must say where it is
+        qualified(Cluster, str(tmp_path))
+    # the same folder for Spark and for Python
+    K.write_files(spark.createDataFrame([("SC1/0.png", b"x")], "name STRING, image BINARY"), folder)
+    assert spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.png").load(folder).count() == 1
