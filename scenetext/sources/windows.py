@@ -28,6 +28,7 @@ SCHEMA = (
     "xmax DOUBLE, ymax DOUBLE, crs STRING, cells ARRAY<INT>, error STRING"
 )
 SPLIT_BYTES = 32 * 1024 * 1024
+TASKS_PER_CORE = 64  # beyond it tasks take several shares
 SUFFIX = ".TIF"
 
 
@@ -55,9 +56,11 @@ def _names(path: str) -> tuple[str | None, str | None]:
 
 
 class WindowReader(DataSourceReader):
-    def __init__(self, schema: StructType, root: str, split_bytes: int, window: int, samples: Sequence[int]) -> None:
+    def __init__(
+        self, schema: StructType, root: str, split_bytes: int, window: int, samples: Sequence[int], tasks: int | None = None
+    ) -> None:
         self.columns = schema
-        self.root, self.split_bytes, self.window, self.samples = root, split_bytes, window, samples
+        self.root, self.split_bytes, self.window, self.samples, self.tasks = root, split_bytes, window, samples, tasks
         self.wanted: dict[str, set[str]] = {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -82,12 +85,16 @@ class WindowReader(DataSourceReader):
 
     def partitions(self) -> list[_Parts]:
         """Only the listing counts: a share of a file is made of whole block rows by the task that
-        reads it, so no file is opened here."""
-        out, held = [], 0
-        for path, size in sorted(self._files()):
+        reads it, so no file is opened here. Files are cut by ``split_bytes`` alone; where that makes
+        more than about ``tasks`` tasks, one reads several shares, one after the other."""
+        out, held, files = [], 0, sorted(self._files())
+        most = self.split_bytes
+        if self.tasks:
+            most = max(most, -(-sum(size for _, size in files) // self.tasks))
+        for path, size in files:
             of = max(1, -(-size // self.split_bytes))
             for number in range(of):
-                if not out or held + size // of > self.split_bytes:
+                if not out or held + size // of > most:
                     out.append(_Parts())
                     held = 0
                 out[-1].parts.append(_Part(path, number, of))
@@ -143,7 +150,8 @@ class WindowReader(DataSourceReader):
 
 
 class RasterWindows(DataSource):
-    """Options: ``path``; ``splitBytes`` of a task; ``window``, the side of a tile; ``samples``, comma-separated."""
+    """Options: ``path``; ``splitBytes`` of a task; ``window``, the side of a tile; ``samples``, comma-separated;
+    ``tasks``, about how many at most."""
 
     @classmethod
     def name(cls) -> str:
@@ -156,7 +164,8 @@ class RasterWindows(DataSource):
         split = int(self.options.get("splitBytes", SPLIT_BYTES))
         window = int(self.options.get("window", WINDOW))
         samples = [int(s) for s in self.options.get("samples", "0").split(",")]
-        return WindowReader(schema, self.options["path"], split, window, samples)
+        tasks = int(self.options.get("tasks", 0)) or None
+        return WindowReader(schema, self.options["path"], split, window, samples, tasks)
 
 
 def scan_windows(
@@ -168,5 +177,6 @@ def scan_windows(
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(RasterWindows)
     read = spark.read.format("raster_windows").option("splitBytes", split_bytes).option("window", window)
+    read = read.option("tasks", TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     tiles = read.option("samples", ",".join(map(str, samples))).load(qualified(spark, root))
     return tiles.where(tiles["band"].isin(*bands))

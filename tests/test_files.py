@@ -396,3 +396,16 @@ def test_shared_folder_without_scheme_is_written_by_the_tasks_of_a_cluster(spark
     # the same folder for Spark and for Python
     K.write_files(spark.createDataFrame([("SC1/0.png", b"x")], "name STRING, image BINARY"), folder)
     assert spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.png").load(folder).count() == 1
+
+
+def test_many_small_shares_take_few_tasks(spark, tmp_path):
+    data = image(5, (16, 16))
+    for k in range(40):
+        save(tmp_path, f"SC{k}", "B2", write_image(data[None], EXTENT, 32633, nodata=0, deflate=False, tile=16))
+    reader = WindowReader(StructType(), str(tmp_path), 100, 512, [0], 8)
+    groups = reader.partitions()
+    assert len(groups) <= 16
+    shares = [(p.path, p.number, p.of) for g in groups for p in g.parts]
+    alone = WindowReader(StructType(), str(tmp_path), 100, 512, [0]).partitions()
+    assert len(alone) == len(shares) > 100  # files are cut as without a bound
+    assert shares == [(p.path, p.number, p.of) for g in alone for p in g.parts]
