@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import sys
 import types
 import unicodedata
@@ -34,7 +35,16 @@ from scenetext.sources.stores import open_store
 
 BLOCK = 512  # bits per rank entry
 SHARD_TOKENS = 8_000_000  # a file is closed when it has so many
-CACHE_WORDS = 500_000  # words a worker remembers, from task to task
+GATHER = 1 << 16  # words or ids that are put together at a time
+CACHE_WORDS = 500_000  # parts of words a worker remembers, from task to task
+
+
+def _sides(ids: np.ndarray, ones: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Part by part: ids, and the places in the part of zeros and of ones. Places are much faster
+    than masks where bits follow no rule, and few at a time."""
+    for k in range(0, len(ids), GATHER):
+        part = ones[k : k + GATHER]
+        yield ids[k : k + GATHER], np.flatnonzero(~part), np.flatnonzero(part)
 
 
 class WaveletMatrix:
@@ -55,7 +65,11 @@ class WaveletMatrix:
             filled[: len(packed)] = packed
             counts = np.bitwise_count(filled.reshape(-1, BLOCK // 8)).sum(1, dtype=np.uint32)
             ranks.append(np.concatenate([[0], np.cumsum(counts, dtype=np.uint32)]).astype(np.uint32))
-            ids = np.concatenate([ids[~ones], ids[ones]])
+            dealt, low, high = np.empty_like(ids), 0, len(ids) - int(np.count_nonzero(ones))
+            for part, zero, one in _sides(ids, ones):
+                dealt[low : (low := low + len(zero))] = part.take(zero)
+                dealt[high : (high := high + len(one))] = part.take(one)
+            ids = dealt
         return cls(planes, ranks, len(ids))
 
     def _ones(self, k: int, i: int) -> int:
@@ -116,9 +130,11 @@ class WaveletMatrix:
         ids = np.zeros(self.n, np.uint32 if len(self.planes) > 16 else np.uint16)
         for k in reversed(range(len(self.planes))):
             ones = np.unpackbits(self.planes[k], count=self.n).astype(bool)
-            before = np.empty_like(ids)
-            before[~ones] = ids[: self.zeros[k]]
-            before[ones] = ids[self.zeros[k] :] | ids.dtype.type(1 << (len(self.planes) - 1 - k))
+            before, low, high = np.empty_like(ids), 0, self.zeros[k]
+            bit = ids.dtype.type(1 << (len(self.planes) - 1 - k))
+            for part, zero, one in _sides(before, ones):
+                part[zero] = ids[low : (low := low + len(zero))]
+                part[one] = ids[high : (high := high + len(one))] | bit
             ids = before
         return ids
 
@@ -155,20 +171,21 @@ def from_bytes(data: bytes) -> tuple[WaveletMatrix, list, np.ndarray]:
     return WaveletMatrix(planes, ranks, head["n"]), docs, sizes
 
 
-_MARKS = ".,;:!?"
-GATHER = 1 << 18  # words whose ids are put together at a time
+_MARKS = string.punctuation
 
 
-def _core(word: str) -> tuple[str, str]:
-    """A word as the part to encode and the marks at its end, encoded on their own.
+def _apart(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words without the marks at their end, which are encoded on their own, and how many marks each lost.
 
     The tokenizer cuts between letters and marks, so final marks do not matter
     for the rest; words that may hold a special token stay whole.
     """
-    core = word.rstrip(_MARKS)
-    last = core[-1:]
+    cores = pc.ascii_rtrim(words, characters=_MARKS)
     # only an ASCII letter or digit is sure to end its piece
-    return (core, word[len(core) :]) if last.isascii() and last.isalnum() and "<|" not in word else (word, "")
+    sure = pc.and_(pc.match_substring_regex(cores, "[A-Za-z0-9]$"), pc.invert(pc.match_substring(words, "<|")))
+    cores = pc.if_else(sure, cores, words)
+    lost = pc.subtract(pc.binary_length(words), pc.binary_length(cores))
+    return cores, lost.to_numpy(zero_copy_only=False)
 
 
 # letters that stand for the bytes of a text in such a vocabulary: printable ones for themselves, the rest from 256 on
@@ -179,10 +196,10 @@ _LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _
 def _one_piece(part: str) -> str | None:
     """A part that is one piece and not changed by the tokenizer, its bytes as letters: small
     letters of the Latin, Greek or Cyrillic alphabets in composed form. Else None."""
+    if part.isascii():
+        return part if part.isalpha() and part.islower() else None
     if not part.isalpha():
         return None
-    if part.isascii():
-        return part if part.islower() else None
     if max(part) < "\u0530" and part == part.lower() and unicodedata.is_normalized("NFC", part):
         return part.encode().decode("latin-1").translate(_LETTERS)
     return None
@@ -201,6 +218,36 @@ def _encode_parts(tokenizer: Tokenizer, parts: set[str]) -> dict[str, bytes]:
     return out
 
 
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The slices ``which`` of ``flat``, one after the other."""
+    out = [flat[:0]]
+    for k in range(0, len(which), GATHER):
+        part = which[k : k + GATHER]
+        n = sizes[part]
+        ends = np.cumsum(n)
+        out.append(flat[np.arange(ends[-1]) + np.repeat(starts[part] - ends + n, n)])
+    return np.concatenate(out)
+
+
+def _known(parts: list[str], tokenizer: Tokenizer, young: dict[str, bytes], old: dict[str, bytes]) -> list[bytes]:
+    """Ids of each part; those of the last ``CACHE_WORDS`` or so are remembered, in two halves, so that
+    the older half can go without the words that are in use."""
+    if len(young) > CACHE_WORDS // 2:
+        old.clear()
+        old.update(young)
+        young.clear()
+    found = [young.get(p) for p in parts]
+    new = set()
+    for p, ids in zip(parts, found, strict=True):
+        if ids is None:
+            if (ids := old.get(p)) is None:
+                new.add(p)
+            else:
+                young[p] = ids
+    young.update(_encode_parts(tokenizer, new))
+    return [young[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)]
+
+
 def encode(texts: list[str], vocabulary: str) -> list[bytes]:
     """Ids of each text as uint16 bytes.
 
@@ -211,34 +258,33 @@ def encode(texts: list[str], vocabulary: str) -> list[bytes]:
     # a module of its own outlives the task: functions of this package travel by value
     encoders = vars(sys.modules.setdefault("_token_files_words", types.ModuleType("_token_files_words")))
     if vocabulary not in encoders:
-        encoders[vocabulary] = (Tokenizer.from_file(vocabulary), {}, {"": b""})
-    tokenizer, cache, parts = encoders[vocabulary]
-    if len(cache) > CACHE_WORDS or len(parts) > CACHE_WORDS:
-        cache.clear()
-        parts.clear()
-        parts[""] = b""
+        encoders[vocabulary] = (Tokenizer.from_file(vocabulary), {}, {})
     # a new array, as the kernel for small letters misreads slices that were cast
     column = pa.array(texts, pa.large_string())
     small = pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column))
     split = pc.ascii_split_whitespace(small)
     coded = split.flatten().dictionary_encode()
-    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    new = {w: _core(w) for w in words if w not in cache}
-    parts.update(_encode_parts(tokenizer, {p for pair in new.values() for p in pair}.difference(parts)))
-    cache.update((w, parts[a] + parts[b]) for w, (a, b) in new.items())
-    found = [cache[w] for w in words]
+    words = coded.dictionary
+    cores, lost = _apart(words)
+    cores = cores.dictionary_encode()
+    # parts: the cores, the marks at the ends of words, and nothing for a word without
+    parts = cores.dictionary.to_numpy(zero_copy_only=False).tolist()
+    marked = np.flatnonzero(lost)
+    ends = [w[-n:] for w, n in zip(words.take(pa.array(marked)).to_numpy(zero_copy_only=False), lost[marked].tolist(), strict=True)]
+    marks = {m: len(parts) + k for k, m in enumerate(dict.fromkeys(ends))}
+    found = _known([*parts, *marks], *encoders[vocabulary]) + [b""]
     flat = np.frombuffer(b"".join(found), "<u2")
     sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
-    starts = np.cumsum(sizes) - sizes
+    pairs = np.full((len(words), 2), len(found) - 1)
+    pairs[:, 0] = cores.indices.to_numpy()
+    pairs[marked, 1] = [marks[m] for m in ends]
+    # the ids of the different words, then of all words
+    flat = _gathered(flat, np.cumsum(sizes) - sizes, sizes, pairs.reshape(-1))
+    sizes = sizes[pairs].sum(1)
     which = coded.indices.to_numpy()
-    ends = np.concatenate([[0], np.cumsum(sizes[which])])
-    ids = []
-    for k in range(0, len(which), GATHER):
-        part = which[k : k + GATHER]
-        shift = starts[part] - (ends[k : k + len(part)] - ends[k])
-        ids.append(flat[np.arange(ends[k + len(part)] - ends[k]) + np.repeat(shift, sizes[part])])
-    ids = np.concatenate(ids or [flat])
-    at = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)]
+    ids = _gathered(flat, np.cumsum(sizes) - sizes, sizes, which)
+    at = np.concatenate([[0], np.cumsum(sizes[which])])
+    at = at[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)]
     return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 

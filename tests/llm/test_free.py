@@ -286,3 +286,17 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert set(seen[2][1]) <= set(seen[1][1]) and len(seen[2][1]) > 0.8 * len(seen[1][1])
     out = corpus_pipeline.run(spark, sf_dir)
     assert {r["doc_id"] for r in out.collect()} <= set(seen[2][1])
+
+
+def test_token_parts_in_use_are_not_encoded_again(monkeypatch):
+    made, parts = [], token_files._encode_parts
+    monkeypatch.setattr(token_files, "_encode_parts", lambda tokenizer, new: made.append(set(new)) or parts(tokenizer, new))
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 60)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    letters = "abcdefghijklmnopqrstuvwxy"
+    for k in letters:  # 25 times 24 other words: more than are remembered
+        text = " ".join(["Kept***", "kept", "d'un'", "größe!?", "x<|y>", *(f"zz{k}{j}" for j in letters[:20])])
+        ids = np.frombuffer(token_files.encode([text], path)[0], "<u2")
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert all(not {"kept", "***", "d'un"} & new for new in made[1:])
