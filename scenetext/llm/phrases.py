@@ -148,22 +148,22 @@ def _unsigned(values: pa.Array) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
-def _chunk_counts(rows: DataFrame, shortest: int, longest: int) -> DataFrame:
-    """Counts of phrases in every chunk of ``rows``: ``chunk, shard, support, h, mark``, where the mark
-    holds the second hash and the count. With a column ``known`` (first hashes of pairs of words)
-    only phrases whose pairs of neighbours are all in it."""
+def _chunk_counts(rows: DataFrame, length: int) -> DataFrame:
+    """Counts of phrases of ``length`` words in every chunk of ``rows``: ``chunk, shard, support, h, mark``,
+    where the mark holds the second hash and the count. With a column ``known`` (first hashes of phrases
+    one word shorter) only phrases of which both parts of that length are in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows_of(batch):
                 known = None if row["known"] is None else _unsigned(row["known"])
-                for k, first, second, inside in _hashes(row["words"], row["codes"], row["lang"], longest):
-                    if known is not None and k == 2:
-                        chained = pair = inside & np.isin(first, known)
-                    elif known is not None and k > 2:
-                        inside = chained = chained[:-1] & pair[k - 2 :]
-                    if k < shortest:
+                for k, first, second, inside in _hashes(row["words"], row["codes"], row["lang"], length):
+                    if known is not None and k == length - 1:
+                        parts = inside & np.isin(first, known)
+                    if k < length:
                         continue
+                    if known is not None:
+                        inside = parts[:-1] & parts[1:]
                     found, other, counts = _count(first[inside], second[inside])
                     marks = other << np.uint64(_COUNT_BITS) | counts.astype(np.uint64)
                     same = [np.full(len(found), row[name]) for name in ("chunk", "shard", "support")]
@@ -233,10 +233,11 @@ def _mined(cut: DataFrame, support: int, longest: int) -> DataFrame:
     packed = cut.select("chunk", "lang", "shard", "words", "codes")
     rows = _with(packed, shares.withColumnRenamed("n", "_n"), "_n", ["lang", "shard"], ["chunk"]).drop("_n")
 
-    two = kept(_candidates(_chunk_counts(rows, 2, 2), support), "phrase-pairs")
-    found = two
-    if longest > 2:
-        found = found.union(kept(_candidates(_chunk_counts(_with_known(rows, two), 3, longest), support), "phrase-longer"))
+    last = found = kept(_candidates(_chunk_counts(rows, 2), support), "phrase-pairs")
+    # length by length: most phrases of frequent pairs have a longer part that is not frequent
+    for k in range(3, longest + 1):
+        last = kept(_candidates(_chunk_counts(_with_known(rows, last), k), support), "phrase-longer")
+        found = found.union(last)
     # one chunk of those that hold a phrase gives its words
     one = kept(found.groupBy("h", "g").agg(F.min("chunk").alias("chunk"), F.first("n").alias("n")), "phrase-names")
     lists = one.groupBy("chunk").agg(F.collect_list(F.struct("h", "g", "n")).alias("known"))

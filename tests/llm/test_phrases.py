@@ -102,3 +102,19 @@ def test_many_languages_are_closed_in_time(spark):
     rows = spark.createDataFrame(docs, "lang string, text string").coalesce(1)
     assert phrases.chunks(rows, 4, 100).count() >= 200
     assert _found(phrases.collocations(rows, 5, chunk_words=100)) == _plain(docs, 5, 5, 2000)
+
+
+def test_longer_phrases_are_counted_only_where_both_their_parts_are_frequent(spark, monkeypatch):
+    docs = spark.createDataFrame([("a b. b c. c d", "en")] * 3 + [("a b c d", "en"), ("x y z", "en")] , "text string, lang string")
+    made, counts = [], phrases._chunk_counts
+
+    def counted(*args):
+        out = counts(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(phrases, "_chunk_counts", counted)
+    found, _ = phrases.frequent(docs.coalesce(1), support=3, longest=5)
+    assert sorted(r["phrase"] for r in found.collect()) == ["a b", "b c", "c d"]
+    # three pairs and x y, y z; two triples of frequent pairs; no triple is frequent, so nothing longer is looked at
+    assert made == [5, 2, 0, 0]
