@@ -35,6 +35,7 @@ from scenetext.sources.cells import (
     cell_arrays,
     cell_lists,
     map_cells,
+    slices,
 )
 
 # Pieces of a grid cell that one group takes before the cell is split.
@@ -221,7 +222,7 @@ def _cut(placed: DataFrame, tile: int, lo: int, hi: int) -> DataFrame:
     names = [*meta, "layout_col", "layout_row", "off_x", "off_y", "cols", "rows", "cells"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches, "cells"):
             shape = [rows.column(c).to_pylist() for c in ("dx", "dy", "cols", "rows")]
             origin, places, parts = [], [], []
             for i, values in enumerate(cell_arrays(rows.column("cells"))):

@@ -19,7 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import StructType
 
 from scenetext.operators.raster import CHANNELS
-from scenetext.sources.cells import cell_arrays
+from scenetext.sources.cells import cell_arrays, slices
 from scenetext.sources.stores import open_store, qualified
 from scenetext.sources.tiff import write_image
 
@@ -77,7 +77,7 @@ def render_tiles(
     schema = StructType([tiles.schema[c] for c in keep]).add("image", "binary")
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches, *channels):
             shapes = zip(rows.column("rows").to_pylist(), rows.column("cols").to_pylist(), strict=True)
             bands = zip(*(cell_arrays(rows.column(c)) for c in channels), strict=True)
             images = [
@@ -119,7 +119,7 @@ def encode_files(tiles: DataFrame, nodata: int | None = None, tile: int | None =
     block or in blocks with sides of ``tile``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in slices(batches, "cells"):
             shapes = zip(*(rows.column(c).to_pylist() for c in ("rows", "cols")), strict=True)
             corners = ("xmin", "ymin", "xmax", "ymax")
             extents = zip(*(rows.column(c).to_pylist() for c in corners), strict=True)

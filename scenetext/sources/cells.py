@@ -12,6 +12,9 @@ from pyspark.sql.types import StructType
 # Stands for NoData while cells are in numpy; outside the range of any cell.
 NODATA = np.iinfo(np.int32).min
 
+# Cells of a batch that are worked on at a time; a row is never cut.
+SLICE_CELLS = 1 << 18
+
 
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
@@ -40,6 +43,17 @@ def cell_arrays(column: pa.Array) -> Iterator[np.ndarray]:
         at += n
 
 
+def slices(batches: Iterator[pa.RecordBatch], *columns: str, most: int = SLICE_CELLS) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, with about ``most`` cells of the list columns at a time: Spark fills a
+    batch by rows, however large they are, and what is made of them at a time should not grow with it."""
+    for rows in batches:
+        n = sum(rows.column(c).value_lengths().fill_null(0).to_numpy().astype(np.int64) for c in columns)
+        part = (np.cumsum(n) - n) // most
+        at = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), rows.num_rows]
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            yield rows.slice(a, b - a)
+
+
 def cell_lists(
     arrays: Sequence[np.ndarray], kind: pa.DataType, blank: int | None = int(NODATA)
 ) -> pa.ListArray:

@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from scenetext.plans.archive import archive_errors, archive_headers, compose_arc
 from scenetext.sinks import scenes as K
 from scenetext.sinks.folders import shared_folder
 from scenetext.sources import rasters as S
+from scenetext.sources.cells import SLICE_CELLS, slices
 from scenetext.sources.stores import qualified
 from scenetext.sources.tiff import read_band, read_header, write_image
 from scenetext.sources.windows import WindowReader, scan_windows
@@ -409,3 +411,19 @@ def test_many_small_shares_take_few_tasks(spark, tmp_path):
     alone = WindowReader(StructType(), str(tmp_path), 100, 512, [0]).partitions()
     assert len(alone) == len(shares) > 100  # files are cut as without a bound
     assert shares == [(p.path, p.number, p.of) for g in alone for p in g.parts]
+
+
+def test_images_are_rendered_few_cells_at_a_time():
+    values = [[k] * 64 for k in range(5000)] + [None, [], [7] * 600_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(values, pa.list_(pa.int32()))] * 2, ["r", "g"])
+    parts = list(slices([batch, batch.slice(0, 0)], "r", "g"))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(sum(len(v or ()) for v in p.column("r").to_pylist()) * 2 <= SLICE_CELLS + 2 * 64 for p in parts[:-1])
+
+
+def test_a_full_batch_of_tiles_gives_the_same_images(spark, monkeypatch):
+    tile = "transform(sequence(0, 63), v -> CAST((v * 7 + id) % 256 AS INT))"
+    tiles = spark.range(0, 300, 1, 1).selectExpr("id AS scene_id", "8 AS rows", "8 AS cols", *(f"{tile} AS {c}" for c in "rgb"))
+    whole = K.render_tiles(tiles, "tif").collect()
+    monkeypatch.setattr(K, "slices", lambda batches, *columns: slices(batches, *columns, most=100))
+    assert K.render_tiles(tiles, "tif").collect() == whole and len(whole) == 300
