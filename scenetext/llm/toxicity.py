@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -119,7 +119,31 @@ def _blocks(values: list[np.ndarray], cells: int) -> Iterator[tuple[list[int], n
         at = end
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0.2) -> Model:
+def _coded(texts: Iterable[str], common: dict[str, str]) -> tuple[list[np.ndarray], list[list[str]]]:
+    """Words of each text as codes, and the ``common`` features of each code; 0 stands for all words
+    without any. So no text and no vocabulary has to be held as a list of words."""
+    known: list[list[str]] = [[]]
+    codes: dict[bytes, int] = {}
+    plain: set[bytes] = set()
+
+    docs = []
+    for text in texts:
+        words = text.encode().split()
+        if len(plain) > CACHE:
+            plain.clear()
+        for w in set(words) - plain:
+            if w in codes:
+                continue
+            if found := [common[f] for f in features(w.decode("utf-8", "replace")) if f in common]:
+                codes[w] = len(known)
+                known.append(found)
+            else:
+                plain.add(w)
+        docs.append(np.fromiter((codes.get(w, 0) for w in words), np.int32, len(words)))
+    return docs, known
+
+
+def train(texts: Iterable[str], labels: list[int], rounds: int = 12, rate: float = 0.2) -> Model:
     """Fits the field to labelled documents.
 
     Tokens get tags first: a feature is toxic when it stands in ``share`` of
@@ -131,9 +155,9 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
     ones only about 1.
     """
     least, share, times = 4, 0.02, 12.0
-    texts, labels = zip(*dict(zip(texts, labels, strict=True)).items(), strict=True) if texts else ((), ())
-    one: dict[bytes, bytes] = {}  # equal words share their memory
-    words = [[one.setdefault(w, w) for w in text.encode().split()] for text in texts]
+    once = dict(zip(texts, labels, strict=True))
+    texts, labels = list(once), list(once.values())
+    del once
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
         # sums are 0 or tiny, so their logarithms, about -14, all lie far on one side of the centre
@@ -141,39 +165,39 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
     n_toxic, n_clean = y.sum(), len(y) - y.sum()
     # only features common in toxic documents are kept of any word, the rest of the vocabulary has none
     in_toxic: Counter[str] = Counter()
-    for doc, label in zip(words, labels, strict=True):
+    for text, label in zip(texts, labels, strict=True):
         if label:
-            in_toxic.update({f for w in set(doc) for f in features(w.decode("utf-8", "replace"))})
+            in_toxic.update({f for w in set(text.encode().split()) for f in features(w.decode("utf-8", "replace"))})
     common = {f: f for f, n in in_toxic.items() if n >= max(least, share * n_toxic)}
-    known: dict[bytes, list[str]] = {}
-    for w in one:
-        if found := [common[f] for f in features(w.decode("utf-8", "replace")) if f in common]:
-            known[w] = found
+    docs, known = _coded(texts, common)
+    del texts
     in_clean: Counter[str] = Counter()
-    for doc, label in zip(words, labels, strict=True):
+    for doc, label in zip(docs, labels, strict=True):
         if not label:
-            in_clean.update({f for w in set(doc) for f in known.get(w, ())})
+            in_clean.update({f for code in np.unique(doc).tolist() for f in known[code]})
     names = sorted(f for f in common if in_toxic[f] / n_toxic >= times * (in_clean[f] + 0.5) / n_clean)
-    del in_toxic, in_clean, one
+    del in_toxic, in_clean
     number = {f: k for k, f in enumerate(names)}
-    ids = {w: [number[f] for f in fs if f in number] for w, fs in known.items()}
+    ids = [[number[f] for f in fs if f in number] for fs in known]
+    has = np.array([bool(found) for found in ids])
     # sequences: tokens as (row, place) with feature numbers, tags
-    cut = [d[i : i + MAX_SEQUENCE] for d in words for i in range(0, len(d), MAX_SEQUENCE)]
-    toxic = [label for d, label in zip(words, labels, strict=True) for _ in range(0, len(d), MAX_SEQUENCE)]
+    cut = [d[i : i + MAX_SEQUENCE] for d in docs for i in range(0, len(d), MAX_SEQUENCE)]
+    toxic = [label for d, label in zip(docs, labels, strict=True) for _ in range(0, len(d), MAX_SEQUENCE)]
     # sequences without any feature are alike but for their length: one of each length stands for all of them
-    marked = [any(ids.get(w) for w in d) for d in cut]
+    marked = [has[d].any() for d in cut]
     bare = Counter(len(d) for d, m in zip(cut, marked, strict=True) if not m)
-    rows_of = [(cut[k], toxic[k], 1) for k in range(len(cut)) if marked[k]] + [([b""] * n, 0, many) for n, many in sorted(bare.items())]
+    plain_rows = [(np.zeros(n, np.int32), 0, many) for n, many in sorted(bare.items())]
+    rows_of = [(cut[k], toxic[k], 1) for k in range(len(cut)) if marked[k]] + plain_rows
     blocks = []
     for rows, block in _blocks([np.empty(len(d)) for d, _, _ in rows_of], TRAIN_CELLS):
         at, feature, tags = [], [], np.zeros(block.shape)
         for r, k in enumerate(rows):
             seq, label, _ = rows_of[k]
-            for c, w in enumerate(seq):
-                if found := ids.get(w):
-                    tags[r, c] = label
-                    at += [r * block.shape[1] + c] * len(found)
-                    feature += found
+            for c in np.flatnonzero(has[seq]).tolist():
+                found = ids[seq[c]]
+                tags[r, c] = label
+                at += [r * block.shape[1] + c] * len(found)
+                feature += found
         real = np.arange(block.shape[1]) < np.array([len(rows_of[k][0]) for k in rows])[:, None]
         many = np.array([rows_of[k][2] for k in rows], float)[:, None]
         blocks.append((real, np.array(at, int), np.array(feature, int), tags, many))
@@ -184,8 +208,8 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
         tagged += np.bincount(feature, tag, len(names))
         plain += np.bincount(feature, 1 - tag, len(names))
         active += np.bincount(feature, per_token[at], len(names))
-    n_tokens = sum(len(d) for d in words)
-    del words, cut, rows_of
+    n_tokens = sum(len(d) for d in docs)
+    del cut, rows_of, plain_rows
     bias = np.array(np.log((sum(b[3].sum() for b in blocks) + 1) / (n_tokens + 1)))
     # features of one token share its weight
     weights = (np.log((tagged + 0.5) / (plain + 0.5)) - bias) / np.maximum(active / np.maximum(tagged + plain, 1), 1)
@@ -199,7 +223,14 @@ def train(texts: list[str], labels: list[int], rounds: int = 12, rate: float = 0
             h += g * g
             x += rate * g / np.sqrt(h)
     fitted = Model(dict(zip(names, weights.tolist(), strict=True)), float(bias), trans, 1.0, 0.0)
-    expected = np.log(expected_toxic(fitted, texts, {}, cells=TRAIN_CELLS)[0] + 1e-6)
+    del blocks
+    by_code = np.array([fitted.bias + sum(fitted.weights[f] for f in fs if f in fitted.weights) for fs in known])
+    expected = np.zeros(len(docs))
+    for rows, coded in _blocks(docs, TRAIN_CELLS):
+        real = ~np.isnan(coded)
+        coded[real] = by_code[coded[real].astype(int)]
+        expected[rows] = _sums(fitted, coded)[1]
+    expected = np.log(expected + 1e-6)
     slope, centre = _logistic(expected, y)
     return fitted._replace(slope=slope, centre=centre)
 
@@ -237,6 +268,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(slope), float(mid - b[0] / slope / 1.0)
 
 
+def _sums(model: Model, emissions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of the words, and for each text the greatest one plus those of all words that are
+    more likely toxic than not; rows are texts, padded with NaN at the end."""
+    p = marginals(emissions, model.trans)
+    return p, np.nanmax(np.nan_to_num(p), 1) + np.where(p >= 0.5, p, 0.0).sum(1)
+
+
 def expected_toxic(
     model: Model, texts: list[str], cache: dict[bytes, float], spans: bool = False, cells: int = CELLS
 ) -> tuple[np.ndarray, list[str]]:
@@ -259,8 +297,7 @@ def expected_toxic(
         values.append(np.array(got) if got else np.array([]))
     out, runs = np.zeros(len(texts)), [""] * len(texts)
     for rows, block in _blocks(values, cells):
-        p = marginals(block, model.trans)
-        sums = np.nanmax(np.nan_to_num(p), 1) + np.where(p >= 0.5, p, 0.0).sum(1)
+        p, sums = _sums(model, block)
         for k, i in enumerate(rows):
             if not len(values[i]):
                 continue
@@ -296,8 +333,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     # at most max_train rows of two numbers
     texts = docs.select("doc_id", text_of().alias("text")).where(F.octet_length("text") <= MAX_TRAIN_BYTES)
     rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    rows = sorted(rows.select("doc_id", "text", "toxic").collect())
-    return train([r["text"] for r in rows], [int(r["toxic"]) for r in rows])
+    rows = sorted(rows.select("doc_id", "text", "toxic").collect(), reverse=True)
+    classes = [int(r["toxic"]) for r in reversed(rows)]
+    # rows go as they are read, so that train() alone holds the texts and can let them go
+    return train((rows.pop()["text"] for _ in classes), classes)
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

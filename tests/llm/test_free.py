@@ -81,6 +81,20 @@ def test_sequences_without_features_count_as_often_as_they_occur():
     assert many.bias < few.bias - 1
 
 
+def test_training_holds_no_lists_of_words():
+    """Texts of many different words: what training takes beside them is a few times their bytes at most."""
+    import tracemalloc
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(2000)] + [f"a bc{i} vilething" for i in range(20)]
+    given = sum(map(len, texts))
+    labels = [0] * 2000 + [1] * 20
+    tracemalloc.start()
+    model = toxicity.train(iter(texts), labels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.weights and most < 4.5 * given, most / given
+
+
 def test_toxicity_beats_the_constant_answer_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
