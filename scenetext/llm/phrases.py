@@ -6,20 +6,27 @@ mined completely with its share as support, and what is frequent in none of
 them cannot be frequent overall.
 
 Texts become chunks: word codes of one language, small enough for a task. A
-shard is a group of chunks and as large as the corpus makes it; its counts are
-sums over its chunks, made by Spark. Two independent hashes, 104 bits together,
-stand for a phrase until it is found frequent; then one chunk gives its words.
+shard is a group of tasks and as large as the corpus makes it. Candidates are
+found by buckets, the first bits of a hash, length by length: a task sorts the
+buckets of its chunks and sends the gaps between them, some two bytes for a
+phrase; a part of all buckets is summed up by shard in one group. What reaches a
+shard's share, and the support over all shards, are bits of a table of bounded
+size. A bucket may hold several phrases, so it lets through a few too many and
+never too few. Only candidates are then counted as phrases, by two independent
+hashes, 104 bits together; one chunk gives the words.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -33,6 +40,9 @@ TOP = 2000  # phrases reported for a language
 SHARDS = 8  # the local support is about SUPPORT / SHARDS
 CHUNK_WORDS = 1 << 18  # words of a chunk, about
 BATCH_TEXTS, BATCH_CHUNKS = 1000, 4  # handed to Python at a time
+HELD = 1 << 20  # places of phrases a task holds before it sums them up
+PARTS_BITS, PART_WORDS = 12, 1 << 20  # of the buckets: number of parts (in bits, at least), and words for a part
+TABLE_BITS = 26  # bits of the table of frequent buckets, in bits, at most
 
 # The marks that end a piece (with line feed to carriage return), and what separates words.
 _MARKS = ".,;:!?\n\v\f\r"
@@ -86,7 +96,7 @@ def chunks(docs: DataFrame, n_shards: int = SHARDS, chunk_words: int = CHUNK_WOR
             n, words, counts, codes = _chunk(tokens)
             name = part << 32 | made
             made += 1
-            shard = xxhash.xxh64_intdigest(str(name)) % n_shards
+            shard = xxhash.xxh64_intdigest(str(part)) % n_shards
             row = [name, lang, shard, n, [w.decode() for w in words], counts, codes]
             kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
@@ -128,15 +138,6 @@ def _hashes(words: list[str], codes: np.ndarray, lang: str, longest: int) -> Ite
         yield k, value[0], value[1] >> np.uint64(_COUNT_BITS), inside
 
 
-def _count(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different pairs of two hashes and how often each occurs."""
-    found, at, which, counts = np.unique(first, return_index=True, return_inverse=True, return_counts=True)
-    if (second[at][which] == second).all():
-        return found, second[at], counts
-    pairs, counts = np.unique(np.stack([first, second], 1), axis=0, return_counts=True)
-    return pairs[:, 0], pairs[:, 1], counts
-
-
 def _rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
     for k in range(batch.num_rows):
         row = {name: batch.column(name)[k] for name in batch.schema.names}
@@ -148,52 +149,210 @@ def _unsigned(values: pa.Array) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
-def _chunk_counts(rows: DataFrame, length: int) -> DataFrame:
-    """Counts of phrases of ``length`` words in every chunk of ``rows``: ``chunk, shard, support, h, mark``,
-    where the mark holds the second hash and the count. With a column ``known`` (first hashes of phrases
-    one word shorter) only phrases of which both parts of that length are in it."""
+def _to_bytes(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers as groups of seven bits, lowest first, the eighth bit set where one follows; and where each starts."""
+    sizes = np.ones(len(numbers), np.int64)
+    most = int(numbers.max(initial=0))
+    for k in range(7, 64, 7):
+        if most >> k:
+            sizes += numbers >> np.uint64(k) > 0
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    out = np.empty(ends[-1] if len(ends) else 0, np.uint8)
+    for k in range(int(sizes.max(initial=0))):
+        more = np.flatnonzero(sizes > k)
+        group = (numbers[more] >> np.uint64(7 * k)).astype(np.uint8) & 127
+        out[starts[more] + k] = group | (sizes[more] > k + 1).astype(np.uint8) << 7
+    return out, starts
+
+
+def _from_bytes(data: np.ndarray) -> np.ndarray:
+    """What ``_to_bytes`` was given."""
+    ends = np.flatnonzero(data < 128)
+    starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64) if len(ends) else ends
+    sizes = ends - starts + 1
+    out = np.zeros(len(ends), np.uint64)
+    for k in range(int(sizes.max(initial=0))):
+        more = np.flatnonzero(sizes > k)
+        out[more] |= (data[starts[more] + k] & 127).astype(np.uint64) << np.uint64(7 * k)
+    return out
+
+
+def _split(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The bytes cut at the places ``at``, the first 0 and the last their number."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+class _Sizes(NamedTuple):
+    """In bits: a bucket, the number of parts of all buckets, the place of a bucket in the table of frequent ones."""
+
+    bucket: int
+    parts: int
+    table: int
+
+
+def _sizes(n_words: int) -> _Sizes:
+    """Four buckets or more for each word, so that few phrases share one."""
+    bucket = max(24, (4 * n_words).bit_length())
+    return _Sizes(bucket, max(PARTS_BITS, (n_words // PART_WORDS).bit_length()), min(bucket, TABLE_BITS))
+
+
+def _table(pieces: list[tuple[int, bytes]], sizes: _Sizes) -> np.ndarray:
+    """Bits of the frequent buckets, from those of their parts."""
+    n = 1 << max(0, sizes.table - sizes.parts - 3)
+    out = np.zeros(n << sizes.parts, np.uint8)
+    for part, piece in pieces:
+        out[part * n : (part + 1) * n] = np.frombuffer(zlib.decompress(piece), np.uint8)
+    return out
+
+
+def _in_table(table: np.ndarray, first: np.ndarray, sizes: _Sizes) -> np.ndarray:
+    at = first >> np.uint64(64 - sizes.table)
+    return (table[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+
+
+def _chunk_counts(rows: DataFrame, length: int, sizes: _Sizes, known: Broadcast | None) -> DataFrame:
+    """Buckets of phrases of ``length`` words in the chunks of a task: ``part, shard, support, n`` and, as
+    bytes, gaps between the ``n`` buckets of a part and those counts that are not 1.
+    With the table of phrases one word shorter, only phrases of which both parts of that length are in it.
+    """
+    shift = np.uint64(64 - sizes.bucket)
+    inner = np.uint64(sizes.bucket - sizes.parts)
+
+    def packed(shard: int, support: int, found: list[np.ndarray]) -> pa.RecordBatch:
+        buckets, counts = np.unique(np.concatenate(found), return_counts=True)
+        part = (buckets >> inner).astype(np.int64)
+        begin = np.flatnonzero(np.diff(part, prepend=-1))
+        gaps = np.diff(buckets, prepend=np.uint64(0))
+        gaps[begin] = buckets[begin] & np.uint64((1 << int(inner)) - 1)
+        several = counts > 1
+        data, starts = _to_bytes(gaps << np.uint64(1) | several.astype(np.uint64))
+        more, more_starts = _to_bytes(counts[several].astype(np.uint64))
+        at = np.append(starts[begin], len(data))
+        more_at = np.append(more_starts, len(more))[np.append(0, np.cumsum(several))[np.append(begin, len(several))]]
+        n = np.diff(np.append(begin, len(buckets)))
+        columns = [part[begin], np.full(len(begin), shard), np.full(len(begin), support), n]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+        arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)] + [_split(data, at), _split(more, more_at)]
+        return pa.RecordBatch.from_arrays(arrays, ["part", "shard", "support", "n", "gaps", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None if known is None else _table(known.value, sizes)
+        held: dict[tuple[int, int], list[np.ndarray]] = {}
+        many: Counter[tuple[int, int]] = Counter()
         for batch in batches:
             for row in _rows_of(batch):
-                known = None if row["known"] is None else _unsigned(row["known"])
-                for k, first, second, inside in _hashes(row["words"], row["codes"], row["lang"], length):
-                    if known is not None and k == length - 1:
-                        parts = inside & np.isin(first, known)
-                    if k < length:
-                        continue
-                    if known is not None:
-                        inside = parts[:-1] & parts[1:]
-                    found, other, counts = _count(first[inside], second[inside])
-                    marks = other << np.uint64(_COUNT_BITS) | counts.astype(np.uint64)
-                    same = [np.full(len(found), row[name]) for name in ("chunk", "shard", "support")]
-                    columns = [*same, found.view(np.int64), marks.view(np.int64)]
-                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                    arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["chunk", "shard", "support", "h", "mark"])
-
-    return rows.mapInArrow(run, "chunk long, shard int, support long, h long, mark long")
-
-
-def _candidates(local: DataFrame, support: int) -> DataFrame:
-    """``chunk, h, g, n`` of the phrases that are frequent in at least one shard and then, counted over
-    all shards, have ``support`` occurrences; a row for every chunk that holds one.
-
-    One shuffle, by the first hash. A frequent phrase is one row per chunk, as
-    a chunk counts first.
+                for k, first, _, inside in _hashes(row["words"], row["codes"], row["lang"], length):
+                    if table is not None and k == length - 1:
+                        parts = inside.copy()
+                        parts[inside] = _in_table(table, first[inside], sizes)
+                if table is not None:
+                    inside = parts[:-1] & parts[1:] & inside
+                key = row["shard"], row["support"]
+                held.setdefault(key, []).append(first[inside] >> shift)
+                many[key] += len(held[key][-1])
+                while many.total() > HELD:
+                    key = max(many, key=many.get)
+                    del many[key]
+                    yield packed(*key, held.pop(key))
+        for key in many:
+            if many[key]:
+                yield packed(*key, held[key])
+
+    return rows.mapInArrow(run, "part int, shard int, support long, n int, gaps binary, counts binary")
+
+
+def _part_candidates(rows: list[dict], support: int, sizes: _Sizes) -> np.ndarray:
+    """Buckets of a part, in it, that reach its share of the support in some shard, and ``support`` in all."""
+    n = np.array([r["n"] for r in rows])
+    coded = _from_bytes(np.frombuffer(b"".join(r["gaps"] for r in rows), np.uint8))
+    gaps = np.cumsum(coded >> np.uint64(1))
+    # sums start anew with each row
+    begin = np.cumsum(n) - n
+    gaps -= np.repeat(np.concatenate([[np.uint64(0)], gaps[begin[1:] - 1]]), n)
+    counts = np.ones(len(gaps), np.int64)
+    counts[(coded & np.uint64(1)).astype(bool)] = _from_bytes(np.frombuffer(b"".join(r["counts"] for r in rows), np.uint8))
+    order = np.lexsort((np.repeat([r["shard"] for r in rows], n), gaps))
+    bucket, counts = gaps[order], counts[order]
+    shard, share = (np.repeat([r[name] for r in rows], n)[order] for name in ("shard", "support"))
+    new = np.append(True, (bucket[1:] != bucket[:-1]) | (shard[1:] != shard[:-1]))
+    at = np.flatnonzero(new)
+    in_shard, bucket = np.add.reduceat(counts, at), bucket[at]
+    # languages that meet in a bucket have the least of their shares
+    frequent = in_shard >= np.minimum.reduceat(share, at)
+    at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    return bucket[at][np.logical_or.reduceat(frequent, at) & (np.add.reduceat(in_shard, at) >= support)]
+
+
+def _candidates(local: DataFrame, support: int, sizes: _Sizes) -> list[tuple[int, bytes]]:
+    """For each part that has any, the bits of its buckets that are frequent in a shard and have ``support``
+    occurrences over all shards. All of it is no larger than a table of ``sizes.table`` bits.
+
+    A part gets the same share of the buckets everywhere, and a task's chunks are summed up before.
     """
-    g = F.shiftrightunsigned("mark", _COUNT_BITS)
-    rows = local.repartition("h").withColumns({"g": g, "c": F.col("mark").bitwiseAND((1 << _COUNT_BITS) - 1)})
-    in_shard = F.sum("c").over(W.partitionBy("h", "g", "shard"))
-    rows = rows.withColumn("frequent", in_shard >= F.col("support"))
-    whole = W.partitionBy("h", "g")
-    rows = rows.select("chunk", "h", "g", F.bool_or("frequent").over(whole).alias("some"), F.sum("c").over(whole).alias("n"))
-    return rows.where(F.col("some") & (F.col("n") >= support)).drop("some")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, part in enumerate(batch.column("part").to_pylist()):
+                found = _part_candidates(batch.column("rows")[k].as_py(), support, sizes)
+                if len(found):
+                    bits = np.zeros(max(8, 1 << sizes.table - sizes.parts), np.uint8)
+                    bits[found >> np.uint64(sizes.bucket - sizes.table)] = 1
+                    packed = zlib.compress(np.packbits(bits).tobytes(), 1)
+                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary())], ["part", "bits"])
+
+    rows = F.collect_list(F.struct("shard", "support", "n", "gaps", "counts")).alias("rows")
+    return [tuple(r) for r in local.repartition("part").groupBy("part").agg(rows).mapInArrow(run, "part int, bits binary").collect()]
 
-def _with_known(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """The chunks that hold any of ``known(chunk, h)``, with all they hold: no more than a chunk has."""
-    return rows.join(known.groupBy("chunk").agg(F.collect_list("h").alias("known")), "chunk")
+
+def _counted(rows: DataFrame, tables: list[Broadcast], support: int, sizes: _Sizes) -> DataFrame:
+    """``h, g, n, chunk`` of the phrases with ``support`` occurrences: two hashes, the count, and a chunk that
+    holds it. Only phrases of which the bucket is in the table of their length are counted; a task sums
+    up its chunks before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found_in = [_table(pieces.value, sizes) for pieces in tables]
+        held: list[tuple[np.ndarray, ...]] = []
+        many = 0
+
+        def summed() -> pa.RecordBatch:
+            first, second, chunk = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            order = np.argsort(first, kind="stable")
+            first, second, chunk = first[order], second[order], chunk[order]
+            same = first[1:] == first[:-1]
+            if (second[1:] != second[:-1])[same].any():
+                order = np.lexsort((second, first))
+                first, second, chunk = first[order], second[order], chunk[order]
+                same = first[1:] == first[:-1]
+            at = np.flatnonzero(np.append(True, ~same | (second[1:] != second[:-1])))
+            counts = np.diff(np.append(at, len(first))).astype(np.uint64)
+            marks = second[at] << np.uint64(_COUNT_BITS) | counts
+            columns = [first[at].view(np.int64), marks.view(np.int64), chunk[at]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "mark", "chunk"])
+
+        for batch in batches:
+            for row in _rows_of(batch):
+                for k, first, second, inside in _hashes(row["words"], row["codes"], row["lang"], len(tables) + 1):
+                    if k > 1:
+                        places = np.flatnonzero(inside)
+                        places = places[_in_table(found_in[k - 2], first[places], sizes)]
+                        # three numbers for each place, and as many again while they are sorted
+                        for i in range(0, len(places), HELD // 4):
+                            part = places[i : i + HELD // 4]
+                            held.append((first[part], second[part], np.full(len(part), row["chunk"])))
+                            many += len(part)
+                            if many > HELD // 4:
+                                yield summed()
+                                many = 0
+        if many:
+            yield summed()
+
+    marks = rows.mapInArrow(run, "h long, mark long, chunk long")
+    marks = marks.select("h", F.shiftrightunsigned("mark", _COUNT_BITS).alias("g"), F.col("mark").bitwiseAND((1 << _COUNT_BITS) - 1).alias("c"), "chunk")
+    # any chunk will do; they are told apart by a hash, so that not the first ones name most phrases
+    one = marks.groupBy("h", "g").agg(F.sum("c").alias("n"), F.min(F.struct(F.xxhash64("chunk", "h").alias("at"), "chunk"))["chunk"].alias("chunk"))
+    return one.where(F.col("n") >= support)
 
 
 def _named(rows: DataFrame, longest: int) -> DataFrame:
@@ -233,13 +392,14 @@ def _mined(cut: DataFrame, support: int, longest: int) -> DataFrame:
     packed = cut.select("chunk", "lang", "shard", "words", "codes")
     rows = _with(packed, shares.withColumnRenamed("n", "_n"), "_n", ["lang", "shard"], ["chunk"]).drop("_n")
 
-    last = found = kept(_candidates(_chunk_counts(rows, 2), support), "phrase-pairs")
+    sizes = _sizes(shares.agg(F.sum("n")).first()[0] or 0)
+    tables: list[Broadcast] = []
     # length by length: most phrases of frequent pairs have a longer part that is not frequent
-    for k in range(3, longest + 1):
-        last = kept(_candidates(_chunk_counts(_with_known(rows, last), k), support), "phrase-longer")
-        found = found.union(last)
+    for k in range(2, longest + 1):
+        pieces = _candidates(_chunk_counts(rows, k, sizes, tables[-1] if tables else None), support, sizes)
+        tables.append(cut.sparkSession.sparkContext.broadcast(pieces))
     # one chunk of those that hold a phrase gives its words
-    one = kept(found.groupBy("h", "g").agg(F.min("chunk").alias("chunk"), F.first("n").alias("n")), "phrase-names")
+    one = kept(_counted(packed, tables, support, sizes), "phrase-names")
     lists = one.groupBy("chunk").agg(F.collect_list(F.struct("h", "g", "n")).alias("known"))
     small = one.count() * _NAME_BYTES <= BROADCAST_BYTES
     phrases = _named(packed.join(F.broadcast(lists) if small else lists, "chunk"), longest)

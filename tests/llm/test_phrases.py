@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scenetext.llm import phrases
 
@@ -118,3 +119,34 @@ def test_longer_phrases_are_counted_only_where_both_their_parts_are_frequent(spa
     assert sorted(r["phrase"] for r in found.collect()) == ["a b", "b c", "c d"]
     # three pairs and x y, y z; two triples of frequent pairs; no triple is frequent, so nothing longer is looked at
     assert made == [5, 2, 0, 0]
+
+
+def test_numbers_as_bytes():
+    numbers = np.array([0, 1, 127, 128, 300, 2**35 + 5, 2**63, 2**64 - 1, 7], np.uint64)
+    data, starts = phrases._to_bytes(numbers)
+    assert phrases._from_bytes(data).tolist() == numbers.tolist()
+    assert starts.tolist() == [0, 1, 2, 3, 5, 7, 13, 23, 33]
+    assert len(phrases._from_bytes(phrases._to_bytes(numbers[:0])[0])) == 0
+
+
+def test_few_bytes_are_shuffled_for_a_phrase(spark, tmp_path):
+    """Pairs of words that are hardly ever the same: rows of hashes took 19 bytes for each that is shuffled."""
+    n = 400_000
+    words = np.random.default_rng(3).integers(0, 3000, n)
+    texts = [(" ".join(f"w{w}" for w in words[k : k + 1000]), "a") for k in range(0, n, 1000)]
+    docs = spark.createDataFrame(texts, "text string, lang string").coalesce(1)
+    with phrases.batch_rows(spark, 4):
+        rows = phrases.chunks(docs).withColumn("support", F.lit(13).cast("long"))
+        phrases._chunk_counts(rows, 2, phrases._sizes(n), None).repartition(4, "part").write.parquet(f"{tmp_path}/out")
+    size = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+    assert size < 6 * n, size / n
+
+
+@pytest.mark.parametrize(("held", "table_bits"), [(500, 27), (1 << 21, 13)])
+def test_sums_in_between_and_a_crowded_table_change_nothing(spark, monkeypatch, held, table_bits):
+    rng = random.Random(4)
+    docs = [(f"l{k % 3}", " ".join(f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(60)) + ".") for k in range(200)]
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(5)
+    monkeypatch.setattr(phrases, "HELD", held)
+    monkeypatch.setattr(phrases, "TABLE_BITS", table_bits)
+    assert _found(phrases.collocations(df, 7, n_shards=3, chunk_words=300)) == _plain(docs, 7, 5, 2000)
