@@ -193,13 +193,14 @@ class _Sizes(NamedTuple):
 
 def _sizes(n_words: int) -> _Sizes:
     """Four buckets or more for each word, so that few phrases share one."""
-    bucket = max(24, (4 * n_words).bit_length())
-    return _Sizes(bucket, max(PARTS_BITS, (n_words // PART_WORDS).bit_length()), min(bucket, TABLE_BITS))
+    bucket, parts = max(24, (4 * n_words).bit_length()), max(PARTS_BITS, (n_words // PART_WORDS).bit_length())
+    # a part has whole bytes of the table
+    return _Sizes(bucket, parts, min(bucket, max(TABLE_BITS, parts + 3)))
 
 
 def _table(pieces: list[tuple[int, bytes]], sizes: _Sizes) -> np.ndarray:
     """Bits of the frequent buckets, from those of their parts."""
-    n = 1 << max(0, sizes.table - sizes.parts - 3)
+    n = 1 << sizes.table - sizes.parts - 3
     out = np.zeros(n << sizes.parts, np.uint8)
     for part, piece in pieces:
         out[part * n : (part + 1) * n] = np.frombuffer(zlib.decompress(piece), np.uint8)
@@ -296,7 +297,7 @@ def _candidates(local: DataFrame, support: int, sizes: _Sizes) -> list[tuple[int
             for k, part in enumerate(batch.column("part").to_pylist()):
                 found = _part_candidates(batch.column("rows")[k].as_py(), support, sizes)
                 if len(found):
-                    bits = np.zeros(max(8, 1 << sizes.table - sizes.parts), np.uint8)
+                    bits = np.zeros(1 << sizes.table - sizes.parts, np.uint8)
                     bits[found >> np.uint64(sizes.bucket - sizes.table)] = 1
                     packed = zlib.compress(np.packbits(bits).tobytes(), 1)
                     yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary())], ["part", "bits"])
