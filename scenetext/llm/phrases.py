@@ -13,7 +13,8 @@ phrase; a part of all buckets is summed up by shard in one group. What reaches a
 shard's share, and the support over all shards, are bits of a table of bounded
 size. A bucket may hold several phrases, so it lets through a few too many and
 never too few. Only candidates are then counted as phrases, by two independent
-hashes, 104 bits together; one chunk gives the words.
+hashes, 104 bits together: a task sums up what it has and sends one row for each
+part of the hashes; one chunk gives the words.
 """
 
 from __future__ import annotations
@@ -40,9 +41,10 @@ TOP = 2000  # phrases reported for a language
 SHARDS = 8  # the local support is about SUPPORT / SHARDS
 CHUNK_WORDS = 1 << 18  # words of a chunk, about
 BATCH_TEXTS, BATCH_CHUNKS = 1000, 4  # handed to Python at a time
-HELD = 1 << 20  # places of phrases a task holds before it sums them up
+HELD = 1 << 20  # places of phrases a task holds before it sums them up (a quarter as many sums, an eighth to add to them)
 PARTS_BITS, PART_WORDS = 12, 1 << 20  # of the buckets: number of parts (in bits, at least), and words for a part
 TABLE_BITS = 26  # bits of the table of frequent buckets, in bits, at most
+SUMS_BITS = 8  # of the counts of candidates: number of parts (in bits, at least)
 
 # The marks that end a piece (with line feed to carriage return), and what separates words.
 _MARKS = ".,;:!?\n\v\f\r"
@@ -120,7 +122,8 @@ def chunks(docs: DataFrame, n_shards: int = SHARDS, chunk_words: int = CHUNK_WOR
 # Odd factors of the two hashes.
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _NAME_BYTES = 64  # of a row of hashes and count in a list, with its share of the list
-_COUNT_BITS = 24  # of a mark that holds 40 bits of the second hash and a count
+_SECOND_BYTES = 5  # of the second hash
+_FILTER_BITS = 20  # first bits of a hash by which most places of no known phrase are told
 
 
 def _hashes(words: list[str], codes: np.ndarray, lang: str, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -135,7 +138,7 @@ def _hashes(words: list[str], codes: np.ndarray, lang: str, longest: int) -> Ite
         if k > 1:
             value = [v[:-1] * factor + w[k - 1 :] for v, factor, w in zip(value, _FACTORS, own, strict=True)]
             inside = inside[:-1] & (codes[k - 1 :] >= 0)
-        yield k, value[0], value[1] >> np.uint64(_COUNT_BITS), inside
+        yield k, value[0], value[1] >> np.uint64(64 - 8 * _SECOND_BYTES), inside
 
 
 def _rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -184,18 +187,21 @@ def _split(data: np.ndarray, at: np.ndarray) -> pa.Array:
 
 
 class _Sizes(NamedTuple):
-    """In bits: a bucket, the number of parts of all buckets, the place of a bucket in the table of frequent ones."""
+    """In bits: a bucket, the number of parts of all buckets, the place of a bucket in the table of frequent ones,
+    the number of parts of the counts of candidates."""
 
     bucket: int
     parts: int
     table: int
+    sums: int
 
 
 def _sizes(n_words: int) -> _Sizes:
     """Four buckets or more for each word, so that few phrases share one."""
     bucket, parts = max(24, (4 * n_words).bit_length()), max(PARTS_BITS, (n_words // PART_WORDS).bit_length())
     # a part has whole bytes of the table
-    return _Sizes(bucket, parts, min(bucket, max(TABLE_BITS, parts + 3)))
+    table = min(bucket, max(TABLE_BITS, parts + 3))
+    return _Sizes(bucket, parts, table, max(SUMS_BITS, (n_words // PART_WORDS).bit_length() + 1))
 
 
 def _table(pieces: list[tuple[int, bytes]], sizes: _Sizes) -> np.ndarray:
@@ -306,54 +312,101 @@ def _candidates(local: DataFrame, support: int, sizes: _Sizes) -> list[tuple[int
     return [tuple(r) for r in local.repartition("part").groupBy("part").agg(rows).mapInArrow(run, "part int, bits binary").collect()]
 
 
+class _Sums(NamedTuple):
+    """Of phrases: two hashes, a count, and a chunk that holds it."""
+
+    first: np.ndarray
+    second: np.ndarray
+    n: np.ndarray
+    chunk: np.ndarray
+
+
+def _summed(parts: list[_Sums], spread: bool) -> _Sums:
+    """One row for each phrase, in the order of the hashes. Any of its chunks will do: the first one,
+    or with ``spread`` one that its hash picks, so that not the first ones name most phrases."""
+    first, second, n, chunk = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.argsort(first, kind="stable")
+    first, second = first[order], second[order]
+    same = first[1:] == first[:-1]
+    if (second[1:] != second[:-1])[same].any():
+        again = np.lexsort((second, first))
+        order, first, second = order[again], first[again], second[again]
+        same &= second[1:] == second[:-1]
+    at = np.flatnonzero(np.append(True, ~same))
+    many = np.diff(np.append(at, len(first)))
+    first, second = first[at], second[at]
+    pick = at + (second % many.astype(np.uint64)).astype(np.int64) if spread else at
+    return _Sums(first, second, np.add.reduceat(n[order], at), chunk[order[pick]])
+
+
+def _sums_packed(sums: _Sums, bits: int) -> pa.RecordBatch:
+    """A row for each part of the hashes that has any, told by their first ``bits``."""
+    part = (sums.first >> np.uint64(64 - bits)).astype(np.int64)
+    begin = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(begin, len(part))
+    second = np.ascontiguousarray(sums.second.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SECOND_BYTES]).ravel()
+    counts, starts = _to_bytes(sums.n.astype(np.uint64))
+    # of the chunks those of the part, and which of them it is
+    chunks, places = zip(*(np.unique(sums.chunk[a:b], return_inverse=True) for a, b in zip(begin, ends[1:], strict=True)), strict=True)
+    which, which_starts = _to_bytes(np.concatenate(places).astype(np.uint64))
+    arrays = [
+        pa.array(part[begin], pa.int32()),
+        _split(sums.first.astype("<u8").view(np.uint8), 8 * ends),
+        _split(second, _SECOND_BYTES * ends),
+        _split(counts, np.append(starts, len(counts))[ends]),
+        _split(which, np.append(which_starts, len(which))[ends]),
+        pa.array(chunks, pa.list_(pa.int64())),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, ["part", "first", "second", "counts", "which", "chunks"])
+
+
+def _sums_unpacked(row: dict) -> _Sums:
+    first = np.frombuffer(row["first"], "<u8")
+    second = np.zeros((len(first), 8), np.uint8)
+    second[:, :_SECOND_BYTES] = np.frombuffer(row["second"], np.uint8).reshape(-1, _SECOND_BYTES)
+    n, which = (_from_bytes(np.frombuffer(row[name], np.uint8)).astype(np.int64) for name in ("counts", "which"))
+    return _Sums(first, second.view("<u8").ravel(), n, np.array(row["chunks"], np.int64)[which])
+
+
 def _counted(rows: DataFrame, tables: list[Broadcast], support: int, sizes: _Sizes) -> DataFrame:
     """``h, g, n, chunk`` of the phrases with ``support`` occurrences: two hashes, the count, and a chunk that
     holds it. Only phrases of which the bucket is in the table of their length are counted; a task sums
-    up its chunks before they are shuffled."""
+    up all its chunks before they are shuffled, and a part of the hashes is summed up in one group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_in = [_table(pieces.value, sizes) for pieces in tables]
-        held: list[tuple[np.ndarray, ...]] = []
-        many = 0
-
-        def summed() -> pa.RecordBatch:
-            first, second, chunk = (np.concatenate(c) for c in zip(*held, strict=True))
-            held.clear()
-            order = np.argsort(first, kind="stable")
-            first, second, chunk = first[order], second[order], chunk[order]
-            same = first[1:] == first[:-1]
-            if (second[1:] != second[:-1])[same].any():
-                order = np.lexsort((second, first))
-                first, second, chunk = first[order], second[order], chunk[order]
-                same = first[1:] == first[:-1]
-            at = np.flatnonzero(np.append(True, ~same | (second[1:] != second[:-1])))
-            counts = np.diff(np.append(at, len(first))).astype(np.uint64)
-            marks = second[at] << np.uint64(_COUNT_BITS) | counts
-            columns = [first[at].view(np.int64), marks.view(np.int64), chunk[at]]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "mark", "chunk"])
-
+        held: list[_Sums] = []
+        new = 0
         for batch in batches:
             for row in _rows_of(batch):
                 for k, first, second, inside in _hashes(row["words"], row["codes"], row["lang"], len(tables) + 1):
                     if k > 1:
                         places = np.flatnonzero(inside)
                         places = places[_in_table(found_in[k - 2], first[places], sizes)]
-                        # three numbers for each place, and as many again while they are sorted
-                        for i in range(0, len(places), HELD // 4):
-                            part = places[i : i + HELD // 4]
-                            held.append((first[part], second[part], np.full(len(part), row["chunk"])))
-                            many += len(part)
-                            if many > HELD // 4:
-                                yield summed()
-                                many = 0
-        if many:
-            yield summed()
-
-    marks = rows.mapInArrow(run, "h long, mark long, chunk long")
-    marks = marks.select("h", F.shiftrightunsigned("mark", _COUNT_BITS).alias("g"), F.col("mark").bitwiseAND((1 << _COUNT_BITS) - 1).alias("c"), "chunk")
-    # any chunk will do; they are told apart by a hash, so that not the first ones name most phrases
-    one = marks.groupBy("h", "g").agg(F.sum("c").alias("n"), F.min(F.struct(F.xxhash64("chunk", "h").alias("at"), "chunk"))["chunk"].alias("chunk"))
-    return one.where(F.col("n") >= support)
+                        # four numbers for each place, and as many again while they are sorted
+                        for i in range(0, len(places), HELD // 16):
+                            part = places[i : i + HELD // 16]
+                            held.append(_Sums(first[part], second[part], np.ones(len(part), np.int64), np.full(len(part), row["chunk"])))
+                            new += len(part)
+                            if new > HELD // 8:
+                                held, new = [_summed(held, spread=False)], 0
+                                if len(held[0].first) > HELD // 4:
+                                    yield _sums_packed(held.pop(), sizes.sums)
+        if held:
+            yield _sums_packed(_summed(held, spread=False), sizes.sums)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column("rows"):
+                sums = _summed([_sums_unpacked(row) for row in packed.as_py()], spread=True)
+                enough = sums.n >= support
+                columns = [sums.first.view(np.int64), sums.second.view(np.int64), sums.n, sums.chunk]
+                yield pa.RecordBatch.from_arrays([pa.array(c[enough], pa.int64()) for c in columns], ["h", "g", "n", "chunk"])
+
+    schema = "part int, first binary, second binary, counts binary, which binary, chunks array<long>"
+    sums = rows.mapInArrow(run, schema).repartition("part").groupBy("part")
+    packed = F.collect_list(F.struct("first", "second", "counts", "which", "chunks")).alias("rows")
+    return sums.agg(packed).mapInArrow(total, "h long, g long, n long, chunk long")
 
 
 def _named(rows: DataFrame, longest: int) -> DataFrame:
@@ -364,9 +417,12 @@ def _named(rows: DataFrame, longest: int) -> DataFrame:
             for row in _rows_of(batch):
                 first, second = (_unsigned(row["known"].field(k)) for k in (0, 1))
                 wanted = dict(zip(zip(first.tolist(), second.tolist(), strict=True), row["known"].field(2).to_pylist(), strict=True))
+                begins = np.zeros(1 << _FILTER_BITS, bool)
+                begins[first >> np.uint64(64 - _FILTER_BITS)] = True
                 out = []
                 for k, h, g, inside in _hashes(row["words"], row["codes"], row["lang"], longest):
-                    for at in np.flatnonzero(inside & np.isin(h, first)).tolist() if k > 1 else ():
+                    places = np.flatnonzero(inside & begins[h >> np.uint64(64 - _FILTER_BITS)]) if k > 1 else np.zeros(0, np.int64)
+                    for at in places[np.isin(h[places], first)].tolist():
                         if (n := wanted.pop((int(h[at]), int(g[at])), None)) is not None:
                             out.append((row["lang"], " ".join([row["words"][c] for c in row["codes"][at : at + k]]), k, n))
                 kinds = [pa.string(), pa.string(), pa.int32(), pa.int64()]

@@ -150,3 +150,55 @@ def test_sums_in_between_and_a_crowded_table_change_nothing(spark, monkeypatch,
     monkeypatch.setattr(phrases, "HELD", held)
     monkeypatch.setattr(phrases, "TABLE_BITS", table_bits)
     assert _found(phrases.collocations(df, 7, n_shards=3, chunk_words=300)) == _plain(docs, 7, 5, 2000)
+
+
+def _made_by_counting(spark, monkeypatch, docs):
+    """Phrases found, and rows that the count of candidates sends to be summed up."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    made, plain = spark.sparkContext.accumulator(0), DataFrame.mapInArrow
+
+    def counting(df, run, *args, **how):
+        def counted(batches):
+            for batch in run(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return plain(df, counted if run.__qualname__ == "_counted.<locals>.run" else run, *args, **how)
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 1 << 20)  # a file of chunks for each task that reads them
+    try:
+        with monkeypatch.context() as patched:
+            patched.setattr(DataFrame, "mapInArrow", counting)
+            return phrases.frequent(docs, support=2 * docs.rdd.getNumPartitions())[0].collect(), made.value
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_rows_of_counts_grow_with_the_tasks_and_not_with_their_phrases_too(spark, monkeypatch):
+    """Five times the tasks and as many times the frequent phrases, each in every task: one row for each was 25 times as many."""
+
+    def docs(n_tasks, n_phrases):
+        texts = [(" ".join(f"a{i} b{i}." for i in range(k, k + 100)) + " ", "a") for k in range(0, n_phrases, 100)]
+        return spark.createDataFrame(spark.sparkContext.parallelize(texts * 2 * n_tasks, n_tasks), "text string, lang string")
+
+    few, rows = _made_by_counting(spark, monkeypatch, docs(2, 1000))
+    many, more = _made_by_counting(spark, monkeypatch, docs(10, 5000))
+    assert (len(few), len(many)) == (1000, 5000)
+    assert {r["n"] for r in few} == {4} and {r["n"] for r in many} == {20}
+    assert more <= 5.5 * rows, (rows, more)
+
+
+def test_sums_as_bytes():
+    first = np.array([5, 5, 2**56, 2**64 - 1], np.uint64)
+    second = np.array([1, 2**40 - 1, 7, 0], np.uint64)
+    sums = phrases._Sums(first, second, np.array([1, 2**33, 3, 300]), np.array([2**40, -1, 9, 2**40]))
+    rows = phrases._sums_packed(sums, 8).to_pylist()
+    assert [r["part"] for r in rows] == [0, 1, 255]
+    back = phrases._Sums(*(np.concatenate(c) for c in zip(*map(phrases._sums_unpacked, rows), strict=True)))
+    assert [c.tolist() for c in back] == [c.tolist() for c in sums]
+    twice = phrases._summed([back, sums], spread=True)
+    assert twice.n.tolist() == [2, 2**34, 6, 600]
+    assert [c.tolist() for c in twice if c is not twice.n] == [c.tolist() for c in sums if c is not sums.n]
